@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from eventlake.functions.once import fields_once
+
 
 def decode_json(
     messages: DataFrame, schema: StructType, value: str = "value", keep: Iterable[str] = ()
@@ -16,10 +18,8 @@ def decode_json(
 
     Nothing is rejected: a payload that is no JSON object gives a row of nulls.
 
-    The parsed struct goes through ``inline`` instead of ``data.*``. A filter on
-    ``data.*`` columns is pushed below the projection and takes a copy of the
-    parser along per column it tests; it cannot pass a generator, so each
-    message is parsed once whatever the session's settings are.
+    Each message is parsed once, whatever columns are tested afterwards and
+    whatever the session's JSON optimizer settings are.
     """
     parsed = F.from_json(F.col(value).cast("string"), schema)
-    return messages.select(*keep, F.inline(F.array(parsed)))
+    return messages.select(*keep, fields_once(parsed))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.functions.bands import CRITICAL, risk_classification, risk_score, severity
+from eventlake.functions.once import fields_once
 from eventlake.functions.stamps import processing_time
 from eventlake.operators.clean import drop_incomplete
 from eventlake.schemas import FEATURES
@@ -36,14 +37,14 @@ def score(
     """Complete events with model output and risk bands, in the prediction table's columns.
 
     The same call serves batches [ML7] and streams [STR4]. Rows need all
-    features; ``keys`` may be null.
+    features; ``keys`` may be null. The model runs once per row, also when the
+    result is filtered by severity.
     """
     features, keys = list(features), list(keys)
     stamped = drop_incomplete(events, features).withColumn("scoring_time", processing_time())
-    predicted = model.transform(stamped).withColumnRenamed("prediction", prediction)  # [PRJ6]
-    return with_risk(predicted, prediction).select(
-        "scoring_time", *keys, *features, prediction, "risk_score", "severity", "risk_classification"
-    )
+    renamed = F.struct(F.col("prediction").alias(prediction))  # [PRJ6]
+    predicted = model.transform(stamped).select("scoring_time", *keys, *features, fields_once(renamed))
+    return with_risk(predicted, prediction)
 
 
 def critical_alerts(predictions: DataFrame) -> DataFrame:

@@ -1,0 +1,63 @@
+import math
+import random
+
+import pytest
+from conftest import plan
+from pyspark.ml.evaluation import RegressionEvaluator
+
+from eventlake.operators.metrics import regression_metrics
+from eventlake.plans.training import best, leaderboard, measure
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e6])
+def test_equal_to_the_evaluator_and_to_brute_force(spark, offset):
+    source = random.Random(7)
+    pairs = [(offset + source.gauss(0, 3), offset + source.gauss(0, 3)) for _ in range(500)]
+    rows = spark.createDataFrame(pairs, "y DOUBLE, prediction DOUBLE")
+    measured = regression_metrics(rows, "y").first()
+    assert measured.n == len(pairs)
+    for name in ("rmse", "mae", "r2"):
+        evaluator = RegressionEvaluator(labelCol="y", predictionCol="prediction", metricName=name)
+        assert measured[name] == pytest.approx(evaluator.evaluate(rows), rel=1e-9)
+    mean = math.fsum(y for y, _ in pairs) / len(pairs)
+    squares = math.fsum((y - p) ** 2 for y, p in pairs)
+    assert measured.rmse == pytest.approx(math.sqrt(squares / len(pairs)))
+    assert measured.mae == pytest.approx(math.fsum(abs(y - p) for y, p in pairs) / len(pairs))
+    assert measured.r2 == pytest.approx(1 - squares / math.fsum((y - mean) ** 2 for y, _ in pairs))
+
+
+def test_constant_label(spark):
+    off = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "y DOUBLE, prediction DOUBLE")
+    exact = spark.createDataFrame([(1.0, 1.0)], "y DOUBLE, prediction DOUBLE")
+    assert regression_metrics(off, "y").first().r2 == -math.inf
+    assert math.isnan(regression_metrics(exact, "y").first().r2)
+
+
+def test_no_rows(spark):
+    empty = spark.createDataFrame([], "y DOUBLE, prediction DOUBLE")
+    assert tuple(regression_metrics(empty, "y").first()) == (0, None, None, None)
+
+
+@pytest.fixture
+def measured(spark):
+    rows = [(0, "nan", math.nan), (1, "late", 2.0), (2, "a", 1.0), (3, "b", 1.0), (4, "none", None)]
+    return spark.createDataFrame(
+        [(place, name, rmse, 0.0, 0.0) for place, name, rmse in rows],
+        "place INT, name STRING, rmse DOUBLE, mae DOUBLE, r2 DOUBLE",
+    )
+
+
+def test_order_and_choice(measured):
+    assert [row.name for row in leaderboard(measured).collect()] == ["a", "b", "late", "nan", "none"]
+    assert best(measured).first().name == "a"
+
+
+def test_no_usable_model(measured):
+    assert best(measured.where("name IN ('nan', 'none')")).count() == 0
+
+
+def test_one_scan_for_all_predictions(spark):
+    rows = spark.range(100).selectExpr("CAST(id AS DOUBLE) AS y", "CAST(id AS DOUBLE) + 1 AS p", "0D AS q")
+    both = measure(rows, {"P": "p", "Q": "q"}, "y")
+    assert plan(both).count("Range (") == 1
+    assert [(row.place, row.name, row.mae) for row in both.collect()] == [(0, "P", 1.0), (1, "Q", 49.5)]

@@ -1,0 +1,49 @@
+from datetime import datetime, timezone
+
+import pytest
+from conftest import multiset
+
+from eventlake.plans.registry import ModelRegistry
+from eventlake.plans.training import fit, linear_regression
+from eventlake.schemas import FEATURES, MODEL_POINTER
+
+
+@pytest.fixture(scope="module")
+def model(events):
+    return fit(events, linear_regression())
+
+
+def test_publish_and_load(spark, events, model, path):
+    registry = ModelRegistry(spark, path("models"))
+    at = datetime(2024, 5, 6, 7, 8, 9, tzinfo=timezone.utc)
+    saved = registry.publish(model, "LinearRegression", 0.25, at)
+    assert saved == path("models") + "/LinearRegression_20240506_070809"
+    pointer = registry.latest()
+    assert pointer.schema == MODEL_POINTER
+    assert [tuple(row) for row in pointer.collect()] == [(saved, "20240506_070809", "LinearRegression", 0.25)]
+    assert len(pointer.inputFiles()) == 1
+    rows = events.select(*FEATURES)
+    assert multiset(registry.load().transform(rows).select("prediction")) == multiset(
+        model.transform(rows).select("prediction")
+    )
+
+
+def test_the_pointer_follows_the_last_publication(spark, model, path):
+    registry = ModelRegistry(spark, path("models"))
+    first = registry.publish(model, "A", 2.0, datetime(2024, 1, 1, tzinfo=timezone.utc))
+    second = registry.publish(model, "B", 3.0, datetime(2024, 1, 2, tzinfo=timezone.utc))
+    assert registry.resolve() == second
+    assert registry.resolve(first) == first
+    assert registry.load(first).stages[-1].intercept == model.stages[-1].intercept
+
+
+def test_same_run_id_overwrites(spark, model, path):
+    registry = ModelRegistry(spark, path("models"))
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    assert registry.publish(model, "A", 2.0, at) == registry.publish(model, "A", 1.0, at)
+    assert registry.latest().first().rmse == 1.0
+
+
+def test_nothing_published(spark, path):
+    with pytest.raises(ValueError, match="publish one first"):
+        ModelRegistry(spark, path("none")).load()
