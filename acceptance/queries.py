@@ -175,7 +175,7 @@ def run_ids(spark, sf_dir):
 
 def local_relation(spark, sf_dir):
     """SRC7: a constant relation of response hours per severity, joined to every event"""
-    hours = local_rows(spark, [("HIGH", 1), ("MEDIUM", 8), ("LOW", 72)], "severity STRING, hours BIGINT")
+    hours = local_rows(spark, [("HIGH", 1), ("MEDIUM", 8), ("LOW", 72)], struct(severity="string", hours="long"))
     scores = RISK_SCORE.column(F.col(scoring.PREDICTION_NAME))
     banded = _predicted(spark, sf_dir).select("event_id", SEVERITY.column(scores).alias("severity"))
     return banded.join(hours, "severity")
@@ -252,7 +252,7 @@ def ols_coefficients(spark, sf_dir):
     """ML1, ML3, ML6"""
     model = least_squares(spark, sf_dir).stages[-1]
     terms = [("intercept", float(model.intercept)), *zip(LINE_FEATURES, map(float, model.coefficients))]
-    return local_rows(spark, terms, "term STRING, weight DOUBLE").select("term", rounded("weight", 5))
+    return local_rows(spark, terms, struct(term="string", weight="double")).select("term", rounded("weight", 5))
 
 
 def _split_table(spark, sf_dir):

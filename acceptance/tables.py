@@ -21,10 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return read_table(spark, f"{sf_dir}/{name}.parquet", columns=columns or None)
 
 
+BATCH_BYTES = 1 << 40  # a backlog comes in batches that a failure may repeat
+
+
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The whole table as a file stream; a glob, because a stream cannot start at a single file's path."""
     schema = read_table(spark, f"{sf_dir}/{name}.parquet").schema
-    return read_events(spark, file_source(f"{sf_dir}/{name}.parque[t]", "parquet", schema))
+    source = file_source(f"{sf_dir}/{name}.parque[t]", "parquet", schema, maxBytesPerTrigger=str(BATCH_BYTES))
+    return read_events(spark, source)
 
 
 def signal() -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.sources.paths import qualified
+
 
 def _quoted(name: str) -> str:
     return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
@@ -29,19 +31,13 @@ def register(spark: SparkSession, table: str, path: str, format: str = "parquet"
     """
     if not spark.catalog.tableExists(table):
         spark.catalog.createTable(table, path=path, source=format)
-    elif _absolute(spark, location(spark, table)) != _absolute(spark, path):
+    elif qualified(spark, location(spark, table)) != qualified(spark, path):
         raise ValueError(f"{table} is registered at {location(spark, table)}, not {path}")
     if format != "delta" and any(column.isPartition for column in spark.catalog.listColumns(table)):
         spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)
 
 
-def _absolute(spark: SparkSession, path: str) -> str:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return hadoop_path.getFileSystem(conf).makeQualified(hadoop_path).toString()
-
-
 def query(spark: SparkSession, text: str, **parameters) -> DataFrame:
     """SQL over registered tables [CAT3, PRJ8, LIM1], values bound to ``:name`` markers [CAT4]."""
     return spark.sql(text, args=parameters or None)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.functions.stamps import model_path, run_id
-from eventlake.schemas import MODEL_POINTER
+from eventlake.schemas import MODEL_POINTER, struct
 from eventlake.sources.paths import exists
 from eventlake.sources.tables import local_rows
 
@@ -33,7 +33,8 @@ class ModelRegistry:
         """
         at = at or datetime.now(timezone.utc)
         stamp = f"{at:%Y-%m-%d %H:%M:%S}"
-        pointer = local_rows(self.spark, [(stamp, name, float(rmse))], "moment STRING, model_name STRING, rmse DOUBLE")
+        outcome = struct(moment="string", model_name="string", rmse="double")
+        pointer = local_rows(self.spark, [(stamp, name, float(rmse))], outcome)
         pointer = pointer.withColumn("timestamp", run_id(F.col("moment").cast("timestamp_ntz")))
         pointer = pointer.withColumn("model_path", model_path(self.base, F.col("model_name"), F.col("timestamp")))
         row = pointer.select(*MODEL_POINTER.names).first()

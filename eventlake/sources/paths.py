@@ -5,8 +5,25 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a Hadoop path exists."""
+def _resolved(spark: SparkSession, path: str):
+    """A path's Hadoop file system and Hadoop form."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return hadoop_path.getFileSystem(conf).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists."""
+    files, hadoop_path = _resolved(spark, path)
+    return files.exists(hadoop_path)
+
+
+def has_content(spark: SparkSession, path: str) -> bool:
+    """Whether a directory exists and holds anything; lists no further than its first entry."""
+    files, hadoop_path = _resolved(spark, path)
+    return files.exists(hadoop_path) and files.listStatusIterator(hadoop_path).hasNext()
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system spelled out."""
+    files, hadoop_path = _resolved(spark, path)
+    return files.makeQualified(hadoop_path).toString()

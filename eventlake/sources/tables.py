@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
@@ -28,6 +30,12 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, **options) -> D
     return spark.read.options(header=True, **options).schema(schema).csv(path)
 
 
-def local_rows(spark: SparkSession, rows: list[tuple], schema: StructType | str) -> DataFrame:
-    """A handful of driver rows as a DataFrame, with a stated schema [SRC7]."""
-    return spark.createDataFrame(rows, schema)
+def local_rows(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
+    """A handful of driver rows as a DataFrame, with a stated schema [SRC7].
+
+    They travel inside the plan, as an Arrow table, so the optimizer knows their
+    size: a join broadcasts them. Rows of a plain Python list have no known
+    size, and a join with them would shuffle the other side.
+    """
+    values = [dict(zip(schema.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(values, to_arrow_schema(schema)), schema)

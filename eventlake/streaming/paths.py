@@ -6,7 +6,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import SparkSession
 
-from eventlake.sources.paths import exists
+from eventlake.sources.paths import exists, has_content
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ class StreamPaths:
 
 
 def require_paired(spark: SparkSession, checkpoint: str, *outputs: str) -> None:
-    """Refuse a checkpoint that knows nothing of outputs that already exist.
+    """Refuse a checkpoint that knows nothing of outputs that already hold data.
 
     Batch numbers would start over: a file sink would skip new data as already
     committed, and per-batch overwrites would replace older batches.
@@ -41,7 +41,7 @@ def require_paired(spark: SparkSession, checkpoint: str, *outputs: str) -> None:
     if exists(spark, f"{checkpoint}/offsets"):
         return
     for path in outputs:
-        if exists(spark, path):
+        if has_content(spark, path):
             raise ValueError(
                 f"{path} was written under another checkpoint than {checkpoint}; "
                 "to start from scratch, move both to their next version"

@@ -1,7 +1,8 @@
 import pytest
-from conftest import multiset
+from conftest import multiset, plan
 from pyspark.errors import AnalysisException
 
+from eventlake.operators.clean import drop_incomplete
 from eventlake.schemas import EVENT, FEATURES, LABEL, PREDICTION, SCORE_EVENT, struct
 from eventlake.sinks.tables import append_table
 from eventlake.sources.events import file_source, kafka_source, read_events
@@ -74,3 +75,16 @@ def test_local_rows(spark):
     rows = local_rows(spark, [("A", 10), ("B", 20)], struct(key="string", value="long"))
     assert rows.dtypes == [("key", "string"), ("value", "bigint")]
     assert multiset(rows) == ["Row(key='A', value=10)", "Row(key='B', value=20)"]
+
+
+def test_local_rows_are_broadcast_to_a_large_table(spark):
+    rows = local_rows(spark, [(1, "a"), (2, None)], struct(id="long", name="string"))
+    joined = spark.range(1 << 40).join(rows, "id")
+    assert "BroadcastHashJoin" in plan(joined) and "BuildRight" in plan(joined)
+    assert "LocalTableScan" in plan(joined)
+
+
+def test_null_tests_reach_the_scan(spark, path):
+    append_table(spark.range(3).selectExpr("id", "CAST(id AS DOUBLE) AS x"), path("t"))
+    text = plan(drop_incomplete(read_table(spark, path("t"))))
+    assert "PushedFilters: [IsNotNull(id), IsNotNull(x)]" in text
