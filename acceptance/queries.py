@@ -286,9 +286,8 @@ def model_leaderboard(spark, sf_dir):
 
 
 def _published(spark, sf_dir):
-    rows = training_rows(spark, sf_dir)
     model = least_squares(spark, sf_dir)
-    rmse = regression_metrics(model.transform(rows), DEVIATION).first().rmse
+    rmse = regression_metrics(model.transform(training_rows(spark, sf_dir)), DEVIATION).first().rmse
     registry = ModelRegistry(spark, work_path(spark, "models"))
     registry.publish(model, "LinearRegression", rmse)
     return registry
@@ -304,7 +303,8 @@ def model_pointer(spark, sf_dir):
 def latest_model_scores(spark, sf_dir):
     """SRC8, ML7, PRJ5, PRJ6"""
     model = _published(spark, sf_dir).load()
-    return _scores(scoring.score(training_rows(spark, sf_dir), model, LINE_FEATURES, LINE_KEYS))
+    lines = spread(table(spark, sf_dir, "lineitem", *LINE_KEYS, *LINE_FEATURES))
+    return _scores(scoring.score(lines, model, LINE_FEATURES, LINE_KEYS))
 
 
 def _scores(predictions: DataFrame) -> DataFrame:

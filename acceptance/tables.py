@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.functions.hashing import hash_bucket
+from eventlake.functions.once import fields_once
 from eventlake.operators.physical import held, spread
 from eventlake.plans.training import fit, linear_regression
 from eventlake.sources.events import file_source, read_events
@@ -42,13 +43,13 @@ def deviation() -> Column:
 
 
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem", *LINE_KEYS, *LINE_FEATURES))
-    return lines.withColumn(DEVIATION, deviation())
+    lines = table(spark, sf_dir, "lineitem", *LINE_KEYS, *LINE_FEATURES)
+    return lines.select("*", fields_once(F.struct(deviation().alias(DEVIATION))))
 
 
 def least_squares(spark: SparkSession, sf_dir: str) -> PipelineModel:
     """Linear model of the planted label over the whole table; fitting reads its input three times."""
-    with held(training_rows(spark, sf_dir).select(*LINE_FEATURES, DEVIATION)) as rows:
+    with held(spread(training_rows(spark, sf_dir).select(*LINE_FEATURES, DEVIATION))) as rows:
         return fit(rows, linear_regression(DEVIATION), LINE_FEATURES)
 
 

@@ -116,6 +116,14 @@ def test_both_tables_share_scoring_times_by_batch(spark, topic, path, model):
     assert predictions.select("scoring_time").distinct().count() > 1
 
 
+def test_alerts_are_filtered_in_the_scan_of_one_committed_batch(spark, topic, path, model):
+    run_scoring(spark, topic, model, path)
+    committed = tables.read_batch(spark, path("pred"), 1)
+    assert "batch_id" not in committed.columns
+    assert all("/batch_id=1/" in name for name in committed.inputFiles())
+    assert "EqualTo(severity,HIGH)" in plan(critical_alerts(committed))
+
+
 def test_restarted_scoring_adds_only_what_is_new(spark, events, topic, path, model):
     for expected in (100, 100):
         run_scoring(spark, topic, model, path)
