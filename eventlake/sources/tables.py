@@ -26,8 +26,13 @@ def read_table(
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
-    """CSV files with a header row and a stated schema, so no inference pass [SRC6]."""
-    return spark.read.options(header=True, **options).schema(schema).csv(path)
+    """CSV files with a header row and a stated schema, so no inference pass [SRC6].
+
+    A quote inside quotes is doubled. Files are split between tasks, so a line
+    break inside quotes needs ``multiLine=True``, which reads each file whole.
+    """
+    settings = {"header": True, "escape": '"', **options}
+    return spark.read.options(**settings).schema(schema).csv(path)
 
 
 def local_rows(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:

@@ -1,7 +1,11 @@
 """What becomes of a payload, and at which cost."""
 
+import json
+
 import pytest
 from conftest import multiset, plan
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from eventlake.operators.clean import drop_incomplete
@@ -49,6 +53,27 @@ def test_edge_payloads(spark, optimize):
         assert (i in kept) == keep, payload
 
 
+NUMBERS = st.none() | st.integers(-(2**60), 2**60) | st.floats() | st.booleans() | st.sampled_from(["NaN", "1", ""])
+OBJECTS = st.fixed_dictionaries({}, optional={"timestamp": st.text(max_size=5), "x": NUMBERS, "y": NUMBERS})
+
+
+def as_double(value):
+    """What a double field holds of a JSON value."""
+    if value == "NaN":
+        return NAN
+    return float(value) if isinstance(value, (int, float)) and not isinstance(value, bool) else None
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(OBJECTS, min_size=20, max_size=60))
+def test_random_objects_by_brute_force(spark, objects):
+    messages = spark.createDataFrame([(i, json.dumps(o)) for i, o in enumerate(objects)], "id INT, value STRING")
+    rows = decode_json(messages, SCHEMA, keep=["id"]).orderBy("id").collect()
+    for row, o in zip(rows, objects, strict=True):
+        assert row.timestamp == o.get("timestamp")
+        assert repr((row.x, row.y)) == repr((as_double(o.get("x")), as_double(o.get("y"))))
+
+
 def test_binary_and_text_payloads_agree(spark):
     messages = spark.createDataFrame([('{"timestamp":"é","x":1,"y":2}',)], "value STRING")
     binary = messages.select(F.col("value").cast("binary").alias("value"))

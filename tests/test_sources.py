@@ -63,11 +63,11 @@ def test_merged_schemas(spark, path):
 
 
 def test_csv(spark, path):
-    lines = ["timestamp,x,note", "t1,1.5,a", 't2,,"b, c"', "t3,oops,"]
+    lines = ["timestamp,x,note", "t1,1.5,a", 't2,,"b, c"', "t3,oops,", 't4,1e3,"say ""hi"" \\"']
     spark.createDataFrame([(line,) for line in lines], "value STRING").coalesce(1).write.text(path("csv"))
     rows = read_csv(spark, path("csv"), struct(timestamp="string", x="double", note="string"))
     assert [tuple(row) for row in rows.orderBy("timestamp").collect()] == [
-        ("t1", 1.5, "a"), ("t2", None, "b, c"), ("t3", None, None),
+        ("t1", 1.5, "a"), ("t2", None, "b, c"), ("t3", None, None), ("t4", 1000.0, 'say "hi" \\'),
     ]
 
 

@@ -153,6 +153,15 @@ def test_failure_between_the_writes_leaves_no_duplicates(spark, topic, path, mod
     assert multiset(alerts) == multiset(critical_alerts(predictions))
 
 
+def test_predictions_may_gain_columns(spark, events, topic, path, model):
+    run_scoring(spark, topic, model, path)
+    publish(to_messages(events.limit(5)), "text", topic)
+    run_scoring(spark, topic, model, path, keys=["timestamp", "cargo_condition_status"])
+    table = read_table(spark, path("pred"), merge_schema=True)
+    assert table.count() == 105
+    assert table.where("cargo_condition_status = 'ok'").count() == 5
+
+
 def test_debug_prints_events(spark, topic, path, model):
     source = messages(spark, topic)
     queries = start_scoring(
