@@ -127,7 +127,9 @@ ORACLES: dict[str, str] = {
         )
         SELECT name, rmse FROM measured ORDER BY rmse, place LIMIT 1""",
     "hash_split": f"SELECT l_orderkey, l_linenumber, l_partkey, {PART} AS part FROM lineitem",
-    "random_split_whole": "SELECT count(*) AS n, true AS share_kept FROM lineitem",
+    "random_split_whole": """
+        SELECT count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys, sum(l_quantity) AS quantity, true AS share_kept
+        FROM lineitem""",
     "assembled_features": """
         SELECT l_orderkey, l_linenumber, l_partkey,
             l_quantity AS feature_0, l_discount AS feature_1, l_tax AS feature_2
@@ -172,7 +174,7 @@ ORACLES: dict[str, str] = {
     "registered_predictions": f"SELECT severity, count(*) AS n FROM ({SCORES}) GROUP BY severity",
     "parameterised_sql": "SELECT event_id, value FROM events WHERE event_type = 'error' AND value >= 50",
     "sql_join": """
-        SELECT o_orderpriority, count(*) AS n_lines, sum(l_quantity) AS quantity
+        SELECT o_orderpriority, CAST(count(*) AS BIGINT) AS n_lines, sum(l_quantity) AS quantity
         FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderpriority""",
     "sql_group_by": """
         SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS quantity

@@ -227,10 +227,15 @@ def hash_split(spark, sf_dir):
 
 def random_split_whole(spark, sf_dir):
     """ML2: both parts together are the table, in the asked shares"""
-    train, test = random_split(training_rows(spark, sf_dir))
-    both = train.select(F.lit(1).alias("train")).unionAll(test.select(F.lit(0).alias("train")))
+    train, test = random_split(table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity"))
+    both = train.withColumn("train", F.lit(1)).unionAll(test.withColumn("train", F.lit(0)))
     share = F.abs(F.avg("train") - 0.8) < 0.01
-    return both.agg(F.count(F.lit(1)).alias("n"), share.alias("share_kept"))
+    return both.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("l_orderkey").alias("keys"),
+        F.sum("l_quantity").alias("quantity"),
+        share.alias("share_kept"),
+    )
 
 
 def assembled_features(spark, sf_dir):
@@ -242,7 +247,7 @@ def assembled_features(spark, sf_dir):
 
 def spread_and_hold(spark, sf_dir):
     """PHY1, PHY2"""
-    rows = spread(table(spark, sf_dir, "events", "event_id", "value"), 16)
+    rows = spread(table(spark, sf_dir, "events", "event_id", "value"))
     with held(rows) as cached:
         n = cached.count()
     return rows.withColumn("n", F.lit(n).cast("bigint"))

@@ -1,8 +1,10 @@
 """Every registered query against its SQL oracle."""
 
 import os
+import re
 
 import pytest
+from conftest import plan
 
 from acceptance.check import oracle_rows, spark_rows
 from acceptance.oracles import ORACLES
@@ -18,7 +20,9 @@ def test_only_tree_ensembles_lack_an_oracle():
 
 @pytest.mark.parametrize("name", ORACLES)
 def test_oracle(spark, name):
-    assert spark_rows(QUERIES[name](spark, SF_DIR)) == oracle_rows(SF_DIR, ORACLES[name])
+    result = QUERIES[name](spark, SF_DIR)
+    assert not re.search("Cartesian|NestedLoop|Python|Pandas|ExistingRDD", plan(result))
+    assert spark_rows(result) == oracle_rows(SF_DIR, ORACLES[name])
 
 
 def test_model_leaderboard(spark):
