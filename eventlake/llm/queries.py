@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from eventlake.llm.bpe import token_digests
 from eventlake.llm.minhash import similar_documents
+from eventlake.llm.sharding import shard_documents, shard_sql
 from eventlake.llm.tables import table
+from eventlake.llm.topk import NEAREST_SQL, nearest
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
+SHARDS = 24
+
+
+def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of equal weight."""
+    return shard_documents(table(spark, sf_dir, "documents"), SHARDS)
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,7 +27,23 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_branch_and_bound_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth vector."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of all documents, encoded and decoded."""
+    return token_digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
+
+
 QUERIES = {
+    "op4_rendezvous_sharding": op4_rendezvous_sharding,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op8_branch_and_bound_top_k": op8_branch_and_bound_top_k,
+    "op9_byte_bpe": op9_byte_bpe,
+}
+ORACLES: dict[str, str] = {
+    "op4_rendezvous_sharding": shard_sql(SHARDS),
+    "op8_branch_and_bound_top_k": NEAREST_SQL,
 }
-ORACLES: dict[str, str] = {}
