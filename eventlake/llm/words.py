@@ -130,3 +130,38 @@ def common(a: np.ndarray, b: np.ndarray) -> int:
     at = np.searchsorted(b, a)
     at[at == len(b)] = len(b) - 1
     return int((b[at] == a).sum())
+
+
+#: Bytes of words for letter tokens: ASCII letters and digits, and all bytes of other characters.
+_TOKEN = np.zeros(256, bool)
+_TOKEN[48:58] = _TOKEN[65:91] = _TOKEN[97:123] = True
+_TOKEN[128:] = True
+
+
+def letter_tokens(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...], suffix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of runs of letters, one column each for the run, its first bytes and its last; as `word_hashes` otherwise."""
+    width = 2 + len(prefixes)
+    none = np.zeros(0, np.int64)
+    word = _TOKEN[data]
+    before = np.empty_like(word)
+    if len(word):
+        before[0], before[1:] = False, word[:-1]
+        inner = offsets[1:-1]
+        before[inner[inner < len(data)]] = False
+    starts = np.flatnonzero(word & ~before)
+    if not len(starts):
+        return np.zeros((0, width), np.uint64), np.zeros(len(offsets) - 1, np.int64), none, none
+    after = np.empty_like(word)
+    after[-1], after[:-1] = False, word[1:]
+    after[inner[inner > 0] - 1] = False
+    ends = np.flatnonzero(word & ~after) + 1
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[_LOWER[data]] * _power(_BASE, len(data)), out=sums[1:])
+    back = _power(_INVERSE, len(data))
+    out = np.empty((len(starts), width), np.uint64)
+    out[:, 0] = mix((sums[ends] - sums[starts]) * back[starts])
+    for k, length in enumerate(prefixes, 1):
+        out[:, k] = mix((sums[np.minimum(starts + length, ends)] - sums[starts]) * back[starts])
+    last = np.maximum(ends - suffix, starts)
+    out[:, -1] = mix((sums[ends] - sums[last]) * back[last])
+    return out, np.diff(np.searchsorted(starts, offsets)), starts, ends
