@@ -2,12 +2,14 @@
 
 How candidates are found without an unbounded group: every band bucket is cut
 into blocks of about `BLOCK` members, each with the bucket's least member added.
-A block picks pairs by the agreement of signatures: first those of a maximum
-spanning forest, then others up to a budget. Picked pairs are verified on whole
-shingle sets and become links; where a block held more pairs than its budget, or
-a bucket more than one block, the bucket is looked at again, now only for pairs
-between different components, with a growing budget, until every bucket has
-shown all its pairs. So no pair is given up, and copies of one text cost one link.
+A block hands on a maximum spanning forest of its pairs with agreeing signatures,
+so no more pairs than members; blocks of one bucket that are not joined this way
+are compared with each other, and again hand on a forest. The forests' components
+are the groups inside which links can be. Forest pairs are verified on whole
+shingle sets. Groups that the verified links leave in several parts are then
+settled: blocks of their members meet, with their sets, and every pair of
+different parts with agreeing signatures is verified there. So no pair is given
+up, copies of one text cost one link, and no list of all pairs is made.
 """
 
 from __future__ import annotations
@@ -28,8 +30,6 @@ from eventlake.llm.words import common, distinct_sorted, mix, shingle_hashes, wo
 BANDS, ROWS = 32, 4
 #: Members of a block, on average.
 BLOCK = 48
-#: Pairs that a block hands on at first, as a multiple of its members.
-BUDGET = 4
 
 _random = np.random.default_rng(75)
 _A = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -83,59 +83,67 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _best_pairs(similar: np.ndarray, group: np.ndarray, least: float, budget: int) -> tuple[list[tuple[int, int]], bool]:
-    """Pairs of members of different groups: a maximum spanning forest, then the most similar; whether all were taken."""
-    a, b = np.nonzero(np.triu(similar >= least, 1) & (group[:, None] != group[None, :]))
-    order = np.lexsort((b, a, -similar[a, b]))
-    root = {int(g): int(g) for g in np.unique(group)}
+class _Parts:
+    """Parts of a block's members that are joined pair by pair."""
 
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
+    def __init__(self, names: list) -> None:
+        number = {name: i for i, name in enumerate(dict.fromkeys(names))}
+        self.part = np.array([number[name] for name in names])
+        self.up = list(range(len(number)))
+
+    def top(self, member: int) -> int:
+        x = int(self.part[member])
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
         return x
 
-    forest, rest = [], []
-    for k in order:
-        x, y = top(int(group[a[k]])), top(int(group[b[k]]))
-        if x != y:
-            root[x] = y
-            forest.append((int(a[k]), int(b[k])))
-        else:
-            rest.append((int(a[k]), int(b[k])))
-    more = max(0, budget - len(forest))
-    return forest + rest[:more], len(rest) <= more
+    def join(self, a: int, b: int) -> None:
+        self.up[self.top(a)] = self.top(b)
+
 
+def _agreeing(members: list[dict], parts: _Parts, least: float) -> Iterator[tuple[int, int]]:
+    """Pairs of members of different parts whose signatures agree in a share of `least`, the most similar first."""
+    sig = np.frombuffer(b"".join(m["sig"] for m in members), np.uint8).reshape(len(members), -1)
+    n = np.array([m["n"] for m in members], np.float64)
+    similar = np.stack([(sig == s).mean(axis=1) for s in sig])
+    # sizes alone rule a pair out
+    similar[np.minimum(n[:, None], n[None, :]) * 4 < 3 * np.maximum(n[:, None], n[None, :])] = -1
+    a, b = np.nonzero(np.triu(similar >= least, 1) & (parts.part[:, None] != parts.part[None, :]))
+    for k in np.lexsort((b, a, -similar[a, b])):
+        yield int(a[k]), int(b[k])
 
-def _pick(least: float, factor: int):
-    """Pairs of each block that may be links; a row without a pair tells that a block has more of them."""
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _links_of_blocks(least: float, percent: int | None):
+    """A maximum spanning forest of the agreeing pairs of each block; with `percent`, of those that are links on whole sets."""
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bucket, left, right, more = [], [], [], []
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
                 # a member listed twice (the bucket's least in its own block) counts once
-                members = list({m["key"]: m for m in row["members"]}.values())
-                if len(members) < 2:
-                    continue
-                sig = np.frombuffer(b"".join(m["sig"] for m in members), np.uint8).reshape(len(members), -1)
-                n = np.array([m["n"] for m in members], np.float64)
-                names = {r: i for i, r in enumerate(dict.fromkeys(m["root"] for m in members))}
-                group = np.array([names[m["root"]] for m in members])
-                if len(names) < 2:
+                members = list({m["key"]: m for m in batch.column("members")[at].as_py()}.values())
+                parts = _Parts([m["root"] for m in members])
+                if len(parts.up) < 2:
                     continue
-                similar = np.stack([(sig == s).mean(axis=1) for s in sig])
-                # sizes alone rule a pair out
-                similar[np.minimum(n[:, None], n[None, :]) * 4 < 3 * np.maximum(n[:, None], n[None, :])] = -1
-                pairs, whole = _best_pairs(similar, group, least, factor * len(members))
-                for a, b in pairs:
+                sets: dict[int, np.ndarray] = {}
+                left, right = [], []
+                for a, b in _agreeing(members, parts, least):
+                    if parts.top(a) == parts.top(b):
+                        continue
+                    if percent is not None:
+                        for m in (a, b):
+                            if m not in sets:
+                                sets[m] = np.frombuffer(members[m]["shingles"], np.uint64)
+                        both = common(sets[a], sets[b])
+                        if 100 * both < percent * (len(sets[a]) + len(sets[b]) - both):
+                            continue
+                    parts.join(a, b)
                     x, y = sorted((members[a]["key"], members[b]["key"]))
-                    bucket.append(row["bucket"]), left.append(x), right.append(y), more.append(False)
-                if not whole:
-                    bucket.append(row["bucket"]), left.append(None), right.append(None), more.append(True)
-            yield pa.record_batch([pa.array(bucket, pa.int64()), pa.array(left, pa.binary()), pa.array(right, pa.binary()), pa.array(more, pa.bool_())], names=["bucket", "a", "b", "more"])
+                    left.append(x), right.append(y)
+                if left:
+                    yield pa.record_batch([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
 
-    return pick
+    return links
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,43 +172,43 @@ def _confirm(percent: int):
     return confirm
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole shingle sets are similar enough. texts: (text_key, text)."""
-    ends = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
-    wanted = written(ends.join(nodes.select("key", "text_key"), "key"), "ends")
-    whole = texts.join(wanted, "text_key").groupBy("key").agg(F.first("text").alias("text"))
-    sets = written(whole.mapInArrow(_sets, "key binary, shingles binary"), "sets")
+def _sets_of(keys: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(key, shingles) of some keys. texts: (text_key, text); nodes tells one text of each key."""
+    wanted = written(keys.join(nodes.select("key", "text_key"), "key"), "wanted")
+    whole = texts.hint("merge").join(wanted, "text_key").groupBy("key").agg(F.first("text").alias("text"))
+    return written(whole.mapInArrow(_sets, "key binary, shingles binary"), "sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole shingle sets are similar enough."""
     first = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
     both = first.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
     return written(both.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a binary, b binary"), "links")
 
 
-def _block_pairs(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(bucket, members): all pairs of blocks of each bucket, but for those inside one component.
+def _block_pairs(members: DataFrame, carried: list[str]) -> DataFrame:
+    """(members): all pairs of blocks of each group that has several roots, but for those inside one root.
 
-    members: bucket, key, n, sig. roots: key, root; a key without one is its own.
+    members: group, key, root and the carried columns. A root with many members
+    in a group has blocks of its own; the others share blocks.
     """
-    member = F.struct("key", "root", "n", "sig")
-    own = members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    own = written(own.select("bucket", "key", "root", "n", "sig"), "members")
-    sizes = written(own.groupBy("bucket", "root").agg(F.count("*").alias("c")), "sizes")
+    sizes = written(members.groupBy("group", "root").agg(F.count("*").alias("c")), "sizes")
     large = F.col("c") >= BLOCK
-    buckets = sizes.groupBy("bucket").agg(F.count("*").alias("roots"), F.sum(F.when(~large, F.col("c"))).alias("small"))
-    buckets = written(buckets.where("roots > 1"), "buckets")
-    placed = own.join(sizes, ["bucket", "root"]).join(buckets, "bucket")
-    # a large component has blocks of its own, the small ones of a bucket share blocks
-    alone = F.when(large, F.col("root"))
+    groups = sizes.groupBy("group").agg(F.count("*").alias("roots"), F.sum(F.when(~large, F.col("c"))).alias("small"))
+    groups = written(groups.where("roots > 1"), "groups")
+    placed = members.join(written(sizes.join(groups, "group"), "sizes"), ["group", "root"])
+    alone = F.when(large, F.col("root")).alias("alone")
     share = F.when(large, F.pmod(F.xxhash64("key"), F.ceil(F.col("c") / BLOCK))).otherwise(F.pmod(F.xxhash64("root"), F.ceil(F.col("small") / BLOCK)))
-    blocks = placed.groupBy("bucket", alone.alias("alone"), share.alias("share")).agg(F.collect_list(member).alias("members"))
+    blocks = placed.groupBy("group", alone, share.alias("share")).agg(F.collect_list(F.struct("key", "root", *carried)).alias("members"))
     blocks = written(blocks.withColumn("block", F.xxhash64(F.coalesce("alone", F.lit(b"")), "share")), "blocks")
-    heads = blocks.select("bucket", F.col("block").alias("other"), F.col("alone").alias("other_alone"))
-    pairs = written(
-        blocks.select("bucket", "block", "alone").join(heads, "bucket").where("block <= other and not coalesce(alone = other_alone, false)").select("bucket", "block", "other"),
-        "block-pairs",
-    )
-    left = pairs.join(blocks.select("bucket", "block", "members"), ["bucket", "block"])
-    right = blocks.select("bucket", F.col("block").alias("other"), F.col("members").alias("others"))
-    return left.join(right, ["bucket", "other"]).select("bucket", F.when(F.col("block") == F.col("other"), F.col("members")).otherwise(F.concat("members", "others")).alias("members"))
+    heads = blocks.select("group", "block", "alone")
+    others = heads.select("group", F.col("block").alias("other"), F.col("alone").alias("other_alone"))
+    pairs = heads.join(others, "group").where("block <= other and not coalesce(alone = other_alone, false)")
+    pairs = written(pairs.select("group", "block", "other"), "block-pairs")
+    left = pairs.join(blocks.select("group", "block", "members"), ["group", "block"])
+    right = blocks.select("group", F.col("block").alias("other"), F.col("members").alias("others"))
+    met = left.join(right, ["group", "other"])
+    return met.select(F.when(F.col("block") == F.col("other"), F.col("members")).otherwise(F.concat("members", "others")).alias("members"))
 
 
 def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 75) -> DataFrame:
@@ -243,32 +251,37 @@ def similar_links(nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame
     buckets = written(buckets.where("size > 1"), "buckets")
     members = written(placed.join(buckets, "bucket").select("bucket", "key", "size", "least"), "members")
     signs = nodes.select("key", "n", "sig")
-    full = members.join(signs, "key")
     # signatures agree by chance in one of 256 bytes; five deviations below the threshold
     share = percent / 100
     least = share - 5 * (share * (1 - share) / (BANDS * ROWS)) ** 0.5
-    shape = "bucket bigint, a binary, b binary, more boolean"
-    anchors = members.where(F.col("size") > BLOCK).select("bucket", "size", F.col("least").alias("key")).distinct().join(signs, "key")
-    shares = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("size") / BLOCK) - 1).cast("int")))
-    member = F.struct("key", F.col("key").alias("root"), "n", "sig")
-    share_of = F.pmod(F.xxhash64("key"), F.ceil(F.col("size") / BLOCK)).cast("int")
-    spread = full.select("bucket", share_of.alias("share"), member.alias("m")).unionAll(anchors.select("bucket", shares.alias("share"), member.alias("m")))
-    blocks = spread.groupBy("bucket", "share").agg(F.collect_list("m").alias("members"))
-    picked = written(blocks.mapInArrow(_pick(least, BUDGET), shape), "picked")
-    open_buckets = picked.where("more").select("bucket").unionAll(buckets.where(F.col("size") > BLOCK).select("bucket")).distinct()
-    tested = written(picked.where("not more").select("a", "b").distinct(), "pairs")
-    links = _verified(tested, nodes, texts, percent)
-    factor = BUDGET
-    while True:
-        open_buckets = written(open_buckets, "open")
-        if open_buckets.isEmpty():
-            return links
-        roots = components(links).withColumnRenamed("node", "key")
-        still = members.join(open_buckets, "bucket").join(signs, "key").select("bucket", "key", "n", "sig")
-        picked = written(_block_pairs(still, roots).mapInArrow(_pick(least, factor), shape), "picked")
-        fresh = written(picked.where("not more").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        if not fresh.isEmpty():
-            links = links.unionAll(_verified(fresh, nodes, texts, percent))
-            tested = tested.unionAll(fresh)
-        open_buckets = picked.where("more").select("bucket").distinct()
-        factor *= 4
+    pair = "a binary, b binary"
+    member = F.struct("key", F.col("key").alias("root"), "n", "sig").alias("m")
+    blocks_of = F.ceil(F.col("size") / BLOCK)
+    share_of = F.pmod(F.xxhash64("key"), blocks_of).cast("int").alias("share")
+    every_share = F.explode(F.sequence(F.lit(0), (blocks_of - 1).cast("int"))).alias("share")
+    anchors = buckets.where(F.col("size") > BLOCK).select("bucket", every_share, F.col("least").alias("key"))
+    spread = members.select("bucket", share_of, "key").unionAll(anchors).join(signs, "key")
+    blocks = spread.groupBy("bucket", "share").agg(F.collect_list(member).alias("members"))
+    pairs = written(blocks.select("members").mapInArrow(_links_of_blocks(least, None), pair).distinct(), "pairs")
+    groups = components(pairs).withColumnRenamed("node", "key")
+    # blocks of one bucket that hold different groups
+    large = members.where(F.col("size") > BLOCK).select(F.col("bucket").alias("group"), "key").join(groups, "key", "left")
+    large = written(large.withColumn("root", F.coalesce("root", "key")), "large-buckets")
+    if not large.isEmpty():
+        across = written(_block_pairs(large.join(signs, "key"), ["n", "sig"]).mapInArrow(_links_of_blocks(least, None), pair).distinct(), "pairs")
+        if not across.isEmpty():
+            pairs = pairs.unionAll(across)
+            groups = components(pairs).withColumnRenamed("node", "key")
+    sets = _sets_of(groups.select("key"), nodes, texts)
+    links = _verified(pairs, sets, percent)
+    roots = components(links).select(F.col("node").alias("key"), F.col("root").alias("part"))
+    # groups of three or more that are not one part yet; the one pair of two is verified already
+    parts = written(groups.join(roots, "key", "left").select(F.col("root").alias("group"), "key", F.coalesce("part", "key").alias("root")), "parts")
+    of_group = parts.groupBy("group", "root").agg(F.count("*").alias("c")).groupBy("group").agg(F.count("*").alias("parts"), F.sum("c").alias("c"))
+    unsettled = written(of_group.where("parts > 1 and c > 2").select("group"), "unsettled")
+    if unsettled.isEmpty():
+        return links
+    unsettled = written(parts.join(unsettled, "group"), "unsettled")
+    held = unsettled.join(signs, "key").join(sets, "key")
+    more = _block_pairs(held, ["n", "sig", "shingles"]).mapInArrow(_links_of_blocks(least, percent), pair).distinct()
+    return links.unionAll(written(more, "links"))
