@@ -14,73 +14,160 @@ up, copies of one text cost one link, and no list of all pairs is made.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.components import components
-from eventlake.llm.tables import slices, text_column, text_key, written
-from eventlake.llm.words import common, distinct_sorted, mix, shingle_hashes, word_hashes
+from eventlake.llm.tables import bit_filter, in_filter, slices, text_column, written
+from eventlake.llm.words import common, distinct_sorted, line_offsets, mix, sequence_keys, shingle_hashes, word_hashes
 
-#: A pair at a similarity of 0.75 shares no band with a probability of 5 in a million.
-BANDS, ROWS = 32, 4
 #: Members of a block, on average.
 BLOCK = 48
+#: Members whose blocks one task compares.
+BLOCK_ROWS = 5_000
+#: Bound of the number of minima.
+_MOST = 256
 
 _random = np.random.default_rng(75)
-_A = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
-_FOLD = _random.integers(0, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_A = _random.integers(0, 1 << 63, _MOST, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_B = _random.integers(0, 1 << 63, _MOST, dtype=np.uint64)
+_FOLD = _random.integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def minima(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """128 universal hash minima (32 bits each) of every row of `counts` hashes; rows need one at least."""
+@dataclass(frozen=True)
+class Banding:
+    """`bands` of `rows` minima each, for units (whole texts, or their lines) of `least_words` words or more."""
+
+    bands: int
+    rows: int
+    lines: bool = False
+    least_words: int = 1
+
+    @property
+    def minima(self) -> int:
+        return self.bands * self.rows
+
+
+#: Whole texts: a pair at a similarity of 0.75 shares no band with a probability of 5 in a million.
+TEXTS = Banding(32, 4)
+
+
+def minima(hashes: np.ndarray, counts: np.ndarray, number: int) -> np.ndarray:
+    """`number` universal hash minima (32 bits each) of every row of `counts` hashes; rows need one at least."""
     starts = np.cumsum(counts) - counts
     keys = hashes >> np.uint64(32)
-    out = np.empty((len(counts), BANDS * ROWS), np.uint64)
-    for i in range(BANDS * ROWS):
+    out = np.empty((len(counts), number), np.uint64)
+    for i in range(number):
         values = keys * _A[i]
         values += _B[i]
         out[:, i] = np.minimum.reduceat(values, starts)
     return out >> np.uint64(32)
 
 
-def _bands(least: np.ndarray) -> np.ndarray:
+def _bands(least: np.ndarray, banding: Banding) -> np.ndarray:
     """One 64-bit key for each band of a signature, different between bands."""
-    grouped = least.reshape(len(least), BANDS, ROWS)
-    return mix((grouped * _FOLD).sum(axis=2, dtype=np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    grouped = least.reshape(len(least), banding.bands, banding.rows)
+    total = (grouped * _FOLD[: banding.rows]).sum(axis=2, dtype=np.uint64)
+    return mix(total + np.arange(1, banding.bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
-    """The rows of a byte matrix as binary values."""
+    """The rows of a matrix as binary values."""
     rows = np.ascontiguousarray(rows).view(np.uint8).reshape(len(rows), -1)
     at = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(at), pa.py_buffer(rows.tobytes())])
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = text_column(batch.column("__text"))
-        for first, end in slices(offsets):
-            part, at = data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
-            words, counts, _, _ = word_hashes(part, at)
-            hashes, made = shingle_hashes(words, counts)
-            has = made > 0
-            least = np.zeros((end - first, BANDS * ROWS), np.uint64)
-            if has.any():
-                least[has] = minima(hashes, made[has])
-            ends = np.cumsum(made)
-            sizes = [len(distinct_sorted(hashes[e - m : e])) for e, m in zip(ends, made, strict=True)]
-            keys = [hashlib.blake2b(b" ".join(part[a:b].tobytes().lower().split()), digest_size=16).digest() if w else None for a, b, w in zip(at, at[1:], has, strict=False)]
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(len(least) + 1, dtype=np.int32) * BANDS), pa.array(_bands(least).view(np.int64).ravel()))
-            yield pa.record_batch(
-                [batch.column("__id").slice(first, end - first), batch.column("__text_key").slice(first, end - first), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), _binary(least.astype(np.uint8)), bands],
-                names=["id", "text_key", "key", "n", "sig", "bands"],
-            )
+@dataclass(frozen=True)
+class _Units:
+    """The units of a slice of texts that have enough words: row, number in the row, key, and shingles one after another."""
+
+    row: np.ndarray
+    no: np.ndarray
+    keys: np.ndarray
+    hashes: np.ndarray
+    made: np.ndarray
+
+
+def _units(data: np.ndarray, offsets: np.ndarray, banding: Banding) -> _Units:
+    if banding.lines:
+        at, row, no = line_offsets(data, offsets)
+    else:
+        at, row = offsets, np.arange(len(offsets) - 1)
+        no = np.zeros(len(row), np.int64)
+    words, counts, _, _ = word_hashes(data, at)
+    wanted = counts >= max(1, banding.least_words)
+    if not wanted.all():
+        words, counts, row, no = words[np.repeat(wanted, counts)], counts[wanted], row[wanted], no[wanted]
+    hashes, made = shingle_hashes(words, counts)
+    return _Units(row, no, sequence_keys(words, counts), hashes, made)
+
+
+def _signatures(banding: Banding):
+    def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            carried = [c for c in batch.schema.names if c != "__text"]
+            data, offsets = text_column(batch.column("__text"))
+            for first, end in slices(offsets):
+                units = _units(data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first], banding)
+                if not len(units.row):
+                    continue
+                least = minima(units.hashes, units.made, banding.minima)
+                ends = np.cumsum(units.made)
+                sizes = [len(distinct_sorted(units.hashes[e - m : e])) for e, m in zip(ends, units.made, strict=True)]
+                bands = pa.ListArray.from_arrays(pa.array(np.arange(len(least) + 1, dtype=np.int32) * banding.bands), pa.array(_bands(least, banding).view(np.int64).ravel()))
+                rows = pa.array(units.row + first)
+                yield pa.record_batch(
+                    [*[batch.column(c).take(rows) for c in carried], pa.array(units.no), _binary(units.keys), pa.array(sizes, pa.int64()), _binary(least.astype(np.uint8)), bands],
+                    names=[*carried, "no", "key", "n", "sig", "bands"],
+                )
+
+    return signatures
+
+
+def signed_units(docs: DataFrame, banding: Banding, carried: list[str], text_column: str = "text") -> DataFrame:
+    """The carried columns, no, key, n, sig, bands of every unit of `docs` with enough words, as a written table."""
+    rows = docs.select(*carried, F.col(text_column).alias("__text"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(carried)])
+    return written(rows.mapInArrow(_signatures(banding), f"{kinds}, no bigint, key binary, n bigint, sig binary, bands array<bigint>"), "signatures")
+
+
+def _colliding(seen: np.ndarray):
+    """(bucket, key) of the bands whose bucket may have other members."""
+
+    def colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bands = batch.column("bands")
+            flat = bands.flatten().to_numpy(zero_copy_only=False)
+            hit = np.flatnonzero(in_filter(seen, flat))
+            rows = hit // (len(flat) // batch.num_rows)
+            yield pa.record_batch([pa.array(flat[hit]), batch.column("key").take(pa.array(rows))], names=["bucket", "key"])
+
+    return colliding
+
+
+def _sets(banding: Banding, seen: np.ndarray):
+    """(key, shingles): sorted distinct shingle hashes of the units whose key may be wanted."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_column(batch.column("__text"))
+            for first, end in slices(offsets):
+                units = _units(data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first], banding)
+                hit = np.flatnonzero(in_filter(seen, np.ascontiguousarray(units.keys[:, 0])))
+                if len(hit):
+                    ends = np.cumsum(units.made)
+                    values = [distinct_sorted(units.hashes[ends[u] - units.made[u] : ends[u]]).tobytes() for u in hit]
+                    yield pa.record_batch([_binary(units.keys[hit]), pa.array(values, pa.binary())], names=["key", "shingles"])
+
+    return sets
 
 
 class _Parts:
@@ -146,19 +233,6 @@ def _links_of_blocks(least: float, percent: int | None):
     return links
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted distinct shingle hashes of each text."""
-    for batch in batches:
-        data, offsets = text_column(batch.column("text"))
-        for first, end in slices(offsets):
-            at = offsets[first : end + 1] - offsets[first]
-            words, counts, _, _ = word_hashes(data[offsets[first] : offsets[end]], at)
-            hashes, made = shingle_hashes(words, counts)
-            ends = np.cumsum(made)
-            sets = [distinct_sorted(hashes[e - m : e]).tobytes() for e, m in zip(ends, made, strict=True)]
-            yield pa.record_batch([batch.column("key").slice(first, end - first), pa.array(sets, pa.binary())], names=["key", "shingles"])
-
-
 def _confirm(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,88 +246,72 @@ def _confirm(percent: int):
     return confirm
 
 
-def _sets_of(keys: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(key, shingles) of some keys. texts: (text_key, text); nodes tells one text of each key."""
-    wanted = written(keys.join(nodes.select("key", "text_key"), "key"), "wanted")
-    whole = texts.hint("merge").join(wanted, "text_key").groupBy("key").agg(F.first("text").alias("text"))
-    return written(whole.mapInArrow(_sets, "key binary, shingles binary"), "sets")
+def _first_half(key: str):
+    """The first eight bytes of a key as the long that NumPy reads from them: the low byte comes first."""
+    total = F.lit(0).cast("bigint")
+    for k in range(8):
+        byte = F.conv(F.hex(F.substring(key, k + 1, 1)), 16, 10).cast("bigint")
+        total = total.bitwiseOR(F.shiftleft(byte, 8 * k))
+    return total
+
+
+def _sets_of(keys: DataFrame, docs: DataFrame, banding: Banding, text_column: str) -> DataFrame:
+    """(key, shingles) of some keys, from another pass over the texts, so that no text is shuffled."""
+    rows = keys.count()
+    wanted = written(keys, "wanted", rows)
+    seen = bit_filter(wanted.select(_first_half("key").alias("half")))
+    made = docs.select(F.col(text_column).alias("__text")).mapInArrow(_sets(banding, seen), "key binary, shingles binary")
+    sets = written(made.groupBy("key").agg(F.first("shingles").alias("shingles")), "sets", 2 * rows, BLOCK_ROWS)
+    return written(sets.join(wanted, "key", "left_semi"), "sets", rows, BLOCK_ROWS)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole shingle sets are similar enough."""
     first = pairs.join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("x")), "a")
     both = first.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("y")), "b")
-    return written(both.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a binary, b binary"), "links")
+    return written(both.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a binary, b binary"), "links", pairs.count(), BLOCK_ROWS)
 
 
-def _block_pairs(members: DataFrame, carried: list[str]) -> DataFrame:
+def _block_pairs(members: DataFrame, carried: list[str], rows: int) -> DataFrame:
     """(members): all pairs of blocks of each group that has several roots, but for those inside one root.
 
     members: group, key, root and the carried columns. A root with many members
     in a group has blocks of its own; the others share blocks.
     """
-    sizes = written(members.groupBy("group", "root").agg(F.count("*").alias("c")), "sizes")
     large = F.col("c") >= BLOCK
-    groups = sizes.groupBy("group").agg(F.count("*").alias("roots"), F.sum(F.when(~large, F.col("c"))).alias("small"))
-    groups = written(groups.where("roots > 1"), "groups")
-    placed = members.join(written(sizes.join(groups, "group"), "sizes"), ["group", "root"])
+    of_group = Window.partitionBy("group")
+    sizes = members.groupBy("group", "root").agg(F.count("*").alias("c"))
+    sizes = sizes.select("*", F.count("*").over(of_group).alias("roots"), F.sum(F.when(~large, F.col("c"))).over(of_group).alias("small"))
+    placed = members.join(written(sizes.where("roots > 1"), "sizes", rows), ["group", "root"])
     alone = F.when(large, F.col("root")).alias("alone")
     share = F.when(large, F.pmod(F.xxhash64("key"), F.ceil(F.col("c") / BLOCK))).otherwise(F.pmod(F.xxhash64("root"), F.ceil(F.col("small") / BLOCK)))
     blocks = placed.groupBy("group", alone, share.alias("share")).agg(F.collect_list(F.struct("key", "root", *carried)).alias("members"))
-    blocks = written(blocks.withColumn("block", F.xxhash64(F.coalesce("alone", F.lit(b"")), "share")), "blocks")
+    blocks = written(blocks.withColumn("block", F.xxhash64(F.coalesce("alone", F.lit(b"")), "share")), "blocks", rows, BLOCK_ROWS)
     heads = blocks.select("group", "block", "alone")
     others = heads.select("group", F.col("block").alias("other"), F.col("alone").alias("other_alone"))
     pairs = heads.join(others, "group").where("block <= other and not coalesce(alone = other_alone, false)")
-    pairs = written(pairs.select("group", "block", "other"), "block-pairs")
-    left = pairs.join(blocks.select("group", "block", "members"), ["group", "block"])
+    left = pairs.select("group", "block", "other").join(blocks.select("group", "block", "members"), ["group", "block"])
     right = blocks.select("group", F.col("block").alias("other"), F.col("members").alias("others"))
     met = left.join(right, ["group", "other"])
     return met.select(F.when(F.col("block") == F.col("other"), F.col("members")).otherwise(F.concat("members", "others")).alias("members"))
 
 
-def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 75) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_shingles, component_id, kept.
-
-    Two texts are linked when 100 * intersection >= `percent` * union of their
-    sets of 5-word shingles (words lower-cased in A-Z; a text of fewer words is
-    one shingle). Candidates share one of 32 bands of 4 minima; every link is
-    confirmed on whole sets. component_id is the least id reachable.
-
-    Texts without words (null, empty, white space) are linked with nothing: each
-    row is its own component. Rows of equal word sequences are one node. Null
-    ids are passed over by the least id; a component of null ids alone has a null
-    component_id, and its rows are kept. Rows with the same id are each reported.
-    Other columns of `docs` are not read. An empty table gives an empty result.
-    """
-    rows = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("__text"), text_key(text_column).alias("__text_key"))
-    kind = rows.schema["__id"].dataType.simpleString()
-    signed = rows.mapInArrow(_signatures, f"id {kind}, text_key binary, key binary, n bigint, sig binary, bands array<bigint>")
-    signed = written(signed, "signatures")
-    nodes = signed.where("key is not null").groupBy("key").agg(F.min("id").alias("id"), F.min("text_key").alias("text_key"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
-    nodes = written(nodes, "nodes")
-    texts = docs.select(text_key(text_column).alias("text_key"), F.col(text_column).alias("text")).where("text is not null")
-    links = similar_links(nodes, texts, percent)
-    roots = components(links)
-    lowest = written(nodes.select("key", "id").join(roots.withColumnRenamed("node", "key"), "key").groupBy("root").agg(F.min("id").alias("component_id")), "lowest")
-    of_key = written(
-        nodes.select("key", "id").join(roots.withColumnRenamed("node", "key"), "key", "left").join(lowest, "root", "left").select("key", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")),
-        "component-of",
-    )
-    out = signed.select("id", "key", "n").join(of_key, "key", "left")
-    component: Column = F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-
-
-def similar_links(nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that hold the components of all nodes together. nodes: key, text_key, n, sig, bands."""
-    placed = nodes.select("key", F.explode("bands").alias("bucket"))
+def similar_links(signed: DataFrame, docs: DataFrame, banding: Banding, percent: int, text_column: str = "text") -> DataFrame:
+    """(a, b): links that hold the components of all keys together. signed: the `signed_units` of docs."""
+    # buckets are counted by their number alone, and only rows of shared buckets are shuffled with their keys
+    counts = signed.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("size"))
+    shared = written(counts.where("size > 1").select("bucket"), "shared-buckets")
+    placed = signed.select("key", "bands").mapInArrow(_colliding(bit_filter(shared)), "bucket bigint, key binary").distinct()
+    placed = written(placed, "placed")
+    rows = placed.count()
     buckets = placed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("key").alias("least"))
-    buckets = written(buckets.where("size > 1"), "buckets")
-    members = written(placed.join(buckets, "bucket").select("bucket", "key", "size", "least"), "members")
-    signs = nodes.select("key", "n", "sig")
+    buckets = written(buckets.where("size > 1"), "buckets", rows)
+    members = written(placed.join(buckets, "bucket").select("bucket", "key", "size", "least"), "members", rows)
+    keys = written(members.select("key").distinct(), "keys", rows)
+    signs = written(signed.select("key", "n", "sig").join(keys, "key").groupBy("key").agg(F.first("n").alias("n"), F.first("sig").alias("sig")), "signs", rows)
     # signatures agree by chance in one of 256 bytes; five deviations below the threshold
     share = percent / 100
-    least = share - 5 * (share * (1 - share) / (BANDS * ROWS)) ** 0.5
+    least = share - 5 * (share * (1 - share) / banding.minima) ** 0.5
     pair = "a binary, b binary"
     member = F.struct("key", F.col("key").alias("root"), "n", "sig").alias("m")
     blocks_of = F.ceil(F.col("size") / BLOCK)
@@ -262,26 +320,58 @@ def similar_links(nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame
     anchors = buckets.where(F.col("size") > BLOCK).select("bucket", every_share, F.col("least").alias("key"))
     spread = members.select("bucket", share_of, "key").unionAll(anchors).join(signs, "key")
     blocks = spread.groupBy("bucket", "share").agg(F.collect_list(member).alias("members"))
-    pairs = written(blocks.select("members").mapInArrow(_links_of_blocks(least, None), pair).distinct(), "pairs")
+    pairs = written(blocks.select("members").mapInArrow(_links_of_blocks(least, None), pair).distinct(), "pairs", rows, BLOCK_ROWS)
     groups = components(pairs).withColumnRenamed("node", "key")
     # blocks of one bucket that hold different groups
     large = members.where(F.col("size") > BLOCK).select(F.col("bucket").alias("group"), "key").join(groups, "key", "left")
-    large = written(large.withColumn("root", F.coalesce("root", "key")), "large-buckets")
+    large = written(large.withColumn("root", F.coalesce("root", "key")), "large-buckets", rows)
     if not large.isEmpty():
-        across = written(_block_pairs(large.join(signs, "key"), ["n", "sig"]).mapInArrow(_links_of_blocks(least, None), pair).distinct(), "pairs")
+        across = written(_block_pairs(large.join(signs, "key"), ["n", "sig"], rows).mapInArrow(_links_of_blocks(least, None), pair).distinct(), "pairs")
         if not across.isEmpty():
             pairs = pairs.unionAll(across)
             groups = components(pairs).withColumnRenamed("node", "key")
-    sets = _sets_of(groups.select("key"), nodes, texts)
+    sets = _sets_of(groups.select("key"), docs, banding, text_column)
     links = _verified(pairs, sets, percent)
     roots = components(links).select(F.col("node").alias("key"), F.col("root").alias("part"))
     # groups of three or more that are not one part yet; the one pair of two is verified already
-    parts = written(groups.join(roots, "key", "left").select(F.col("root").alias("group"), "key", F.coalesce("part", "key").alias("root")), "parts")
+    parts = written(groups.join(roots, "key", "left").select(F.col("root").alias("group"), "key", F.coalesce("part", "key").alias("root")), "parts", rows)
     of_group = parts.groupBy("group", "root").agg(F.count("*").alias("c")).groupBy("group").agg(F.count("*").alias("parts"), F.sum("c").alias("c"))
-    unsettled = written(of_group.where("parts > 1 and c > 2").select("group"), "unsettled")
+    unsettled = written(of_group.where("parts > 1 and c > 2").select("group"), "unsettled", rows)
     if unsettled.isEmpty():
         return links
-    unsettled = written(parts.join(unsettled, "group"), "unsettled")
-    held = unsettled.join(signs, "key").join(sets, "key")
-    more = _block_pairs(held, ["n", "sig", "shingles"]).mapInArrow(_links_of_blocks(least, percent), pair).distinct()
+    held = parts.join(unsettled, "group").join(signs, "key").join(sets, "key")
+    more = _block_pairs(held, ["n", "sig", "shingles"], rows).mapInArrow(_links_of_blocks(least, percent), pair).distinct()
     return links.unionAll(written(more, "links"))
+
+
+def component_of_keys(links: DataFrame) -> DataFrame:
+    """(key, root) of every linked key."""
+    return components(links).withColumnRenamed("node", "key")
+
+
+def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 75) -> DataFrame:
+    """One row per row of `docs`: doc_id, n_shingles, component_id, kept.
+
+    Two texts are linked when 100 * intersection >= `percent` * union of their
+    sets of 5-word shingles (words lower-cased in A-Z; a text of fewer words is
+    one shingle). Candidates share one of 32 bands of 4 minima; every link is
+    confirmed on whole sets. component_id is the least id reachable.
+
+    Texts without words (null, empty, white space) are linked with nothing: each
+    row is its own component. Rows of equal word sequences are one node. Null
+    ids are passed over by the least id; a component of null ids alone has a null
+    component_id, and its rows are kept. Rows with the same id are each reported.
+    Other columns of `docs` are not read. An empty table gives an empty result.
+    """
+    named = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    signed = signed_units(named, TEXTS, ["id"])
+    roots = component_of_keys(similar_links(signed, named, TEXTS, percent))
+    classes = signed.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.count("*").alias("rows"))
+    classes = written(classes.join(roots, "key", "left"), "classes")
+    lowest = written(classes.where("root is not null").groupBy("root").agg(F.min("id").alias("lowest")), "lowest")
+    of_key = classes.join(lowest, "root", "left").select("key", F.coalesce("lowest", "id").alias("component_id"))
+    found = signed.select("id", "key", "n").join(written(of_key, "component-of"), "key").select("id", "n", "component_id")
+    has_word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    bare = named.where(~has_word).select("id", F.lit(0).cast("bigint").alias("n"), F.col("id").alias("component_id"))
+    out = found.unionAll(bare).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -6,15 +6,42 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.bpe import token_digests
+from eventlake.llm import crf, ppm, quality
+from eventlake.llm.bpe import encode_documents, token_digests
+from eventlake.llm.decontaminate import leaked_documents
 from eventlake.llm.minhash import similar_documents
+from eventlake.llm.packing import pack_tokens, resets
+from eventlake.llm.paragraphs import without_repeats
 from eventlake.llm.sharding import shard_documents, shard_sql
-from eventlake.llm.tables import table
+from eventlake.llm.tables import in_fold, table, written
 from eventlake.llm.topk import NEAREST_SQL, nearest
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 SHARDS = 24
+TOXIC_FROM = 0.3
+
+
+def op1_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the paragraphs that come earlier in the table, and which were removed."""
+    return without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), removed_column="removed")
+
+
+def op2_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learnt from four fifths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = in_fold("doc_id", 5, 0)
+    model = ppm.fit(ppm.training_rows(docs, ~held_out))
+    return ppm.identify(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
+
+
+def op3_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of all documents, learnt from three quarters of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = in_fold("doc_id", 4, 2)
+    model = crf.fit(crf.labelled(docs, table(spark, sf_dir, "labels"), ~held_out))
+    scored = crf.score_toxicity(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
+    return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"), "spans")
 
 
 def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,11 +49,22 @@ def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op5_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a passage of a benchmark item, with the item and the place."""
+    return leaked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' token ids in packed rows of 2,048, with segment lengths and position resets."""
+    tokens = written(encode_documents(table(spark, sf_dir, "documents"), RANKS, PATTERN), "tokens")
+    return pack_tokens(tokens).withColumn("resets", resets(F.col("cu_seqlens")))
+
+
 def op8_branch_and_bound_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth vector."""
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -37,11 +75,24 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
+def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of all documents, learnt from heuristics alone."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_quality(docs, quality.fit(docs))
+    return scored.withColumn("kept", F.col("score") >= 0.5)
+
+
 QUERIES = {
+    "op1_paragraph_dedup": op1_paragraph_dedup,
+    "op2_ppm_language_id": op2_ppm_language_id,
+    "op3_crf_toxicity": op3_crf_toxicity,
     "op4_rendezvous_sharding": op4_rendezvous_sharding,
+    "op5_spaced_seed_decontamination": op5_spaced_seed_decontamination,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_branch_and_bound_top_k": op8_branch_and_bound_top_k,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_weak_label_quality": op10_weak_label_quality,
 }
 ORACLES: dict[str, str] = {
     "op4_rendezvous_sharding": shard_sql(SHARDS),

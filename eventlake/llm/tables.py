@@ -20,13 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, rows: int | None = None, rows_per_task: int = 200_000) -> DataFrame:
     """The same rows, written to the shared folder and read back.
 
     Cuts the lineage: a lost executor costs the reading of a file, not the work
-    that made it. The files lie under the session's checkpoint folder.
+    that made it. The files lie under the session's checkpoint folder. `rows`, an
+    upper bound where one is known, keeps small tables from becoming many files:
+    a task for each `rows_per_task` rows, and never more than there were.
     """
     path = work_path(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // rows_per_task)))
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -60,3 +64,47 @@ def text_key(column: str = "text"):
 def in_fold(column: str, folds: int, held: int):
     """Whether crc32 of the id as text, modulo `folds`, is `held`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds == held
+
+
+def bit_filter(values: DataFrame, least_bits: int = 20, most_bits: int = 27) -> np.ndarray:
+    """Bits at the hashes of the values of a one-column frame of longs, as bytes: a filter without false negatives.
+
+    It has about 16 bits a value but never more than 2**most_bits (16 MB), so
+    what goes to the driver and to the tasks is bounded; beyond that it lets more
+    rows through, and the join behind it sorts them out.
+    """
+    value = values.columns[0]
+    count = values.count()
+    bits = min(most_bits, max(least_bits, (16 * count).bit_length()))
+    place = F.shiftrightunsigned(F.xxhash64(value), 64 - bits)
+    words = values.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(place & 63))")).alias("bits"))
+    found = words.toPandas()
+    seen = np.zeros(1 << (bits - 6), np.int64)
+    seen[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return seen.view(np.uint8)
+
+
+_P1, _P2, _P3, _P4, _P5 = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+
+
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def xxhash64_of_longs(values: np.ndarray, seed: int = 42) -> np.ndarray:
+    """XXH64 of each 64-bit value, as Spark's xxhash64 of a long. The constants are the hash's own, fixed values."""
+    h = np.full(len(values), (seed + _P5 + 8) % (1 << 64), np.uint64)
+    h ^= _turned(values.view(np.uint64) * np.uint64(_P2), 31) * np.uint64(_P1)
+    h = _turned(h, 27) * np.uint64(_P1) + np.uint64(_P4)
+    h ^= h >> np.uint64(33)
+    h *= np.uint64(_P2)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(_P3)
+    return h ^ (h >> np.uint64(32))
+
+
+def in_filter(seen: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which 64-bit values may be in a `bit_filter`."""
+    bits = len(seen).bit_length() + 2
+    place = (xxhash64_of_longs(values) >> np.uint64(64 - bits)).astype(np.int64)
+    return (seen[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1

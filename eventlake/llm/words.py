@@ -165,3 +165,30 @@ def letter_tokens(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ..
     last = np.maximum(ends - suffix, starts)
     out[:, -1] = mix((sums[ends] - sums[last]) * back[last])
     return out, np.diff(np.searchsorted(starts, offsets)), starts, ends
+
+
+def sequence_keys(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """128-bit keys (rows x 2 values) of word sequences: equal for equal ones, different by all odds for others."""
+    rows = np.flatnonzero(counts)
+    out = np.zeros((len(counts), 2), np.uint64)
+    if not len(rows):
+        return out
+    starts = (np.cumsum(counts) - counts)[rows]
+    place = np.arange(len(words)) - np.repeat(starts, counts[rows])
+    for k, (base, salt) in enumerate(((0xD6E8FEB86659FD93, 0x2545F4914F6CDD1D), (0xA0761D6478BD642F, 0x9E6C63D0876A9A47))):
+        terms = mix(words + np.uint64(salt)) * _power(base, int(place.max()) + 1)[place]
+        out[rows, k] = mix(np.add.reduceat(terms, starts) + counts[rows].astype(np.uint64) * np.uint64(salt | 1))
+    return out
+
+
+def line_offsets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Offsets of the lines of all rows, each line's row, and its number in the row; a row has one line more than line ends."""
+    after = np.flatnonzero(data == 10) + 1
+    # line ends belong to the line before; rows without text have one empty line
+    row = np.searchsorted(offsets, after - 1, side="right") - 1
+    rows = np.concatenate((np.arange(len(offsets) - 1), row))
+    starts = np.concatenate((offsets[:-1], after))
+    order = np.lexsort((starts, rows))
+    rows, starts = rows[order], starts[order]
+    first = np.searchsorted(rows, np.arange(len(offsets) - 1))
+    return np.concatenate((starts, [len(data)])), rows, np.arange(len(rows)) - first[rows]
