@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.tables import text_key, written
+from eventlake.llm.tables import text_key, with_fields, written
 
 #: Characters of a chunk, and of its overlap with the next one.
 CHUNK, OVERLAP = 1 << 15, 1 << 10
@@ -161,8 +161,7 @@ def _decode(ranks: str, keys: list[str]):
 
 def decode_documents(encoded: DataFrame, ranks: str) -> DataFrame:
     """The rows of `encoded` (doc_id, token_ids) with `bytes`, the tokens' raw bytes one after another; null for null ids."""
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInArrow(_decode(ranks, encoded.columns), f"{kinds}, bytes binary")
+    return encoded.mapInArrow(_decode(ranks, encoded.columns), with_fields(encoded, encoded.columns, "bytes binary"))
 
 
 def token_digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:

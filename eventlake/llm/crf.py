@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.tables import slices, text_column, written
+from eventlake.llm.tables import slices, text_column, with_fields, written
 from eventlake.llm.words import letter_tokens
 
 #: Hashed features of each kind.
@@ -253,8 +253,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_column: str = "text", kee
     """
     keep = ["doc_id"] if keep is None else keep
     rows = docs.select(*keep, F.col(text_column).alias("__text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)])
-    return rows.mapInArrow(_score(model, least), f"{kinds}, score double, spans array<struct<start:bigint,end:bigint,marginal:double>>")
+    return rows.mapInArrow(_score(model, least), with_fields(rows, keep, "score double, spans array<struct<start:bigint,end:bigint,marginal:double>>"))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, learn, label: str = "toxic") -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.components import components
-from eventlake.llm.tables import bit_filter, in_filter, slices, text_column, written
+from eventlake.llm.tables import bit_filter, in_filter, slices, text_column, text_key, with_fields, written
 from eventlake.llm.words import common, distinct_sorted, line_offsets, mix, sequence_keys, shingle_hashes, word_hashes
 
 #: Members of a block, on average.
@@ -133,8 +133,8 @@ def _signatures(banding: Banding):
 def signed_units(docs: DataFrame, banding: Banding, carried: list[str], text_column: str = "text") -> DataFrame:
     """The carried columns, no, key, n, sig, bands of every unit of `docs` with enough words, as a written table."""
     rows = docs.select(*carried, F.col(text_column).alias("__text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(carried)])
-    return written(rows.mapInArrow(_signatures(banding), f"{kinds}, no bigint, key binary, n bigint, sig binary, bands array<bigint>"), "signatures")
+    shape = with_fields(rows, carried, "no bigint, key binary, n bigint, sig binary, bands array<bigint>")
+    return written(rows.mapInArrow(_signatures(banding), shape), "signatures")
 
 
 def _colliding(seen: np.ndarray):
@@ -375,3 +375,31 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     bare = named.where(~has_word).select("id", F.lit(0).cast("bigint").alias("n"), F.col("id").alias("component_id"))
     out = found.unionAll(bare).select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """One row of each component of near-duplicates (columns doc_id and text decide), with all columns.
+
+    Of a component the row with the least doc_id stays (null ids last), then
+    that with the least text key; of rows repeated in both, any one. Texts
+    without words stay, each of them.
+    """
+    named = docs.select(F.col("doc_id").alias("id"), text_key("text").alias("text_key"), "text")
+    signed = signed_units(named, TEXTS, ["id", "text_key"])
+    roots = component_of_keys(similar_links(signed, named, TEXTS, percent))
+    place = F.struct(F.col("id").isNull().alias("bare"), "id", "text_key").alias("place")
+    first = signed.select("key", place).groupBy("key").agg(F.min("place").alias("place")).join(roots, "key", "left")
+    first = written(first.select("key", F.coalesce("root", "key").alias("root"), "place"), "first-of-key")
+    kept = written(first.groupBy("root").agg(F.min("place").alias("kept")), "first-of-component")
+    known = written(first.select("key", "root").join(kept, "root").select("key", "kept"), "kept")
+    rows = signed.select("key", place).join(known, "key")
+    removed = rows.where("place <> kept").select(F.xxhash64("place.id", "place.text_key").alias("__h"), F.col("place.id").alias("__id"), F.col("place.text_key").alias("__t")).distinct()
+    again = signed.groupBy("id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select(F.xxhash64("id", "text_key").alias("__h"), F.col("id").alias("__id"), F.col("text_key").alias("__t"))
+    removed, again = written(removed, "removed"), written(again, "repeated")
+    own, text = F.col("doc_id"), text_key("text")
+    same = (F.xxhash64(own, text) == F.col("__h")) & own.eqNullSafe(F.col("__id")) & text.eqNullSafe(F.col("__t"))
+    left = docs.join(removed, same, "left_anti")
+    if again.isEmpty():
+        return left
+    once = left.join(again, same, "left_semi").withColumn("__t", text_key("text")).dropDuplicates(["doc_id", "__t"]).drop("__t")
+    return left.join(again, same, "left_anti").unionByName(once)

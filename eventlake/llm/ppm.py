@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.tables import slices, text_column, written
+from eventlake.llm.tables import slices, text_column, with_fields, written
 
 #: Longest context, in bytes.
 ORDER = 4
@@ -210,8 +210,7 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text", keep: lis
     keep = ["doc_id"] if keep is None else keep
     # a native test, so that Python sees one flag
     rows = docs.select(*keep, F.col(text_column).alias("__text"), F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False)).alias("__letter"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)])
-    return rows.mapInArrow(_predict(model), f"{kinds}, lang_pred string, score double, bits_per_byte double")
+    return rows.mapInArrow(_predict(model), with_fields(rows, keep, "lang_pred string, score double, bits_per_byte double"))
 
 
 def training_rows(docs: DataFrame, learn, text_column: str = "text", lang_column: str = "lang") -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.tables import slices, text_column, written
+from eventlake.llm.tables import slices, text_column, with_fields, written
 from eventlake.llm.words import distinct_sorted, word_hashes
 
 #: Hashed features of words; measures have a range of their own below.
@@ -266,5 +266,4 @@ def score_quality(docs: DataFrame, scorer: Scorer, text_column: str = "text", ke
     """
     keep = ["doc_id"] if keep is None else keep
     rows = docs.select(*keep, F.col(text_column).alias("__text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)])
-    return rows.mapInArrow(_score(scorer), f"{kinds}, weak_label double, score double")
+    return rows.mapInArrow(_score(scorer), with_fields(rows, keep, "weak_label double, score double"))

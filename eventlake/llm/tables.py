@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from eventlake.session import work_path
 
@@ -56,6 +57,11 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         row = end
 
 
+def with_fields(rows: DataFrame, carried: list[str], made: str) -> StructType:
+    """Schema of the carried columns of `rows`, whatever their names and types, and the fields that DDL `made` tells."""
+    return StructType([*[rows.schema[c] for c in carried], *StructType.fromDDL(made).fields])
+
+
 def text_key(column: str = "text"):
     """128-bit key of a text, equal for equal texts; null for null."""
     return F.unhex(F.md5(F.col(column).cast("binary")))
