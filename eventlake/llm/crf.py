@@ -29,6 +29,8 @@ FIT_ROWS, CLEAN = 1200, 4
 #: A feature marks toxic tokens if so many times more toxic documents have it, in proportion, and the
 #: likelihood ratio of its two rates to one common rate is above this logarithm: a chance of one in a million.
 ODDS, SURE = 20.0, 14.0
+#: Marginals up to this are nothing.
+DOUBT = 0.1
 #: Rounds of training, tokens of a training sequence, tokens of a block while scoring.
 ROUNDS, SEQUENCE, BLOCK = 30, 96, 64
 
@@ -117,14 +119,17 @@ def marginals(score: np.ndarray, counts: np.ndarray, transition: np.ndarray) ->
 
 
 def _sums(toxic: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """A document's inputs to the link: 1, log(1 + sum), maximum and second maximum of its marginals."""
+    """A document's inputs to the link: 1, log(1 + sum), maximum and second maximum of its marginals.
+
+    The sum leaves out what is below DOUBT, or a long clean text would add up to something.
+    """
     out = np.zeros((len(counts), 4))
     out[:, 0] = 1
     ends = np.cumsum(counts)
     rows = np.flatnonzero(counts)
     if len(rows):
         starts = (ends - counts)[rows]
-        out[rows, 1] = np.log1p(np.add.reduceat(toxic, starts))
+        out[rows, 1] = np.log1p(np.add.reduceat(np.maximum(toxic - DOUBT, 0), starts))
         out[rows, 2] = np.maximum.reduceat(toxic, starts)
         rest = toxic.copy()
         owner = np.repeat(np.arange(len(counts)), counts)

@@ -1,0 +1,201 @@
+"""Language, toxicity and quality: the methods against plain versions, held-out accuracy, and edge rows."""
+
+import math
+import random
+from collections import Counter, defaultdict
+from itertools import product
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake.llm import crf, ppm, quality
+from eventlake.llm.queries import op2_ppm_language_id, op3_crf_toxicity, op10_weak_label_quality
+from eventlake.llm.tables import in_fold
+
+SMALL = "/root/testdata/sf0.01"
+
+
+def plain_bits(training, text, lang, order):
+    """Code length by PPM with escape method C, straight from its definition; training: (language, text)."""
+    seen = defaultdict(Counter)
+    for name, t in training:
+        raw = bytes([ppm.BEFORE]) * order + t.encode()
+        if name == lang:
+            for i in range(order, len(raw)):
+                for k in range(order + 1):
+                    seen[raw[i - k : i]][raw[i]] += 1
+    raw, total = bytes([ppm.BEFORE]) * order + text.encode(), 0.0
+
+    def chance(context, symbol):
+        if context is None:
+            return 1 / 256
+        c = seen[context]
+        shorter = context[1:] if context else None
+        if not c:
+            return chance(shorter, symbol)
+        n, kinds = sum(c.values()), len(c)
+        return c[symbol] / (n + kinds) if c[symbol] else kinds / (n + kinds) * chance(shorter, symbol)
+
+    for i in range(order, len(raw)):
+        total -= math.log2(chance(raw[i - order : i], raw[i]))
+    return total
+
+
+TRAINING = [("en", "the cat sat on the mat and the hat"), ("en", "then that thing"), ("fr", "le chat est là où été"), ("xx", "zzz zz z")]
+
+
+def test_code_lengths_are_ppm(spark):
+    model = ppm.fit(spark.createDataFrame(TRAINING, "lang string, text string"), contexts=1 << 20)
+    assert model.languages == ["en", "fr", "xx"]
+    texts = ["the chat", "", "été zz Q", "unseen: ☃☃", "t"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    bits = ppm.code_lengths(model, data, offsets)
+    for row, text in enumerate(texts):
+        for k, lang in enumerate(model.languages):
+            assert bits[row, k] == pytest.approx(plain_bits(TRAINING, text, lang, ppm.ORDER), rel=1e-4, abs=1e-3)
+
+
+def test_language_edge_rows(spark, corpus, nothing):
+    model = ppm.fit(spark.createDataFrame(TRAINING, "lang string, text string"))
+    got = ppm.identify(corpus, model, keep=["doc_id", "key", "bucket"])
+    assert got.columns == ["doc_id", "key", "bucket", "lang_pred", "score", "bits_per_byte"]
+    texts = {r.doc_id: r.text for r in corpus.where("doc_id is not null").collect()}
+    rows = got.collect()
+    assert len(rows) == corpus.count()
+    for r in rows:
+        if r.doc_id is not None:
+            no_letter = not any(c.isalpha() for c in texts[r.doc_id] or "")
+            assert (r.lang_pred == "und") == no_letter and (r.score == 0.0) == no_letter
+        assert 0 <= r.score <= 1
+    assert ppm.identify(nothing, model).count() == 0
+    none = ppm.fit(ppm.training_rows(nothing, F.lit(True)))
+    assert {(r.lang_pred, r.score) for r in ppm.identify(corpus, none).collect()} == {("und", 0.0)}
+
+
+def test_language_held_out(spark):
+    got = op2_ppm_language_id(spark, SMALL).join(spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("c")), "doc_id").collect()
+    assert len(got) == 1000 and all(r.held_out == (r.c % 5 == 0) for r in got)
+    held = [r for r in got if r.held_out]
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.98 * len(held)
+
+
+def plain_marginals(score, transition):
+    """By the sum over all paths."""
+    total, toxic = 0.0, np.zeros(len(score))
+    for path in product((0, 1), repeat=len(score)):
+        value, before = 0.0, 0
+        for s, state in zip(score, path, strict=True):
+            value += transition[before, state] + (s if state else 0)
+            before = state
+        total += math.exp(value)
+        toxic += np.array(path) * math.exp(value)
+    return toxic / total
+
+
+def test_marginals_by_forward_backward():
+    rng = np.random.default_rng(1)
+    transition = rng.normal(size=(2, 2))
+    counts = np.array([3, 0, 1, 9])
+    score = rng.normal(size=13) * 2
+    got = crf.marginals(score, counts, transition)
+    expected = np.concatenate([plain_marginals(score[a:b], transition) for a, b in ((0, 3), (3, 4), (4, 13))])
+    assert np.allclose(got, expected)
+    # long rows run over many blocks and give the same as one after another
+    long = rng.normal(size=1000) * 3
+    assert np.allclose(crf.marginals(long, np.array([1000]), transition), chained(long, transition))
+    assert len(crf.marginals(np.zeros(0), np.array([0, 0]), transition)) == 0
+
+
+def chained(score, transition):
+    ahead, now = [], np.array([1.0, 0.0])
+    for s in score:
+        now = (now @ np.exp(transition)) * np.array([1, math.exp(s)])
+        now = now / now.sum()
+        ahead.append(now)
+    out, behind = np.empty(len(score)), np.ones(2)
+    for i in range(len(score) - 1, -1, -1):
+        both = ahead[i] * behind
+        out[i] = both[1] / both.sum()
+        behind = np.exp(transition) @ (behind * np.array([1, math.exp(score[i])]))
+        behind = behind / behind.sum()
+    return out
+
+
+@pytest.fixture(scope="module")
+def toxic(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(500):
+        w = [f"w{rng.randrange(300)}" for _ in range(rng.randrange(20, 90))]
+        if i % 5 == 0:
+            for _ in range(3):
+                w.insert(rng.randrange(len(w)), rng.choice(["Vermin!", "vermins", "ßcoundrel"]))
+        rows.append((i, " ".join(w), int(i % 5 == 0)))
+    return spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+
+
+def test_toxic_spans(spark, toxic, corpus, nothing):
+    model = crf.fit(crf.labelled(toxic, toxic.select("doc_id", "toxic"), ~in_fold("doc_id", 4, 2)))
+    held = crf.score_toxicity(toxic.where(in_fold("doc_id", 4, 2)), model, keep=["doc_id", "text", "toxic"]).collect()
+    assert sum((r.score >= 0.3) == (r.toxic == 1) for r in held) >= 0.97 * len(held)
+    found = Counter(r.text[s.start : s.end].lower() for r in held for s in r.spans)
+    assert found and all(any(x in k for x in ("vermin", "ßcoundrel")) for k in found)
+    assert all(s.marginal >= 0.5 for r in held for s in r.spans)
+    got = crf.score_toxicity(corpus, model).collect()
+    assert len(got) == corpus.count() and all(0 <= r.score <= 1 and r.score < 0.3 for r in got)
+    assert crf.score_toxicity(nothing, model).count() == 0
+
+
+def test_toxicity_without_toxic_rows(spark, toxic, nothing):
+    for rows in (toxic.where("toxic = 0").select("text", F.col("toxic").alias("label")), nothing.select("text", F.lit(1).alias("label"))):
+        model = crf.fit(rows)
+        assert all(r.score < 0.3 for r in crf.score_toxicity(toxic.limit(5), model).collect())
+
+
+def test_labels_with_nulls_and_repeats(spark, toxic):
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, None), (None, 1), (99_999, 1)], "doc_id long, toxic int")
+    assert [r.label for r in crf.labelled(toxic, labels, F.lit(True)).collect()] == [1]
+
+
+def test_toxicity_held_out(spark):
+    got = op3_crf_toxicity(spark, "/root/testdata/sf0.1").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").where("held_out").collect()
+    caught = [r.predicted for r in got if r.toxic == 1]
+    clean = [r.predicted for r in got if r.toxic == 0]
+    assert sum(caught) >= 0.8 * len(caught) and sum(clean) <= 0.03 * len(clean)
+    assert all(r.predicted == (r.score >= 0.3) for r in got)
+
+
+def test_accuracies_by_expectation_maximisation():
+    """Votes drawn from known accuracies come back, and posteriors part good from bad."""
+    rng = np.random.default_rng(2)
+    voices, n = len(quality.MEASURES), 20_000
+    truth = rng.random(n) < 0.8
+    right = np.linspace(0.7, 0.95, voices)
+    votes = np.where(rng.random((n, voices)) < right, truth[:, None], ~truth[:, None]).astype(np.int64)
+    votes[rng.random((n, voices)) < 0.3] = 2
+    patterns, counts = np.unique(votes @ 3 ** np.arange(voices), return_counts=True)
+    model = quality.estimate(patterns, counts.astype(float))
+    assert model.good == pytest.approx(0.8, abs=0.02)
+    assert np.allclose(model.chance[1, :, 1], right, atol=0.03) and np.allclose(model.chance[0, :, 0], right, atol=0.05)
+    assert ((model.posterior(votes) >= 0.5) == truth).mean() > 0.97
+
+
+def test_quality_edge_rows(spark, corpus, nothing):
+    scorer = quality.fit(corpus)
+    got = {r.doc_id: r for r in quality.score_quality(corpus, scorer, keep=["doc_id", "bucket", "key"]).collect()}
+    texts = {r.doc_id: r.text for r in corpus.collect()}
+    for doc, r in got.items():
+        assert 0 <= r.score <= 1 and 0 <= r.weak_label <= 1
+        if doc is not None and not (texts[doc] or "").split():
+            assert r.weak_label < 0.5
+    assert quality.score_quality(nothing, quality.fit(nothing)).count() == 0
+    assert all(r.score > 0.5 for r in quality.score_quality(corpus, quality.fit(nothing)).collect())
+
+
+def test_quality_against_given_labels(spark):
+    got = op10_weak_label_quality(spark, "/root/testdata/sf0.1").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").collect()
+    good = [r.kept for r in got if r.quality == 1]
+    bad = [r.kept for r in got if r.quality == 0]
+    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.4 * len(bad)
