@@ -52,6 +52,31 @@ def least_squares(where: str = "true") -> str:
     )"""
 
 
+def stump(rows: str, label: str) -> str:
+    """The split of ``rows`` with the least squared error of ``label``: feature, threshold, means on both sides."""
+    sums = "OVER (PARTITION BY feature ORDER BY v)"
+    return f"""(
+        SELECT feature, (v + above) / 2 AS threshold, s / n AS low, (sum_all - s) / (n_all - n) AS high FROM (
+            SELECT feature, v, lead(v) {sums} AS above, sum(n) {sums} AS n, sum(s) {sums} AS s,
+                sum(n) OVER (PARTITION BY feature) AS n_all, sum(s) OVER (PARTITION BY feature) AS sum_all
+            FROM (
+                SELECT feature, v, count(*) AS n, sum(y) AS s FROM (
+                    SELECT 1 AS feature, l_quantity AS v, {label} AS y FROM {rows}
+                    UNION ALL SELECT 2, l_discount, {label} FROM {rows}
+                    UNION ALL SELECT 3, l_tax, {label} FROM {rows}
+                ) GROUP BY feature, v
+            )
+        ) WHERE above IS NOT NULL
+        ORDER BY s * s / n + (sum_all - s) * (sum_all - s) / (n_all - n) DESC LIMIT 1
+    )"""
+
+
+def fall(tree: str) -> str:
+    """What a stump says of a row."""
+    value = f"CASE {tree}.feature WHEN 1 THEN l_quantity WHEN 2 THEN l_discount ELSE l_tax END"
+    return f"(CASE WHEN {value} <= {tree}.threshold THEN {tree}.low ELSE {tree}.high END)"
+
+
 FITTED = "(intercept + w1 * l_quantity + w2 * l_discount + w3 * l_tax)"
 
 
@@ -85,7 +110,7 @@ PREDICTED = "(SELECT event_id, value / 10::DOUBLE AS delivery_deviation_pred FRO
 BANDED = f"SELECT event_id, delivery_deviation_pred, {bands('delivery_deviation_pred')} FROM {PREDICTED}"
 
 ORACLES: dict[str, str] = {
-    "binary_to_text": "SELECT event_id, props AS text FROM events",
+    "binary_to_text": "SELECT event_id, json_extract_string(props, '$.k') AS text FROM events",
     "parse_event_json": f"SELECT event_id, {K} AS k FROM events",
     "parse_dirty_json": f"SELECT event_id, {DIRTY} FROM events",
     "publish_round_trip": f"SELECT {EVENT_COLUMNS} FROM events",
@@ -147,6 +172,20 @@ ORACLES: dict[str, str] = {
     "ols_leaderboard": f"""
         WITH {least_squares(f"{PART} = 'train'")}
         SELECT 'LinearRegression' AS name, {metrics('y', FITTED, 5)} FROM lines, ols WHERE {PART} = 'test'""",
+    "model_leaderboard": """
+        SELECT unnest(['LinearRegression', 'RandomForest', 'GBT']) AS name, unnest([true, false, false]) AS is_best,
+            true AS finds_signal""",
+    "lot_split_table": f"SELECT {LINE_FEATURES}, round({DEVIATION}, 6) + 0.0 AS deviation FROM lineitem",
+    "forest_stump_predictions": f"""
+        WITH lines AS (SELECT *, {DEVIATION} AS y FROM lineitem), tree AS {stump('lines', 'y')}
+        SELECT {LINE_FEATURES}, round({fall('tree')}, 4) + 0.0 AS prediction FROM lines, tree""",
+    # the second stump is fitted on twice the residual, the loss's slope, and counts a tenth
+    "boosted_stump_predictions": f"""
+        WITH lines AS (SELECT *, {DEVIATION} AS y FROM lineitem), tree AS {stump('lines', 'y')},
+        residuals AS (SELECT lines.*, {fall('tree')} AS guess, 2 * (y - {fall('tree')}) AS slope FROM lines, tree),
+        second AS {stump('residuals', 'slope')}
+        SELECT {LINE_FEATURES}, round(guess + 0.1::DOUBLE * {fall('second')}, 4) + 0.0 AS prediction
+        FROM residuals, second""",
     "model_pointer": f"""
         WITH {least_squares()}
         SELECT 'LinearRegression' AS model_name,

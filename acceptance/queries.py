@@ -15,6 +15,7 @@ from acceptance.tables import (
     LINE_KEYS,
     deviation,
     least_squares,
+    published,
     rounded,
     signal,
     stream,
@@ -28,7 +29,7 @@ from eventlake.operators.clean import drop_incomplete, to_double
 from eventlake.operators.decode import decode_json
 from eventlake.operators.metrics import regression_metrics
 from eventlake.operators.physical import held, spread
-from eventlake.operators.split import hash_part, random_split
+from eventlake.operators.split import hash_part, random_part, random_split
 from eventlake.plans import catalog, training
 from eventlake.plans.registry import ModelRegistry
 from eventlake.schemas import struct
@@ -36,7 +37,7 @@ from eventlake.session import work_path
 from eventlake.sinks.publish import publish, to_messages
 from eventlake.sinks.tables import append_table
 from eventlake.sources.tables import local_rows, read_csv, read_table
-from eventlake.streaming.ingest import append_stream, ingest
+from eventlake.streaming.ingest import ingest
 from eventlake.streaming.paths import StreamPaths
 from eventlake.streaming.run import run_all
 from eventlake.streaming.scoring import start_scoring
@@ -57,9 +58,9 @@ def _event_columns(events: DataFrame) -> DataFrame:
 
 
 def binary_to_text(spark, sf_dir):
-    """PRJ1"""
+    """PRJ1: a field's text out of a binary message"""
     messages = table(spark, sf_dir, "events").select("event_id", F.col("props").cast("binary").alias("value"))
-    return messages.select("event_id", F.col("value").cast("string").alias("text"))
+    return decode_json(messages, struct(k="string"), keep=["event_id"]).withColumnRenamed("k", "text")
 
 
 def parse_event_json(spark, sf_dir):
@@ -101,9 +102,11 @@ def publish_round_trip(spark, sf_dir):
 
 
 def csv_scan(spark, sf_dir):
-    """SRC6"""
+    """SRC6: columns by the header's names, in another order and with one that is not wanted"""
     path = work_path(spark, "csv")
-    _event_columns(table(spark, sf_dir, "events")).write.options(header=True, escape='"').csv(path)
+    events = _event_columns(table(spark, sf_dir, "events"))
+    mixed = events.select("ts", F.lit("zz").alias("extra"), "value", "event_type", "event_id", "user_id")
+    mixed.write.options(header=True, escape='"').csv(path)
     return read_csv(spark, path, EVENT_TEXT)
 
 
@@ -162,8 +165,9 @@ def critical_alerts(spark, sf_dir):
 
 
 def threshold_filter(spark, sf_dir):
-    """FLT4"""
-    return _predicted(spark, sf_dir).where(F.col(scoring.PREDICTION_NAME) >= 5.0)
+    """FLT4: the predictions of the severity that begins at a threshold"""
+    high = scoring.with_risk(_predicted(spark, sf_dir)).where(F.col("severity") == "HIGH")
+    return high.select("event_id", scoring.PREDICTION_NAME)
 
 
 def run_ids(spark, sf_dir):
@@ -247,7 +251,7 @@ def assembled_features(spark, sf_dir):
 
 def spread_and_hold(spark, sf_dir):
     """PHY1, PHY2"""
-    rows = spread(table(spark, sf_dir, "events", "event_id", "value"))
+    rows = spread(table(spark, sf_dir, "events", "event_id", "value"), 8)
     with held(rows) as cached:
         n = cached.count()
     return rows.withColumn("n", F.lit(n).cast("bigint"))
@@ -284,10 +288,37 @@ def ols_leaderboard(spark, sf_dir):
 
 
 def model_leaderboard(spark, sf_dir):
-    """ML2-ML8, AGG5, SRT1 with all candidates; tree ensembles have no SQL form"""
-    return training.train(
-        training_rows(spark, sf_dir), LINE_FEATURES, DEVIATION, part=hash_part(LINE_KEYS)
-    ).leaderboard
+    """ML2-ML8, AGG5, SRT1 with all candidates: the exact model of the planted signal comes first, all find it"""
+    result = training.train(training_rows(spark, sf_dir), LINE_FEATURES, DEVIATION, part=hash_part(LINE_KEYS))
+    return result.leaderboard.select(
+        "name", (F.col("name") == result.best_name).alias("is_best"), (F.col("r2") > 0.8).alias("finds_signal")
+    )
+
+
+def lot_split_table(spark, sf_dir):
+    """ML2, FLT1, PRJ7: the training table of the split by lot; both parts together are the clean rows"""
+    rows = training.model_columns(training_rows(spark, sf_dir), LINE_FEATURES, DEVIATION, part=random_part())
+    parts = training.write_training_table(rows)
+    return parts.train.unionAll(parts.test).select(*LINE_FEATURES, rounded(DEVIATION, 6))
+
+
+def _stump_predictions(spark, sf_dir, estimator):
+    rows = training_rows(spark, sf_dir).select(*LINE_FEATURES, DEVIATION)
+    model = training.fit(rows, estimator, LINE_FEATURES)
+    return model.transform(rows).select(*LINE_FEATURES, rounded("prediction", 4))
+
+
+def forest_stump_predictions(spark, sf_dir):
+    """ML4: one tree of one split over all rows and features, every midpoint a candidate"""
+    stump = training.random_forest(
+        DEVIATION, numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all", maxBins=256
+    )
+    return _stump_predictions(spark, sf_dir, stump)
+
+
+def boosted_stump_predictions(spark, sf_dir):
+    """ML5: two rounds of one split each, the second on what the first leaves"""
+    return _stump_predictions(spark, sf_dir, training.boosted_trees(DEVIATION, maxIter=2, maxDepth=1, maxBins=256))
 
 
 def _published(spark, sf_dir):
@@ -308,7 +339,7 @@ def model_pointer(spark, sf_dir):
 def latest_model_scores(spark, sf_dir):
     """SRC8, ML7, PRJ5, PRJ6"""
     model = _published(spark, sf_dir).load()
-    lines = spread(table(spark, sf_dir, "lineitem", *LINE_KEYS, *LINE_FEATURES))
+    lines = table(spark, sf_dir, "lineitem", *LINE_KEYS, *LINE_FEATURES)
     return _scores(scoring.score(lines, model, LINE_FEATURES, LINE_KEYS))
 
 
@@ -327,7 +358,7 @@ def _scores(predictions: DataFrame) -> DataFrame:
 
 
 def _event_messages(spark, sf_dir):
-    return to_messages(_event_columns(stream(spark, sf_dir, "events")))
+    return published(spark, to_messages(_event_columns(table(spark, sf_dir, "events"))))
 
 
 def _stream_paths(spark):
@@ -335,23 +366,23 @@ def _stream_paths(spark):
     return StreamPaths(f"{base}/tables", f"{base}/checkpoints")
 
 
-def _ingest_events(spark, sf_dir, paths):
-    messages = _event_messages(spark, sf_dir)
-    run_all([ingest(messages, paths.output("events"), paths.checkpoint, EVENT_TEXT, trigger=ONCE)])
+def _ingest_events(spark, messages, paths):
+    followed = stream(spark, messages)
+    run_all([ingest(followed, paths.output("events"), paths.checkpoint, EVENT_TEXT, trigger=ONCE)])
 
 
 def stream_ingest(spark, sf_dir):
     """STR1, SNK1, SRC1, SRC2, SRC5"""
     paths = _stream_paths(spark)
-    _ingest_events(spark, sf_dir, paths)
+    _ingest_events(spark, _event_messages(spark, sf_dir), paths)
     return read_table(spark, paths.output("events"))
 
 
 def stream_ingest_malformed(spark, sf_dir):
     """STR1: malformed messages become rows of nulls"""
     paths = _stream_paths(spark)
-    messages = _dirty_messages(stream(spark, sf_dir, "events"))
-    run_all([ingest(messages, paths.output("events"), paths.checkpoint, PAYLOAD, trigger=ONCE)])
+    messages = published(spark, _dirty_messages(table(spark, sf_dir, "events")).select("value"))
+    run_all([ingest(stream(spark, messages), paths.output("events"), paths.checkpoint, PAYLOAD, trigger=ONCE)])
     return read_table(spark, paths.output("events")).select(
         _state("k").alias("k_state"), F.when(~F.isnan("k"), F.col("k")).alias("k")
     )
@@ -359,18 +390,18 @@ def stream_ingest_malformed(spark, sf_dir):
 
 def stream_restart(spark, sf_dir):
     """STR2: a second run on the same checkpoint adds nothing"""
-    paths = _stream_paths(spark)
-    _ingest_events(spark, sf_dir, paths)
-    _ingest_events(spark, sf_dir, paths)
+    paths, messages = _stream_paths(spark), _event_messages(spark, sf_dir)
+    _ingest_events(spark, messages, paths)
+    _ingest_events(spark, messages, paths)
     return read_table(spark, paths.output("events"))
 
 
 def stream_reprocess(spark, sf_dir):
     """STR6: the next version holds the whole stream again, beside the first"""
-    paths = _stream_paths(spark)
-    _ingest_events(spark, sf_dir, paths)
+    paths, messages = _stream_paths(spark), _event_messages(spark, sf_dir)
+    _ingest_events(spark, messages, paths)
     again = paths.reprocess()
-    _ingest_events(spark, sf_dir, again)
+    _ingest_events(spark, messages, again)
     versions = [
         read_table(spark, each.output("events")).withColumn("version", F.lit(each.version).cast("bigint"))
         for each in (paths, again)
@@ -381,11 +412,11 @@ def stream_reprocess(spark, sf_dir):
 def _score_stream(spark, sf_dir):
     model = least_squares(spark, sf_dir)
     paths = _stream_paths(spark)
-    lines = stream(spark, sf_dir, "lineitem").select(*LINE_KEYS, *LINE_FEATURES)
+    messages = published(spark, to_messages(table(spark, sf_dir, "lineitem", *LINE_KEYS, *LINE_FEATURES)))
     outputs = [paths.output("predictions"), paths.output("alerts")]
     run_all(
         start_scoring(
-            to_messages(lines), model, *outputs, paths.checkpoint, LINE_FEATURES, LINE_KEYS, trigger=ONCE
+            stream(spark, messages), model, *outputs, paths.checkpoint, LINE_FEATURES, LINE_KEYS, trigger=ONCE
         )
     )
     return outputs
@@ -431,14 +462,15 @@ def schema_evolution(spark, sf_dir):
 
 
 def stream_schema_evolution(spark, sf_dir):
-    """SNK2, SNK1: a stream that starts to carry another column, in its table's next version"""
-    paths = _stream_paths(spark)
-    events = stream(spark, sf_dir, "events")
-    first, second = paths.output("events"), paths.reprocess().output("events")
-    run_all([append_stream(events.select("event_id", "value"), first, paths.checkpoint, trigger=ONCE)])
-    wider = events.select("event_id", "value", "event_type")
-    run_all([append_stream(wider, second, paths.reprocess().checkpoint, trigger=ONCE, merge_schema=True)])
-    return read_table(spark, first).unionByName(read_table(spark, second), allowMissingColumns=True)
+    """SNK2, SNK1: a stream that starts to carry another column, on one path and checkpoint"""
+    paths, topic = _stream_paths(spark), work_path(spark, "messages")
+    events = to_messages(table(spark, sf_dir, "events").select("event_id", "value", "event_type"))
+    for schema in (struct(event_id="long", value="double"), struct(event_id="long", value="double", event_type="string")):
+        published(spark, events, topic)
+        followed = stream(spark, topic)
+        out = paths.output("events")
+        run_all([ingest(followed, out, paths.checkpoint, schema, trigger=ONCE, merge_schema=True)])
+    return read_table(spark, paths.output("events"), merge_schema=True)
 
 
 def _registered(spark, sf_dir, *names):
@@ -473,10 +505,12 @@ def registered_predictions(spark, sf_dir):
 
 
 def parameterised_sql(spark, sf_dir):
-    """CAT4"""
+    """CAT4, LIM1: values and a limit bound by name; ordered, so that the rows are the same everywhere"""
     schema = _registered(spark, sf_dir, "events")
-    text = f"SELECT event_id, value FROM {schema}.events WHERE event_type = :kind AND value >= :least"
-    return catalog.query(spark, text, kind="error", least=50.0)
+    text = f"""
+        SELECT event_id, value FROM {schema}.events
+        WHERE event_type = :kind AND value >= :least ORDER BY event_id LIMIT :n"""
+    return catalog.query(spark, text, kind="error", least=50.0, n=100_000_000)
 
 
 def sql_join(spark, sf_dir):
@@ -553,6 +587,9 @@ QUERIES: dict[str, Query] = {
         ols_test_predictions,
         ols_leaderboard,
         model_leaderboard,
+        lot_split_table,
+        forest_stump_predictions,
+        boosted_stump_predictions,
         model_pointer,
         latest_model_scores,
         stream_ingest,

@@ -10,6 +10,8 @@ from eventlake.functions.hashing import hash_bucket
 from eventlake.functions.once import fields_once
 from eventlake.operators.physical import held, spread
 from eventlake.plans.training import fit, linear_regression
+from eventlake.session import work_path
+from eventlake.sinks.publish import publish
 from eventlake.sources.events import file_source, read_events
 from eventlake.sources.tables import read_table
 
@@ -22,14 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return read_table(spark, f"{sf_dir}/{name}.parquet", columns=columns or None)
 
 
-BATCH_BYTES = 1 << 40  # a backlog comes in batches that a failure may repeat
+MESSAGE_FILES = 8  # as a topic has partitions
 
 
-def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The whole table as a file stream; a glob, because a stream cannot start at a single file's path."""
-    schema = read_table(spark, f"{sf_dir}/{name}.parquet").schema
-    source = file_source(f"{sf_dir}/{name}.parque[t]", "parquet", schema, maxBytesPerTrigger=str(BATCH_BYTES))
-    return read_events(spark, source)
+def published(spark: SparkSession, messages: DataFrame, path: str | None = None) -> str:
+    """A directory of text messages in several files, new or added to, for a stream to follow."""
+    path = path or work_path(spark, "messages")
+    publish(spread(messages, MESSAGE_FILES), "text", path)
+    return path
+
+
+def stream(spark: SparkSession, path: str) -> DataFrame:
+    """The messages of a directory as a stream."""
+    return read_events(spark, file_source(path))
 
 
 def signal() -> Column:
@@ -49,7 +56,7 @@ def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def least_squares(spark: SparkSession, sf_dir: str) -> PipelineModel:
     """Linear model of the planted label over the whole table; fitting reads its input three times."""
-    with held(spread(training_rows(spark, sf_dir).select(*LINE_FEATURES, DEVIATION))) as rows:
+    with held(training_rows(spark, sf_dir).select(*LINE_FEATURES, DEVIATION)) as rows:
         return fit(rows, linear_regression(DEVIATION), LINE_FEATURES)
 
 

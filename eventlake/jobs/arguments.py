@@ -44,7 +44,9 @@ def add_stream(parser: ArgumentParser) -> None:
     parser.add_argument("--once", action="store_true", help="stop when all present messages are processed")
 
 
-def trigger(arguments: Namespace) -> dict | None:
+def trigger(arguments: Namespace, every: str | None = None) -> dict | None:
+    """What the arguments say, or batches ``every`` so often; without either they follow each other at once."""
     if arguments.once:
         return {"availableNow": True}
-    return {"processingTime": arguments.every} if arguments.every else None
+    every = arguments.every or every
+    return {"processingTime": every} if every else None

@@ -15,13 +15,21 @@ def main(argv: list[str] | None = None) -> None:
     add_source(parser, starting_offsets="latest")
     add_stream(parser)
     parser.add_argument("--output", required=True)
+    parser.add_argument("--sink-option", action="append", default=[], metavar="NAME=VALUE", help="such as retention=30d")
+    parser.add_argument("--allow-existing", action="store_true", help="let a new checkpoint add to a Delta table that holds data")
     arguments = parser.parse_args(argv)
     spark = session("ingest")
     messages = read_source(spark, arguments)
     run_all(
         [
             ingest(
-                messages, arguments.output, arguments.checkpoint, format=arguments.format, trigger=trigger(arguments)
+                messages,
+                arguments.output,
+                arguments.checkpoint,
+                format=arguments.format,
+                trigger=trigger(arguments),
+                options=dict(option.split("=", 1) for option in arguments.sink_option),
+                allow_existing=arguments.allow_existing,
             )
         ]
     )

@@ -7,21 +7,43 @@ from argparse import ArgumentParser
 from eventlake.plans import catalog
 from eventlake.session import session
 
+TYPES = {"string": str, "int": int, "float": float, "bool": lambda text: {"true": True, "false": False}[text.lower()]}
+
+
+def setting(text: str) -> tuple[str, object]:
+    """``NAME=VALUE`` or ``NAME:TYPE=VALUE`` as a name and a typed value."""
+    name, _, value = text.partition("=")
+    name, _, kind = name.partition(":")
+    if (kind or "string") not in TYPES:
+        raise ValueError(f"{kind} is none of {', '.join(TYPES)}")
+    return name, TYPES[kind or "string"](value)
+
 
 def main(argv: list[str] | None = None) -> None:
     parser = ArgumentParser(description=__doc__)
     parser.add_argument("--table", action="append", default=[], metavar="SCHEMA.TABLE=PATH")
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--sql", help="query; values for its :name markers come from --set")
-    parser.add_argument("--set", action="append", default=[], metavar="NAME=VALUE")
+    parser.add_argument("--set", action="append", default=[], metavar="NAME[:TYPE]=VALUE", help=", ".join(TYPES))
+    parser.add_argument("--output", help="directory for the whole result; without it rows are printed")
+    parser.add_argument("--output-format", default="parquet")
+    parser.add_argument("--rows", type=int, default=20, help="rows to print; the number left out is told")
     arguments = parser.parse_args(argv)
     spark = session("query")
     for entry in arguments.table:
         table, path = entry.split("=", 1)
         catalog.create_schema(spark, table.rpartition(".")[0] or "default")
         catalog.register(spark, table, path, arguments.format)
-    if arguments.sql:
-        catalog.query(spark, arguments.sql, **dict(pair.split("=", 1) for pair in arguments.set)).show(truncate=False)
+    if not arguments.sql:
+        return
+    result = catalog.query(spark, arguments.sql, **dict(map(setting, arguments.set)))
+    if arguments.output:
+        result.write.format(arguments.output_format).save(arguments.output)
+        return
+    result.show(arguments.rows, truncate=False)
+    left = result.count() - arguments.rows
+    if left > 0:
+        print(f"{left} more rows; --output writes them all")
 
 
 if __name__ == "__main__":

@@ -10,6 +10,9 @@ from eventlake.session import session
 from eventlake.streaming.run import run_all
 from eventlake.streaming.scoring import start_scoring
 
+#: Pause between batches unless --every or --once is given: file tables gain a directory a batch.
+EVERY = "1 minute"
+
 
 def main(argv: list[str] | None = None) -> None:
     parser = ArgumentParser(description=__doc__)
@@ -31,7 +34,7 @@ def main(argv: list[str] | None = None) -> None:
             arguments.checkpoint,
             debug=arguments.debug,
             format=arguments.format,
-            trigger=trigger(arguments),
+            trigger=trigger(arguments, every=EVERY),
         )
     )
 

@@ -19,6 +19,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--required", nargs="+", help="columns a row must have; all by default")
     parser.add_argument("--split-by", nargs="+", help="key columns of a repeatable split; by lot otherwise")
     parser.add_argument("--cache", action="store_true", help="hold the training part over the fits")
+    parser.add_argument("--partitions", type=int, help="deal the training rows out over so many partitions")
     arguments = parser.parse_args(argv)
     spark = session("train")
     result = train(
@@ -26,6 +27,7 @@ def main(argv: list[str] | None = None) -> None:
         required=arguments.required,
         part=hash_part(arguments.split_by) if arguments.split_by else None,
         cache=arguments.cache,
+        partitions=arguments.partitions,
     )
     print(f"rows: {result.table.count()} at {result.table.path}")
     result.leaderboard.show(truncate=False)

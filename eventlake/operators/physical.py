@@ -9,20 +9,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 
-def spread(rows: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Rows in ``partitions`` partitions, or in enough of them to keep every core busy [PHY1]. Batch only.
+def spread(rows: DataFrame, partitions: int) -> DataFrame:
+    """Rows in ``partitions`` partitions [PHY1]. Batch only.
 
-    Without a number, only an input too small to give each core a file split is
-    shuffled. Above that size splits outnumber cores, and moving the whole table
-    would gain nothing.
+    Worth its shuffle where a table has fewer file splits than the cluster has
+    cores; the caller knows both.
     """
-    if partitions is not None:
-        return rows.repartition(partitions)
-    session = rows.sparkSession
-    cores = session.sparkContext.defaultParallelism
-    split_bytes = session._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return rows.repartition(cores) if size < cores * split_bytes else rows
+    return rows.repartition(partitions)
 
 
 @contextmanager

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from eventlake.sources.paths import qualified
 
+#: Property of a view that holds the directory it shows.
+PATH = "eventlake.path"
+
 
 def _quoted(name: str) -> str:
     return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
@@ -19,23 +22,35 @@ def create_schema(spark: SparkSession, schema: str) -> None:
 
 def location(spark: SparkSession, table: str) -> str:
     """Directory of a registered table."""
+    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {_quoted(table)}").collect()}
+    if PATH in properties:
+        return properties[PATH]
     details = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}")
     return details.where(F.col("col_name") == "Location").first().data_type
 
 
 def register(spark: SparkSession, table: str, path: str, format: str = "parquet") -> None:
-    """Existing directory as an external table ``schema.table`` [CAT2].
+    """Existing directory under the name ``schema.table`` [CAT2].
 
-    Registering the same directory again picks up its new partitions; another
-    directory under a name in use is an error.
+    A Delta directory becomes an external table, whose log tells each query what
+    is committed. A directory of files becomes a view over its path: each query
+    lists it anew, so what a stream or a batch adds later is seen without
+    another registration and no list of partitions is kept anywhere. Registering
+    again takes up new columns; another directory under a name in use is an error.
     """
-    if not spark.catalog.tableExists(table):
-        spark.catalog.createTable(table, path=path, source=format)
-    elif qualified(spark, location(spark, table)) != qualified(spark, path):
+    if spark.catalog.tableExists(table) and qualified(spark, location(spark, table)) != qualified(spark, path):
         raise ValueError(f"{table} is registered at {location(spark, table)}, not {path}")
-    if format != "delta" and any(column.isPartition for column in spark.catalog.listColumns(table)):
-        spark.catalog.recoverPartitions(table)
-    spark.catalog.refreshTable(table)
+    if format == "delta":
+        if not spark.catalog.tableExists(table):
+            spark.catalog.createTable(table, path=path, source=format)
+        spark.catalog.refreshTable(table)
+        return
+    target = qualified(spark, path)
+    escaped = target.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {_quoted(table)} TBLPROPERTIES ('{PATH}' = '{escaped}') "
+        f"AS SELECT * FROM {_quoted(format)}.`{target.replace('`', '``')}`"
+    )
 
 
 def query(spark: SparkSession, text: str, **parameters) -> DataFrame:

@@ -17,7 +17,7 @@ from eventlake.sources.tables import local_rows
 
 @dataclass(frozen=True)
 class ModelRegistry:
-    """Models below one directory, with a one-row JSON dataset ``LATEST`` that names the current one."""
+    """Models below one directory, with a JSON dataset ``LATEST`` of a row for each publication, the newest current."""
 
     spark: SparkSession
     base: str
@@ -29,7 +29,8 @@ class ModelRegistry:
     def publish(self, model: PipelineModel, name: str, rmse: float, at: datetime | None = None) -> str:
         """Save a model [SNK4], then point to it [SNK5, ML9]; returns its path.
 
-        The pointer moves only after the save, so it never names half a model.
+        The pointer row is added only after the save, so it never names half a
+        model, and earlier rows stay, so there is one to read at every moment.
         """
         at = at or datetime.now(timezone.utc)
         stamp = f"{at:%Y-%m-%d %H:%M:%S}"
@@ -42,14 +43,16 @@ class ModelRegistry:
         (
             local_rows(self.spark, [tuple(row)], MODEL_POINTER)
             .coalesce(1)  # one row [PHY3]
-            .write.mode("overwrite")
+            .write.mode("append")
             .json(self.pointer_path)
         )
         return row.model_path
 
     def latest(self) -> DataFrame:
-        """The pointer row."""
-        return self.spark.read.schema(MODEL_POINTER).json(self.pointer_path)
+        """The pointer row: the newest by its timestamp, of equal ones the last written."""
+        rows = self.spark.read.schema(MODEL_POINTER).json(self.pointer_path)
+        newest = F.max_by(F.struct(*MODEL_POINTER.names), F.struct("timestamp", "_metadata.file_modification_time"))
+        return rows.agg(newest.alias("row")).where("row IS NOT NULL").select("row.*")
 
     def resolve(self, path: str | None = None) -> str:
         """A stated model path, or the one the pointer names."""

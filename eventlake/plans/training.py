@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import partial
 from multiprocessing.pool import ThreadPool
@@ -11,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators.clean import drop_incomplete, to_double
@@ -20,8 +21,11 @@ from eventlake.operators.physical import held, spread
 from eventlake.operators.split import PART, SEED, TEST, TRAIN, random_part
 from eventlake.schemas import FEATURES, LABEL, LEADERBOARD
 from eventlake.session import checkpoint_dir, work_path
+from eventlake.sources.paths import remove
 from eventlake.sources.tables import local_rows
 
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def assembler(features: Iterable[str]) -> VectorAssembler:
     """Feature columns to one vector, in order [ML1]; a null or NaN is an error."""
@@ -34,21 +38,21 @@ def linear_regression(label: str = LABEL) -> Estimator:
     return LinearRegression(featuresCol="features", labelCol=label, maxIter=50)
 
 
-def random_forest(label: str = LABEL) -> Estimator:
-    """Forest of 40 trees of depth 8 [ML4].
+def random_forest(label: str = LABEL, **parameters) -> Estimator:
+    """Forest of 40 trees of depth 8, unless ``parameters`` of the estimator say otherwise [ML4].
 
     Keeping each row's node per tree gives the same forest in two thirds of the
     time, for as much cache again; it spills to disk. Boosting, with one tree at
     a time, is slower that way.
     """
-    return RandomForestRegressor(
-        featuresCol="features", labelCol=label, numTrees=40, maxDepth=8, seed=SEED, cacheNodeIds=True
-    )
+    settings = {"numTrees": 40, "maxDepth": 8, "seed": SEED, "cacheNodeIds": True, **parameters}
+    return RandomForestRegressor(featuresCol="features", labelCol=label, **settings)
 
 
-def boosted_trees(label: str = LABEL) -> Estimator:
-    """40 boosting rounds of trees of depth 5 [ML5]."""
-    return GBTRegressor(featuresCol="features", labelCol=label, maxIter=40, maxDepth=5, seed=SEED)
+def boosted_trees(label: str = LABEL, **parameters) -> Estimator:
+    """40 boosting rounds of trees of depth 5, unless ``parameters`` of the estimator say otherwise [ML5]."""
+    settings = {"maxIter": 40, "maxDepth": 5, "seed": SEED, **parameters}
+    return GBTRegressor(featuresCol="features", labelCol=label, **settings)
 
 
 CANDIDATES: Mapping[str, Callable[[str], Estimator]] = {
@@ -90,18 +94,35 @@ class TrainingTable:
         """Rows in both parts [AGG1]; read from file footers."""
         return self.train.count() + self.test.count()
 
+    def drop(self) -> None:
+        """Delete the table's files, once no model needs to be measured on them any more."""
+        remove(self.train.sparkSession, self.path)
+
+
+@contextmanager
+def _open_files(spark: SparkSession, files: int) -> Iterator[None]:
+    """Writers that keep ``files`` directories open at a time, so that a task need not sort its rows by directory."""
+    before = spark.conf.get(OPEN_FILES)
+    spark.conf.set(OPEN_FILES, max(files, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_FILES, before)
+
 
-def write_training_table(rows: DataFrame, path: str | None = None) -> TrainingTable:
+def write_training_table(rows: DataFrame, path: str | None = None, partitions: int | None = None) -> TrainingTable:
     """Clean rows, marked with their part, written once with one directory per part [ML2].
 
     Every fit and the evaluation then scan only their part and its few columns.
     A lost executor re-reads files: it can neither redraw the lot of a row nor
-    repeat the cleaning. Small inputs are spread over the cluster first [PHY1],
-    after the lot is drawn.
+    repeat the cleaning. With ``partitions`` the rows are spread first [PHY1],
+    after the lot is drawn; otherwise nothing is shuffled or sorted.
     """
     spark = rows.sparkSession
     path = path or work_path(spark, "training")
-    spread(rows).write.partitionBy(PART).parquet(path)
+    dealt = rows if partitions is None else spread(rows, partitions)
+    with _open_files(spark, len((TRAIN, TEST))):
+        dealt.write.partitionBy(PART).parquet(path)
     table = spark.read.schema(rows.schema).parquet(path)
     train, test = (table.where(F.col(PART) == name).drop(PART) for name in (TRAIN, TEST))
     return TrainingTable(path, train, test)
@@ -121,7 +142,8 @@ def fit_all(
 ) -> dict[str, PipelineModel]:
     """Every candidate fitted [ML3, ML4, ML5]; their jobs share the cluster, all at a time by default.
 
-    Boosting is a chain of short jobs, which alone would leave most cores idle.
+    Side by side they fill cores that the short jobs of one fit leave idle; where
+    one fit fills them all, nothing is gained and each holds its copy of the rows.
     """
     features = list(features)
     checkpoint_dir(train.sparkSession)
@@ -149,10 +171,18 @@ def measure(rows: DataFrame, predictions: Mapping[str, str], label: str = LABEL)
 
 def compare(test: DataFrame, models: Mapping[str, PipelineModel], label: str = LABEL) -> DataFrame:
     """All models applied in one scan of the test rows, and measured [ML7, ML8]."""
-    rows, columns = test, {}
+    rows, columns, assembled = test, {}, None
     for place, (name, model) in enumerate(models.items()):
         columns[name] = f"prediction_{place}"
-        rows = model.transform(rows).withColumnRenamed("prediction", columns[name]).drop("features")
+        first, *rest = model.stages
+        inputs = list(first.getInputCols()) if isinstance(first, VectorAssembler) else None
+        if inputs is None or inputs != assembled:
+            # models over the same features share one vector; it is worked out once
+            rows = first.transform(rows.drop("features") if inputs else rows)
+            assembled = inputs
+        for stage in rest:
+            rows = stage.transform(rows)
+        rows = rows.withColumnRenamed("prediction", columns[name])
     return measure(rows, columns, label)
 
 
@@ -193,6 +223,7 @@ def train(
     path: str | None = None,
     cache: bool = False,
     parallelism: int | None = None,
+    partitions: int | None = None,
 ) -> Training:
     """Clean, split, fit, compare and choose [ML2-ML8, AGG5].
 
@@ -201,7 +232,7 @@ def train(
     """
     features = list(features)
     rows = model_columns(events, features, label, required, random_part() if part is None else part)
-    table = write_training_table(rows, path)
+    table = write_training_table(rows, path, partitions)
     if cache:
         with held(table.train) as held_rows:
             models = fit_all(held_rows, features, label, candidates, parallelism)

@@ -27,3 +27,22 @@ def qualified(spark: SparkSession, path: str) -> str:
     """A path with its file system spelled out."""
     files, hadoop_path = _resolved(spark, path)
     return files.makeQualified(hadoop_path).toString()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a directory and all below it."""
+    files, hadoop_path = _resolved(spark, path)
+    files.delete(hadoop_path, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a directory; none if it does not exist."""
+    files, hadoop_path = _resolved(spark, path)
+    return [entry.getPath().getName() for entry in files.listStatus(hadoop_path)] if files.exists(hadoop_path) else []
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Move a directory to a path that does not exist."""
+    files, hadoop_path = _resolved(spark, path)
+    if not files.rename(hadoop_path, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} could not be moved to {to}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -22,13 +22,19 @@ def append_stream(
     name: str | None = None,
     partition_by: Iterable[str] = (),
     merge_schema: bool = False,
+    options: Mapping[str, str] | None = None,
+    allow_existing: bool = False,
 ) -> StreamingQuery:
     """Rows appended to a table exactly once per checkpoint [SNK1, STR1, STR2].
 
     Without a ``trigger`` such as ``{"availableNow": True}`` or
     ``{"processingTime": "1 minute"}`` batches follow each other at once.
+    ``options`` go to the writer, such as ``retention`` of a file sink's list.
+    A new checkpoint on an output that holds data is refused, whatever the
+    format, since a lost checkpoint would double the table; a Delta table that
+    is meant to take rows of several streams needs ``allow_existing``.
     """
-    if format != "delta":
+    if not (allow_existing and format == "delta"):
         require_paired(rows.sparkSession, checkpoint, path)
     writer = (
         rows.writeStream.format(format)
@@ -36,6 +42,7 @@ def append_stream(
         .option("checkpointLocation", checkpoint)
         .partitionBy(*partition_by)
     )
+    writer = writer.options(**(options or {}))
     if merge_schema:
         writer = writer.option("mergeSchema", "true")
     if trigger:
@@ -52,9 +59,12 @@ def ingest(
     return append_stream(decode_json(messages, schema, value), path, checkpoint, **options)
 
 
-def console(rows: DataFrame, trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
-    """Untruncated rows on the driver's standard output, for debugging [SNK3]."""
-    writer = rows.writeStream.format("console").outputMode("append").option("truncate", "false")
+def console(rows: DataFrame, trigger: dict | None = None, name: str | None = None, n: int = 20) -> StreamingQuery:
+    """The first ``n`` rows of each batch, untruncated, on the driver's standard output, for debugging [SNK3].
+
+    ``n`` is a cap on what is printed; a debugging print, not a sink of all rows.
+    """
+    writer = rows.writeStream.format("console").outputMode("append").options(truncate="false", numRows=str(n))
     if trigger:
         writer = writer.trigger(**trigger)
     if name:

@@ -12,7 +12,7 @@ from eventlake.operators.clean import drop_incomplete
 from eventlake.operators.decode import decode_json
 from eventlake.operators.scoring import critical_alerts, score
 from eventlake.schemas import FEATURES, scoring_schema
-from eventlake.sinks.tables import read_batch, write_batch
+from eventlake.sinks.tables import read_batch, require_typed, write_batch
 from eventlake.streaming.ingest import console
 from eventlake.streaming.paths import require_paired
 
@@ -39,14 +39,18 @@ def fan_out(
     committed partition. So both tables agree in rows and scoring time, a retry
     replaces what it left half done, and losing executors or cached blocks in
     between repeats no prediction. A backlog's batch stays bounded by the
-    source's ``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``.
+    source's ``maxOffsetsPerTrigger`` or ``maxFilesPerTrigger``. A file table
+    gains a directory a batch: space batches by the ``trigger``, and fold old
+    ones with :func:`eventlake.sinks.tables.compact`. Formats that do not store
+    their columns' types are refused.
     """
+    require_typed(format)
     require_paired(predictions.sparkSession, checkpoint, predictions_path, alerts_path)
 
     def write_both(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         write_batch(batch, predictions_path, batch_id, format, f"{name}-predictions:{checkpoint}")
-        committed = read_batch(spark, predictions_path, batch_id, format)
+        committed = read_batch(spark, predictions_path, batch_id, format, batch.schema)
         write_batch(critical_alerts(committed), alerts_path, batch_id, format, f"{name}-alerts:{checkpoint}")
 
     writer = (

@@ -46,6 +46,20 @@ def test_batch_partitions_appear_when_registered_again(spark, path):
     assert multiset(counts) == ["Row(batch_id=0, n=5)", "Row(batch_id=1, n=7)"]
 
 
+def test_later_batches_are_seen_without_another_registration(spark, path):
+    write_batch(spark.range(5).toDF("id"), path("t"), 0)
+    catalog.create_schema(spark, "lake_e")
+    catalog.register(spark, "lake_e.t", path("t"))
+    assert catalog.query(spark, "SELECT * FROM lake_e.t").count() == 5
+    write_batch(spark.range(7).toDF("id"), path("t"), 1)
+    assert catalog.query(spark, "SELECT count(*) AS n FROM lake_e.t").first().n == 12
+    append_table(spark.range(3).toDF("id"), path("plain"))
+    catalog.register(spark, "lake_e.plain", path("plain"))
+    assert catalog.query(spark, "SELECT * FROM lake_e.plain").count() == 3
+    append_table(spark.range(4).toDF("id"), path("plain"))
+    assert catalog.query(spark, "SELECT * FROM lake_e.plain").count() == 7
+
+
 def test_reserved_words_are_names(spark, path):
     append_table(spark.range(2).toDF("id"), path("t"))
     catalog.create_schema(spark, "select")

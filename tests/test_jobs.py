@@ -1,9 +1,11 @@
 """The programs end to end: CSV, messages, table, model, predictions, SQL."""
 
+import pytest
 from conftest import multiset
 
 from eventlake.jobs import ingest, publish, query, score, train
 from eventlake.schemas import EVENT
+from eventlake.sinks.tables import append_table
 from eventlake.sources.tables import read_table
 
 
@@ -36,3 +38,47 @@ def test_whole_chain(spark, events, path, capsys, monkeypatch):
         + ["--sql", "SELECT count(*) AS n FROM jobs.predictions WHERE severity = :least"]
     )
     assert str(read_table(spark, path("alerts")).count()) in capsys.readouterr().out
+
+
+def test_query_writes_a_whole_result_and_binds_types(spark, path, capsys, monkeypatch):
+    monkeypatch.setattr("eventlake.jobs.query.session", lambda name: spark)
+    append_table(spark.range(100).selectExpr("id", "id % 2 = 0 AS even"), path("t"))
+    table = ["--table", f"jobs.t_{abs(hash(path('t')))}={path('t')}"]
+    name = table[1].split("=")[0]
+    query.main([*table, "--sql", f"SELECT * FROM {name}", "--output", path("all")])
+    assert read_table(spark, path("all")).count() == 100
+    query.main([*table, "--sql", f"SELECT * FROM {name}", "--output", path("json"), "--output-format", "json"])
+    assert spark.read.json(path("json")).count() == 100
+    query.main([*table, "--sql", f"SELECT * FROM {name} WHERE even = :e LIMIT :n", "--set", "n:int=30", "--set", "e:bool=true"])
+    printed = capsys.readouterr().out
+    assert "10 more rows" in printed
+    query.main([*table, "--sql", f"SELECT * FROM {name} LIMIT :n", "--set", "n:int=30", "--rows", "30"])
+    assert "more rows" not in capsys.readouterr().out
+    assert query.setting("a=b=c") == ("a", "b=c") and query.setting("x:float=1.5") == ("x", 1.5)
+    with pytest.raises(ValueError, match="none of"):
+        query.setting("x:date=1")
+
+
+def test_sink_options(spark, events, path, monkeypatch):
+    monkeypatch.setattr("eventlake.jobs.publish.session", lambda name: spark)
+    monkeypatch.setattr("eventlake.jobs.ingest.session", lambda name: spark)
+    events.limit(10).write.option("header", True).csv(path("csv"))
+    publish.main(["--csv", path("csv"), "--messages", path("topic"), "--sink-option", "compression=gzip"])
+    assert all(name.endswith(".gz") for name in spark.read.text(path("topic")).inputFiles())
+    sent = {}
+    monkeypatch.setattr("eventlake.jobs.publish.publish", lambda messages, format, **options: sent.update(options))
+    publish.main(["--csv", path("csv"), "--servers", "h:1", "--topic", "t", "--sink-option", "kafka.acks=all"])
+    assert sent == {"kafka.bootstrap.servers": "h:1", "topic": "t", "kafka.acks": "all"}
+    ingest.main(
+        ["--messages", path("topic"), "--output", path("lake"), "--checkpoint", path("cp"), "--once"]
+        + ["--sink-option", "compression=gzip"]
+    )
+    assert all(".gz." in name for name in read_table(spark, path("lake")).inputFiles())
+
+
+def test_scoring_batches_are_spaced_unless_told(spark):
+    arguments = score.ArgumentParser()
+    score.add_stream(arguments)
+    parse = lambda *more: score.trigger(arguments.parse_args(["--checkpoint", "c", *more]), every=score.EVERY)
+    assert parse() == {"processingTime": "1 minute"} and parse("--once") == {"availableNow": True}
+    assert parse("--every", "5 minutes") == {"processingTime": "5 minutes"}

@@ -47,3 +47,14 @@ def test_same_run_id_overwrites(spark, model, path):
 def test_nothing_published(spark, path):
     with pytest.raises(ValueError, match="publish one first"):
         ModelRegistry(spark, path("none")).load()
+
+
+def test_a_pointer_is_readable_while_another_is_published(spark, model, path, monkeypatch):
+    """Nothing that is published before goes away: an earlier reader's files are all still there."""
+    registry = ModelRegistry(spark, path("models"))
+    first = registry.publish(model, "A", 2.0, datetime(2024, 1, 1, tzinfo=timezone.utc))
+    before = registry.latest()
+    files = set(before.inputFiles())
+    registry.publish(model, "B", 3.0, datetime(2024, 1, 2, tzinfo=timezone.utc))
+    assert files < set(registry.latest().inputFiles())
+    assert before.first().model_path == first

@@ -88,3 +88,12 @@ def test_null_tests_reach_the_scan(spark, path):
     append_table(spark.range(3).selectExpr("id", "CAST(id AS DOUBLE) AS x"), path("t"))
     text = plan(drop_incomplete(read_table(spark, path("t"))))
     assert "PushedFilters: [IsNotNull(id), IsNotNull(x)]" in text
+
+
+def test_csv_columns_go_by_name(spark, path):
+    schema = struct(id="long", x="double", y="double")
+    (spark.createDataFrame([("2.0", "1.0", "zz", "7")], "y string, x string, extra string, id string")).write.csv(path("c"), header=True)
+    assert [tuple(r) for r in read_csv(spark, path("c"), schema).collect()] == [(7, 1.0, 2.0)]
+    assert read_csv(spark, path("c"), schema).schema == schema
+    with pytest.raises(ValueError, match="no column z"):
+        read_csv(spark, path("c"), struct(id="long", z="double"))

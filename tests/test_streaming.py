@@ -1,5 +1,7 @@
 """Streams give the rows of the batch, once, through restarts and failures."""
 
+from types import SimpleNamespace
+
 import pytest
 from conftest import multiset, plan
 from pyspark.sql import functions as F
@@ -199,3 +201,93 @@ def test_no_shuffle_and_no_python_from_message_to_prediction(spark, topic, model
     text = plan(score(streaming_scoring.decode_events(read_table(spark, topic, "text")), model))
     assert "Exchange" not in text and "Python" not in text
     assert text.count("from_json(") == 1
+
+
+def test_rows_appended_beside_a_stream_are_refused(spark, events, topic, path):
+    run_all([ingest(messages(spark, topic), path("out"), path("cp"), trigger=ONCE)])
+    with pytest.raises(ValueError, match="second table"):
+        tables.append_table(events, path("out"))
+    assert read_table(spark, path("out")).count() == 103
+
+
+@pytest.mark.parametrize("format", ["json", "csv", "text"])
+def test_formats_without_a_schema_are_refused(spark, topic, path, model, format):
+    with pytest.raises(ValueError, match="stores its schema"):
+        run_scoring(spark, topic, model, path, format=format)
+
+
+def test_scoring_in_orc(spark, topic, path, model):
+    run_scoring(spark, topic, model, path, format="orc")
+    assert spark.read.orc(path("pred")).count() == 100
+
+
+def test_a_batch_without_complete_rows(spark, path, model):
+    publish(spark.createDataFrame([("not json",)], "value STRING"), "text", path("bad"))
+    run_scoring(spark, path("bad"), model, path)
+    assert read_table(spark, path("alerts")).count() == 0
+
+
+def test_fresh_checkpoint_on_a_delta_table_is_refused(spark, topic, path):
+    """The guard comes before the writer, so it needs no Delta."""
+    spark.range(1).write.parquet(path("lake"))
+    with pytest.raises(ValueError, match="next version"):
+        ingest(messages(spark, topic), path("lake"), path("cp"), format="delta", trigger=ONCE)
+    with pytest.raises(Exception, match="(?i)delta"):
+        ingest(messages(spark, topic), path("lake"), path("cp"), format="delta", trigger=ONCE, allow_existing=True)
+
+
+def test_writer_options(spark, topic, path):
+    out = ingest(messages(spark, topic), path("out"), path("cp"), trigger=ONCE, options={"compression": "gzip"})
+    run_all([out])
+    assert all(".gz." in name for name in read_table(spark, path("out")).inputFiles())
+
+
+def test_console_rows_are_a_stated_number():
+    """What the writer is told; its print goes past the test, to the Java process's own output."""
+    told = {}
+
+    class Writer:
+        def __getattr__(self, step):
+            return lambda *values, **options: told.update({step: values or options}) or self
+
+    console(SimpleNamespace(writeStream=Writer()), ONCE, "few", n=3)
+    assert told["options"] == {"truncate": "false", "numRows": "3"} and told["format"] == ("console",)
+
+
+def test_compaction_keeps_every_row_once(spark, path):
+    for batch in range(6):
+        tables.write_batch(spark.range(batch * 10, batch * 10 + 10).toDF("id"), path("t"), batch)
+    assert tables.compact(spark, path("t"), keep=2) == 4
+    table = read_table(spark, path("t"))
+    assert sorted(r.id for r in table.collect()) == list(range(60))
+    assert {r.batch_id for r in table.select("batch_id").distinct().collect()} == {3, 4, 5}
+    # a late retry of a batch that is folded in, and one of a batch that is not
+    tables.write_batch(spark.range(20, 30).toDF("id"), path("t"), 2)
+    tables.write_batch(spark.range(30, 40).toDF("id"), path("t"), 3)
+    tables.write_batch(spark.range(40, 50).toDF("id"), path("t"), 4)
+    assert sorted(r.id for r in read_table(spark, path("t")).collect()) == list(range(60))
+    for batch in (6, 7):
+        tables.write_batch(spark.range(batch * 10, batch * 10 + 10).toDF("id").withColumn("more", F.lit(1)), path("t"), batch)
+    assert tables.compact(spark, path("t"), keep=1, partitions=1) == 4
+    assert sorted(r.id for r in read_table(spark, path("t")).collect()) == list(range(80))
+    assert tables.compact(spark, path("t"), keep=1) == 0
+
+
+@pytest.mark.parametrize("step", ["remove", "rename"])
+def test_a_compaction_cut_short_is_finished_by_the_next(spark, path, monkeypatch, step):
+    for batch in range(4):
+        tables.write_batch(spark.range(batch * 10, batch * 10 + 10).toDF("id"), path("t"), batch)
+    real, calls = getattr(tables, step), []
+
+    def failing(*arguments):
+        calls.append(arguments)
+        if len(calls) == 2:
+            raise OSError("away")
+        return real(*arguments)
+
+    monkeypatch.setattr(tables, step, failing)
+    with pytest.raises(OSError):
+        tables.compact(spark, path("t"), keep=1)
+    monkeypatch.undo()
+    tables.compact(spark, path("t"), keep=1)
+    assert sorted(r.id for r in read_table(spark, path("t")).collect()) == list(range(40))

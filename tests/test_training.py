@@ -12,6 +12,7 @@ from eventlake.operators.scoring import critical_alerts, score
 from eventlake.operators.split import hash_part, random_part, random_split
 from eventlake.plans import training
 from eventlake.schemas import FEATURES, LABEL, LEADERBOARD, PREDICTION
+from eventlake.sources.paths import exists
 
 
 @pytest.fixture(scope="module")
@@ -159,11 +160,9 @@ def test_model_runs_once_per_row_under_an_alert_filter(spark, events, result):
     assert "Exchange" not in text and "Python" not in text
 
 
-def test_spread(spark, events):
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 8
+def test_spread(spark):
     assert spread(spark.range(10), 3).rdd.getNumPartitions() == 3
-    huge = spark.range(0, 1 << 40, 1, 2)
-    assert "RoundRobin" not in plan(spread(huge))
+    assert "RoundRobin" in plan(spread(spark.range(0, 1 << 40, 1, 2), 3))
 
 
 def test_held_rows_are_released(spark):
@@ -172,3 +171,46 @@ def test_held_rows_are_released(spark):
         assert cached.is_cached and cached.count() == 10
         assert cached.storageLevel.useDisk and cached.storageLevel.useMemory
     assert not rows.is_cached
+
+
+def written_plan(spark):
+    """The plan of the last write."""
+    runs = spark._jsparkSession.sharedState().statusStore().executionsList()
+    plans = [runs.apply(i).physicalPlanDescription() for i in range(runs.size())]
+    return [text for text in plans if "InsertIntoHadoopFsRelationCommand" in text][-1]
+
+
+@pytest.mark.parametrize("split_bytes", ["1m", "1g"])
+def test_the_training_table_is_written_without_sort_or_shuffle(spark, events, split_bytes):
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        table = training.write_training_table(training.model_columns(events, part=hash_part(["timestamp"])))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    text = written_plan(spark)
+    assert "Sort" not in text and "Exchange" not in text
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    assert table.count() == 2000
+
+
+def test_a_stated_number_of_partitions_spreads(spark, events):
+    rows = training.model_columns(events, part=hash_part(["timestamp"]))
+    table = training.write_training_table(rows, partitions=3)
+    assert "Exchange" in written_plan(spark) and sum("/part=train/" in f for f in table.train.inputFiles()) == 3
+
+
+def test_a_training_table_can_be_dropped(spark, events):
+    table = training.write_training_table(training.model_columns(events, part=hash_part(["timestamp"])))
+    table.drop()
+    assert not exists(spark, table.path)
+
+
+def test_models_over_the_same_features_share_one_vector(spark, events):
+    candidates = {"a": training.linear_regression, "b": training.linear_regression}
+    models = training.fit_all(events, candidates=candidates)
+    assert plan(training.compare(events, models)).count("UDF(struct(") <= 3
+    measured = training.compare(events, models).collect()
+    assert [r.name for r in measured] == ["a", "b"] and measured[0].rmse == measured[1].rmse
+    other = {"a": models["a"], "c": training.fit(events, training.linear_regression(), FEATURES[:3])}
+    assert training.compare(events, other).count() == 2
