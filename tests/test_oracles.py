@@ -41,4 +41,5 @@ def test_entry(spark):
 
     alerts = __spark_entry__.entry(spark)
     assert alerts.count() > 0
-    assert __spark_entry__.queries().keys() == QUERIES.keys()
+    assert QUERIES.keys() <= __spark_entry__.queries().keys()
+    assert ORACLES.keys() <= __spark_entry__.oracle_sql().keys()
