@@ -33,6 +33,8 @@ ODDS, SURE = 20.0, 14.0
 DOUBT = 0.1
 #: Rounds of training, tokens of a training sequence, tokens of a block while scoring.
 ROUNDS, SEQUENCE, BLOCK = 30, 96, 64
+#: Tokens whose messages are in memory at a time while training.
+PART_TOKENS = 100_000
 
 
 @dataclass(frozen=True)
@@ -148,19 +150,41 @@ def _tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([batch.column("label").slice(first, end - first), pa.array([features[e - c : e].tobytes() for e, c in zip(ends, counts, strict=True)], pa.binary())], names=["label", "features"])
 
 
-def fit(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """A field fitted on about `fit_rows` whole toxic texts and four times as many clean ones. rows: text, label (0 or 1), none null.
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "toxic", fit_rows: int = FIT_ROWS) -> Model:
+    """A field fitted on about `fit_rows` whole toxic texts and CLEAN times as many clean ones.
 
-    The bounded sample is taken by the text's own hash, tokenised on the
-    executors and fitted on the driver. Without toxic rows every score is 0.
+    docs: doc_id, text. labels: doc_id and `label`, 0 or 1. `learn` is a
+    condition on doc_id that admits both. An id labelled twice has its higher
+    label, one with several texts the least of them; null ids, labels and texts
+    are left out. The bounded sample is taken by a hash of the id among the
+    labels, so only its few ids meet the texts, whose features are worked out on
+    the executors and fitted on the driver. Without toxic rows every score is
+    that of a clean text.
     """
-    sizes = {r["label"]: r["n"] for r in rows.where("label in (0, 1)").groupBy("label").agg(F.count("*").alias("n")).collect()}
-    chance = F.pmod(F.xxhash64(F.lit("fit"), "text"), F.lit(1_000_000)) / 1e6
-    share: Column = F.when(F.col("label") == 1, min(1.0, fit_rows / max(1, sizes.get(1, 0)))).otherwise(min(1.0, CLEAN * fit_rows / max(1, sizes.get(0, 0))))
-    sample = rows.where("label in (0, 1)").where(chance < share).select("text", F.col("label").cast("int").alias("label"))
-    taken = written(sample.mapInArrow(_tokens_of, "label int, features binary"), "toxicity-sample").toPandas()
-    docs = [np.frombuffer(b, np.int32).reshape(-1, KINDS) for b in taken["features"]]
-    return _train(docs, taken["label"].to_numpy(np.int64), sizes)
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).where(learn).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
+    known = written(known, "labels")
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    wanted = {1: fit_rows, 0: CLEAN * fit_rows}
+    share = F.when(F.col("label") == 1, min(1.0, wanted[1] / max(1, sizes.get(1, 0)))).otherwise(min(1.0, wanted[0] / max(1, sizes.get(0, 0))))
+    chance = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1_000_000)) / 1e6
+    # as many ids as the parameter says, whatever the tables hold
+    sample = written(known.where(chance < share), "toxicity-ids", sum(wanted.values()))
+    texts = docs.where("text is not null").where(learn).select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    taken = written(texts.mapInArrow(_tokens_of, "label int, features binary"), "toxicity-sample").toArrow()
+    classes = taken.column("label").to_numpy().astype(np.int64)
+    features = [np.frombuffer(x.as_buffer(), np.int32).reshape(-1, KINDS) for x in taken.column("features")]
+    return _train(features, classes, sizes)
+
+
+def _in_parts(weights: np.ndarray, features: np.ndarray, counts: np.ndarray, transition: np.ndarray) -> np.ndarray:
+    """`marginals` of many rows, PART_TOKENS tokens or one row at a time, so that memory stays small."""
+    out = np.empty(len(features), np.float32)
+    at = np.concatenate(([0], np.cumsum(counts)))
+    for first, end in slices(at, PART_TOKENS):
+        a, b = at[first], at[end]
+        out[a:b] = marginals(_emission(weights, features[a:b]), counts[first:end], transition)
+    return out
 
 
 def _train(docs: list[np.ndarray], labels: np.ndarray, sizes: dict[int, int]) -> Model:
@@ -175,11 +199,13 @@ def _train(docs: list[np.ndarray], labels: np.ndarray, sizes: dict[int, int]) ->
     with np.errstate(divide="ignore", invalid="ignore"):
         sure = np.where(seen > 0, seen * np.log(rate / common), 0).sum(axis=0)
     marks = (rate[1] > ODDS * rate[0]) & (sure > SURE)
-    parts = [(x[s : s + SEQUENCE], y) for x, y in zip(docs, labels, strict=True) for s in range(0, len(x), SEQUENCE)]
-    features = np.concatenate([x for x, _ in parts])
-    counts = np.array([len(x) for x, _ in parts])
-    toxic_doc = np.repeat([y for _, y in parts], counts)
-    target = ((toxic_doc == 1) & marks[features].any(axis=1)).astype(np.float64)
+    sizes_of = np.array([len(x) for x in docs])
+    features = np.concatenate(docs)
+    del docs
+    pieces = -(-sizes_of // SEQUENCE)
+    counts = np.full(int(pieces.sum()), SEQUENCE)
+    counts[np.cumsum(pieces)[sizes_of > 0] - 1] = (sizes_of - (pieces - 1) * SEQUENCE)[sizes_of > 0]
+    target = (np.repeat(labels == 1, sizes_of) & marks[features].any(axis=1)).astype(np.float32)
     weights, transition = np.zeros(total), np.zeros((2, 2))
     pull, pull_t = np.full(total, 1e-6), np.full((2, 2), 1e-6)
     bias = np.log((target.mean() + 1e-6) / (1 - target.mean() + 1e-6))
@@ -189,7 +215,7 @@ def _train(docs: list[np.ndarray], labels: np.ndarray, sizes: dict[int, int]) ->
     after[starts] = False
     before = np.concatenate(([0.0], target[:-1])) * after
     for _ in range(ROUNDS):
-        guess = marginals(_emission(weights, features), counts, transition)
+        guess = _in_parts(weights, features, counts, transition)
         error = target - guess
         slope = np.zeros(total)
         for k in range(KINDS):
@@ -203,8 +229,7 @@ def _train(docs: list[np.ndarray], labels: np.ndarray, sizes: dict[int, int]) ->
         pull_t += slope_t**2
         transition += 0.2 * slope_t / np.sqrt(pull_t)
     weights = weights.astype(np.float32)
-    sizes_of = np.array([len(x) for x in docs])
-    inputs = _sums(marginals(_emission(weights, np.concatenate(docs)), sizes_of, transition), sizes_of)
+    inputs = _sums(_in_parts(weights, features, sizes_of, transition), sizes_of)
     weight = np.where(labels == 1, sizes.get(1, 1) / max(1, (labels == 1).sum()), sizes.get(0, 1) / max(1, (labels == 0).sum()))
     link = np.zeros(4)
     for _ in range(40):  # Newton steps of a ridge logistic regression; classes weigh as in all rows
@@ -259,9 +284,3 @@ def score_toxicity(docs: DataFrame, model: Model, text_column: str = "text", kee
     keep = ["doc_id"] if keep is None else keep
     rows = docs.select(*keep, F.col(text_column).alias("__text"))
     return rows.mapInArrow(_score(model, least), with_fields(rows, keep, "score double, spans array<struct<start:bigint,end:bigint,marginal:double>>"))
-
-
-def labelled(docs: DataFrame, labels: DataFrame, learn, label: str = "toxic") -> DataFrame:
-    """text and label of the documents that `learn` (a condition on doc_id) admits and that have both; one label an id."""
-    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(learn).groupBy("doc_id").agg(F.max(label).alias("label"))
-    return docs.where("text is not null").select("doc_id", "text").where(learn).join(known, "doc_id").select("text", "label")

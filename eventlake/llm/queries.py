@@ -39,7 +39,7 @@ def op3_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of all documents, learnt from three quarters of the labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = in_fold("doc_id", 4, 2)
-    model = crf.fit(crf.labelled(docs, table(spark, sf_dir, "labels"), ~held_out))
+    model = crf.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
     scored = crf.score_toxicity(docs.withColumn("held_out", held_out), model, keep=["doc_id", "held_out"])
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= TOXIC_FROM, 1).otherwise(0).alias("predicted"), "spans")
 

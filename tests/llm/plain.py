@@ -1,7 +1,7 @@
 """Plain versions of operators on Python dictionaries, doc_id to text."""
 
-from test_llm_near import parts_of, shingles
-from test_llm_tables import plain_leaks
+from llm.test_llm_near import parts_of, shingles
+from llm.test_llm_tables import plain_leaks
 
 from eventlake.llm.paragraphs import LINES
 

@@ -137,7 +137,7 @@ def toxic(spark):
 
 
 def test_toxic_spans(spark, toxic, corpus, nothing):
-    model = crf.fit(crf.labelled(toxic, toxic.select("doc_id", "toxic"), ~in_fold("doc_id", 4, 2)))
+    model = crf.fit(toxic, toxic.select("doc_id", "toxic"), ~in_fold("doc_id", 4, 2))
     held = crf.score_toxicity(toxic.where(in_fold("doc_id", 4, 2)), model, keep=["doc_id", "text", "toxic"]).collect()
     assert sum((r.score >= 0.3) == (r.toxic == 1) for r in held) >= 0.97 * len(held)
     found = Counter(r.text[s.start : s.end].lower() for r in held for s in r.spans)
@@ -149,14 +149,22 @@ def test_toxic_spans(spark, toxic, corpus, nothing):
 
 
 def test_toxicity_without_toxic_rows(spark, toxic, nothing):
-    for rows in (toxic.where("toxic = 0").select("text", F.col("toxic").alias("label")), nothing.select("text", F.lit(1).alias("label"))):
-        model = crf.fit(rows)
+    clean = toxic.select("doc_id", F.lit(0).alias("toxic"))
+    for docs, labels in ((toxic, clean), (nothing, clean), (toxic, clean.where("false"))):
+        model = crf.fit(docs, labels, F.lit(True))
         assert all(r.score < 0.3 for r in crf.score_toxicity(toxic.limit(5), model).collect())
 
 
 def test_labels_with_nulls_and_repeats(spark, toxic):
-    labels = spark.createDataFrame([(1, 0), (1, 1), (2, None), (None, 1), (99_999, 1)], "doc_id long, toxic int")
-    assert [r.label for r in crf.labelled(toxic, labels, F.lit(True)).collect()] == [1]
+    """Odd labels and repeated documents change nothing."""
+    labels = toxic.select("doc_id", "toxic")
+    odd = spark.createDataFrame([(2, None), (None, 1), (99_999, 1), (3, 7), (5, 0)], "doc_id long, toxic int")
+    bare = spark.createDataFrame([(None, "x"), (1, None)], "doc_id long, text string")
+    docs = toxic.select("doc_id", "text")
+    one = crf.fit(docs, labels, F.lit(True))
+    two = crf.fit(docs.unionAll(bare).unionAll(docs.where("doc_id = 1")), labels.unionAll(odd), F.lit(True))
+    scores = [{r.doc_id: r.score for r in crf.score_toxicity(docs, m).collect()} for m in (one, two)]
+    assert all(abs(scores[0][k] - scores[1][k]) < 0.02 for k in scores[0])
 
 
 def test_toxicity_held_out(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as pipeline
 from eventlake.llm import bpe
 from eventlake.llm.tables import written
-from tests_llm_plain import least_of_components, paragraphs_left, plain_leaks
+from llm.plain import least_of_components, paragraphs_left, plain_leaks
 
 SMALL = "/root/testdata/sf0.001"
 
