@@ -164,9 +164,9 @@ def _filter(seeds: DataFrame) -> np.ndarray:
     """The bits of all test seeds: at most 2**(FILTER_BITS - 6) numbers come to the driver, whatever the test set holds."""
     places = seeds.select(F.explode(F.array("one", "two")).alias("place"))
     words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(place & 63))")).alias("bits"))
-    found = words.toPandas()
+    found = words.toArrow()
     seen = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    seen[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    seen[found.column("word").to_numpy()] = found.column("bits").to_numpy()
     return seen.view(np.uint8)
 
 

@@ -206,23 +206,25 @@ def fit(docs: DataFrame, text_column: str = "text", fit_rows: int = FIT_ROWS) ->
     that finds everything good.
     """
     texts = docs.select(F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    counted = written(texts.mapInArrow(_patterns, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n")), "patterns").toPandas()
-    total = int(counted["n"].sum())
+    counted = written(texts.mapInArrow(_patterns, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n")), "patterns").toArrow()
+    patterns, n = counted.column("pattern").to_numpy(), counted.column("n").to_numpy()
+    total = int(n.sum())
     if not total:
         return Scorer(LabelModel(0.9, np.full((2, len(MEASURES), 3), 0.5)), np.zeros(1 << BITS, np.float32), np.zeros(len(MEASURES) * CLASSES), 2.0)
-    labels = estimate(counted["pattern"].to_numpy(np.int64), counted["n"].to_numpy(np.float64))
+    labels = estimate(patterns, n.astype(np.float64))
     chance = F.pmod(F.xxhash64(F.lit("fit"), "text"), F.lit(1_000_000)) / 1e6
-    sample = texts.where(chance < fit_rows / total).mapInArrow(_training, "pattern bigint, classes array<bigint>, slots binary")
-    rows = written(sample, "quality-sample").toPandas()
-    if not len(rows):
+    # a text that is copied many times counts once, so that the sample keeps its bound
+    sample = texts.where(chance < fit_rows / total).distinct().mapInArrow(_training, "pattern bigint, classes array<bigint>, slots binary")
+    rows = written(sample, "quality-sample").toArrow()
+    if not rows.num_rows:
         return Scorer(labels, np.zeros(1 << BITS, np.float32), np.zeros(len(MEASURES) * CLASSES), float(np.log(labels.good / (1 - labels.good))))
-    target = labels.posterior(_unfold(rows["pattern"].to_numpy(np.int64)))
-    sets = [np.frombuffer(b, np.int32) for b in rows["slots"]]
+    target = labels.posterior(_unfold(rows.column("pattern").to_numpy()))
+    sets = [np.frombuffer(x.as_buffer(), np.int32) for x in rows.column("slots")]
     sizes = np.array([len(s) for s in sets])
     flat = np.concatenate(sets).astype(np.int64)
     owner = np.repeat(np.arange(len(sets)), sizes)
     share = 1 / np.sqrt(np.maximum(sizes, 1))[owner]
-    classes = np.array(rows["classes"].tolist(), np.int64).reshape(len(rows), -1)
+    classes = np.array(rows.column("classes").to_pylist(), np.int64).reshape(rows.num_rows, -1)
     words, kinds, base = np.zeros(1 << BITS), np.zeros(len(MEASURES) * CLASSES), 0.0
     pull_w, pull_k, pull_b = np.full(len(words), 1e-6), np.full(len(kinds), 1e-6), 1e-6
     for _ in range(ROUNDS):

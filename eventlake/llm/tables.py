@@ -82,13 +82,18 @@ def bit_filter(values: DataFrame, least_bits: int = 20, most_bits: int = 27) ->
     value = values.columns[0]
     count = values.count()
     bits = min(most_bits, max(least_bits, (16 * count).bit_length()))
-    place = F.shiftrightunsigned(F.xxhash64(value), 64 - bits)
-    words = values.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(place & 63))")).alias("bits"))
-    found = words.toPandas()
-    seen = np.zeros(1 << (bits - 6), np.int64)
-    seen[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    return seen.view(np.uint8)
-
+    # positions from 1; maps of 32,768 bits are put together on the executors
+    place = (F.shiftrightunsigned(F.xxhash64(value), 64 - bits) + 1).alias("place")
+    maps = values.select(place).groupBy(F.bitmap_bucket_number("place").alias("map")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    found = maps.toArrow()
+    seen = np.zeros(1 << (bits - 3), np.uint8)
+    for number, own in zip(found.column("map").to_pylist(), found.column("bits").to_pylist(), strict=True):
+        seen[(number - 1) * MAP_BYTES : number * MAP_BYTES] = np.frombuffer(own, np.uint8)
+    return seen
+
+
+#: Bytes of one of Spark's bitmaps.
+MAP_BYTES = 4096
 
 _P1, _P2, _P3, _P4, _P5 = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
 
