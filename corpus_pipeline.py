@@ -23,12 +23,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     whose likeliest language has a posterior below one half. If no row has a
     language, nothing can be recognised and only texts without a letter go.
     """
-    rows = docs.select(F.struct("*").alias("row"), "text", "lang")
-    model = ppm.fit(ppm.training_rows(rows, F.lit(True)))
+    model = ppm.fit(ppm.training_rows(docs, F.lit(True)))
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    told = ppm.identify(rows, model, keep=["row"])
-    return told.where((F.col("lang_pred") != "und") & (F.col("score") >= ppm.CERTAIN)).select("row.*")
+    # columns go by number meanwhile, as theirs may be named like the answers
+    numbered = [f"column_{i}" for i in range(len(docs.columns))]
+    told = ppm.identify(docs.toDF(*numbered), model, numbered[docs.columns.index("text")], numbered)
+    sure = told.where((F.col("lang_pred") != "und") & (F.col("score") >= ppm.CERTAIN))
+    return sure.select(*numbered).toDF(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.tables import slices, text_column, with_fields, written
@@ -86,7 +86,8 @@ def gram_counts(rows: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     # the text's own hash decides, not its place or a random number, so a retried task takes the same rows
     chance = F.pmod(F.xxhash64(F.lit("fit"), "text"), F.lit(1_000_000)) / 1e6
     taken = rows.join(F.broadcast(sizes.limit(1000)), "lang").where(chance < F.lit(float(fit_rows)) / F.col("rows"))
-    counted = taken.select("lang", "text").mapInArrow(_count, "lang string, gram bigint, n bigint")
+    # a text that is copied many times counts once, so that the sample keeps its bound
+    counted = taken.select("lang", "text").distinct().mapInArrow(_count, "lang string, gram bigint, n bigint")
     return written(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
 
 
@@ -99,6 +100,9 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, contexts: int = CONTEXTS) ->
     """
     grams = gram_counts(rows, fit_rows)
     languages = sorted(r[0] for r in grams.select("lang").distinct().collect())
+    # numbers instead of names, so that what the driver takes is columns of numbers
+    number = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")).cast("int") if languages else F.lit(0)
+    grams = grams.select(number.alias("lang"), "gram", "n")
     # one row for each context of each order: its bytes, nearest first, below a leading 1
     symbol = F.shiftright("gram", 8 * ORDER).cast("int").alias("symbol")
     orders = [(F.shiftright(F.col("gram").bitwiseAND((1 << 8 * ORDER) - 1), 8 * (ORDER - k)) + (1 << 8 * k)).alias("context") for k in range(ORDER + 1)]
@@ -108,8 +112,9 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, contexts: int = CONTEXTS) ->
         followed = one if followed is None else followed.unionAll(one)
     followed = written(followed, "followers")
     frequent = followed.groupBy("context").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "context").limit(contexts).select("context")
-    kept = followed.join(F.broadcast(written(frequent, "contexts")), "context").toPandas()
-    return _freeze(languages, kept["context"].to_numpy(np.int64), kept["lang"].to_numpy(object), kept["symbol"].to_numpy(np.int64), kept["n"].to_numpy(np.float64))
+    kept = followed.join(F.broadcast(written(frequent, "contexts")), "context").select("context", "lang", "symbol", "n").toArrow()
+    columns = [kept.column(c).to_numpy() for c in ("context", "lang", "symbol", "n")]
+    return _freeze(languages, columns[0], columns[1] - 1, columns[2], columns[3])
 
 
 def _freeze(languages: list[str], context: np.ndarray, lang: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> Model:
@@ -127,10 +132,10 @@ def _freeze(languages: list[str], context: np.ndarray, lang: np.ndarray, symbol:
     letter[used] = np.arange(1, len(used) + 1)
     kinds_of_byte = len(used) + 1
     counts = np.zeros((total, kinds_of_byte, voices), np.float32)
-    number = {x: i for i, x in enumerate(languages)}
-    at = np.array([place.get(int(c), -1) for c in context], np.int64)
+    where = np.array([place.get(int(c), -1) for c in names], np.int64)
+    at = where[np.searchsorted(names, context)] if len(names) else np.zeros(0, np.int64)
     keep = at >= 0
-    counts[at[keep], letter[symbol[keep]], [number[x] for x in lang[keep]]] = n[keep]
+    counts[at[keep], letter[symbol[keep]], lang[keep]] = n[keep]
     bits = counts  # made context by context in the same memory; shorter contexts come first
     child = np.repeat(np.arange(total, dtype=np.int32) + total, kinds_of_byte).reshape(total, kinds_of_byte)
     for c, i in place.items():
@@ -175,26 +180,28 @@ def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     return out
 
 
-def _predict(model: Model):
+def _predict(model: Model, text: str, keep: list[str]):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_column(batch.column("__text"))
+            data, offsets = text_column(batch.column(text))
             heard = np.array(batch.column("__letter").to_pylist(), bool)
-            names, scores, bits_of = [], [], []
             for first, end in slices(offsets):
                 part, at = data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
                 bits = code_lengths(model, part, at)
                 best = bits.argmin(axis=1)
                 least = bits[np.arange(len(bits)), best]
                 posterior = 1 / np.exp2(np.clip(least[:, None] - bits, -1000, 0)).sum(axis=1)
-                bytes_of = np.maximum(1, np.diff(at))
+                bits_of = least / np.maximum(1, np.diff(at))
+                names, scores, lengths = [], [], []
                 for row in range(end - first):
                     known = bool(heard[first + row]) and bool(model.languages)
                     names.append(model.languages[best[row]] if known else "und")
                     scores.append(float(posterior[row]) if known else 0.0)
-                    bits_of.append(float(least[row] / bytes_of[row]) if known else None)
-            kept = [batch.column(c) for c in batch.schema.names if c not in ("__text", "__letter")]
-            yield pa.record_batch([*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(bits_of, pa.float64())], names=[*(c for c in batch.schema.names if c not in ("__text", "__letter")), "lang_pred", "score", "bits_per_byte"])
+                    lengths.append(float(bits_of[row]) if known else None)
+                own = batch.slice(first, end - first)
+                yield pa.record_batch([*[own.column(c) for c in keep], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(lengths, pa.float64())], names=[*keep, "lang_pred", "score", "bits_per_byte"])
+        # what other operators' texts took is given back as well
+        pa.default_memory_pool().release_unused()
 
     return predict
 
@@ -208,9 +215,10 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text", keep: lis
     language in order. `keep` must not hold the three result names.
     """
     keep = ["doc_id"] if keep is None else keep
-    # a native test, so that Python sees one flag
-    rows = docs.select(*keep, F.col(text_column).alias("__text"), F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False)).alias("__letter"))
-    return rows.mapInArrow(_predict(model), with_fields(rows, keep, "lang_pred string, score double, bits_per_byte double"))
+    # the text travels once, and letters are looked for natively, so that Python sees one flag
+    letter = F.coalesce(F.col(text_column).rlike(r"\p{L}"), F.lit(False)).alias("__letter")
+    rows = docs.select(*keep, *([] if text_column in keep else [text_column]), letter)
+    return rows.mapInArrow(_predict(model, text_column, keep), with_fields(rows, keep, "lang_pred string, score double, bits_per_byte double"))
 
 
 def training_rows(docs: DataFrame, learn, text_column: str = "text", lang_column: str = "lang") -> DataFrame:
