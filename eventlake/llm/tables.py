@@ -14,6 +14,7 @@ from eventlake.session import work_path
 
 #: Bytes of text that NumPy code works on at a time; one longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
+BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Batches of BATCH_ROWS rows between Spark and Python, unless the session has a number of its own.
+
+    Spark's default of 10,000 whole texts can be more than a worker's memory.
+    """
+    if spark.conf.get(BATCH_CONF) == "10000":
+        spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
+
+
 def written(df: DataFrame, name: str, rows: int | None = None, rows_per_task: int = 200_000) -> DataFrame:
     """The same rows, written to the shared folder and read back.
 
@@ -29,6 +39,7 @@ def written(df: DataFrame, name: str, rows: int | None = None, rows_per_task: in
     upper bound where one is known, keeps small tables from becoming many files:
     a task for each `rows_per_task` rows, and never more than there were.
     """
+    _small_batches(df.sparkSession)
     path = work_path(df.sparkSession, name)
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // rows_per_task)))
