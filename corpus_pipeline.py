@@ -12,6 +12,7 @@ from eventlake.llm.bpe import token_digests
 from eventlake.llm.decontaminate import without_leaks
 from eventlake.llm.minhash import without_near_duplicates
 from eventlake.llm.paragraphs import without_repeats
+from eventlake.llm.passages import without_passages
 from eventlake.llm.queries import PATTERN, RANKS
 from eventlake.llm.tables import table, written
 
@@ -43,16 +44,25 @@ def paragraphs_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A document may become empty; it stays as a row.
     """
-    cleaned = without_repeats(docs)
+    return _counted(without_repeats(docs))
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """The rows, their n_chars (if there is one) that of the text as it is now."""
     if "n_chars" not in docs.columns:
-        return cleaned
+        return docs
     length = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
-    return cleaned.withColumn("n_chars", length)
+    return docs.withColumn("n_chars", length)
 
 
 def off_the_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
-    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    """Documents without a passage of a benchmark item, and of what they repeat word for word below or across lines only the first.
+
+    The second comes after the first, so that items are looked for in whole
+    texts and no passage is kept only in a document that is taken out.
+    """
+    clean = written(without_leaks(docs, table(spark, sf_dir, "benchmark")), "no-leaks")
+    return _counted(without_passages(clean))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

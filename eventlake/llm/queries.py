@@ -12,6 +12,7 @@ from eventlake.llm.decontaminate import leaked_documents
 from eventlake.llm.minhash import similar_documents
 from eventlake.llm.packing import pack_tokens, resets
 from eventlake.llm.paragraphs import without_repeats
+from eventlake.llm.passages import without_passages
 from eventlake.llm.sharding import shard_documents, shard_sql
 from eventlake.llm.tables import in_fold, table, written
 from eventlake.llm.topk import NEAREST_SQL, nearest
@@ -23,8 +24,12 @@ TOXIC_FROM = 0.3
 
 
 def op1_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the paragraphs that come earlier in the table, and which were removed."""
-    return without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), removed_column="removed")
+    """All documents without the paragraphs and passages that come earlier in the table, and which were removed.
+
+    removed: numbers of the lines taken out; passages: bytes cut out of what they left.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_passages(written(without_repeats(docs, removed_column="removed"), "lines-once"), "passages")
 
 
 def op2_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

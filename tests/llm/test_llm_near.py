@@ -7,9 +7,13 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
+from corpus_pipeline import off_the_benchmark
 from eventlake.llm.components import components
 from eventlake.llm.minhash import TEXTS, similar_documents, without_near_duplicates
 from eventlake.llm.paragraphs import LINES, repeated_paragraphs, without_repeats
+from eventlake.llm.passages import PASSAGE, without_passages
+from eventlake.llm.queries import op1_paragraph_dedup
+from llm.conftest import words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -153,3 +157,60 @@ def test_a_paragraph_repeated_in_one_text(spark):
     rows = spark.createDataFrame([(1, f"{line}\nshort\n{line}\nshort"), (2, f"x\n{line}")], "doc_id long, text string")
     assert {r.doc_id: r.text for r in without_repeats(rows).collect()} == {1: f"{line}\nshort\nshort", 2: "x"}
     assert without_repeats(rows).where(F.col("text").isNull()).count() == 0
+
+
+def plain_passages(docs):
+    """Each text's words without the runs that an equal run comes before; docs: (id, text)."""
+    first, out = {}, {}
+    for d, text in sorted(docs):
+        w = WORD.findall(text)
+        gone = [False] * len(w)
+        for i in range(len(w) - PASSAGE + 1):
+            at = first.setdefault(tuple(x.lower() for x in w[i : i + PASSAGE]), (d, i))
+            if at[0] != d or i - at[1] >= PASSAGE:
+                gone[i : i + PASSAGE] = [True] * PASSAGE
+        out[d] = [x for x, g in zip(w, gone, strict=True) if not g]
+    return out
+
+
+def test_passages_below_and_across_lines(spark):
+    """A passage in the middle of long lines, one wrapped at 8 words, and one in part only."""
+    long, wrapped = words(1, 60), words(2, 60)
+    lines = "\n".join(" ".join(wrapped[i : i + 8]) for i in range(0, 60, 8))
+    rows = [(i, " ".join(words(10 + i, 150) + long + words(50 + i, 150))) for i in range(3)]
+    rows += [(i, f"{' '.join(words(10 + i, 40))}\n{lines}\nend{i} of it") for i in (3, 4)]
+    rows += [(5, " ".join(words(6, 30) + wrapped[10:50] + words(7, 30))), (6, "Again " * 90), (7, " ".join(long)), (8, " ".join(long[:24]))]
+    docs = spark.createDataFrame([(*r, "x") for r in rows] + [(None, " ".join(words(8, 9) + long), "x"), (9, None, "x")], "doc_id long, text string, removed string")
+    assert without_repeats(docs).where("doc_id = 1").first().text == rows[1][1]  # lines alone leave it
+    found = without_passages(docs, "passages").collect()
+    got = {r.doc_id: r.text for r in found}
+    assert got[0] == rows[0][1] and got[8] == rows[8][1] and got[9] is None
+    assert got[1] == " ".join(words(11, 150) + words(51, 150)) and got[None] == " ".join(words(8, 9))
+    assert got[4] == f"{' '.join(words(14, 40))}\nend4 of it" and got[7] == ""
+    assert got[5] == " ".join(words(6, 30) + words(7, 30)) and got[6].split() == ["Again"] * PASSAGE
+    assert {d: WORD.findall(got[d]) for d, _ in rows} == plain_passages(rows)
+    before = dict(rows)
+    for r in found:
+        if r.doc_id in before:
+            data = before[r.doc_id].encode()
+            assert len(r.text.encode()) == len(data) - sum(c.end - c.start for c in r.passages)
+    assert without_passages(docs).schema == docs.schema
+
+
+def test_passages_match_brute_force(spark, nothing):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text is not null")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert {r.doc_id: WORD.findall(r.text) for r in without_passages(docs).collect()} == plain_passages(rows)
+    assert without_passages(nothing).count() == 0
+
+
+def test_the_query_and_the_pipeline_cut_passages(spark, tmp_path):
+    shared = words(3, 60)
+    rows = [(i, " ".join(words(70 + i, 200) + shared + words(90 + i, 200)), "en", "src", 1) for i in range(2)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, " ".join(words(4, 40)))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    left = " ".join(words(71, 200) + words(91, 200))
+    got = {r.doc_id: r for r in op1_paragraph_dedup(spark, str(tmp_path)).collect()}
+    assert got[0].text == rows[0][1] and got[1].text == left and got[1].removed == [] and len(got[1].passages) == 1
+    docs = off_the_benchmark(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path))
+    assert {r.doc_id: (r.text, r.n_chars) for r in docs.collect()} == {0: (rows[0][1], len(rows[0][1])), 1: (left, len(left))}
