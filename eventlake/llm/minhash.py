@@ -189,20 +189,20 @@ class _Parts:
         self.up[self.top(a)] = self.top(b)
 
 
-def _agreeing(members: list[dict], parts: _Parts, least: float) -> Iterator[tuple[int, int]]:
+def _agreeing(members: list[dict], parts: _Parts, least: float, percent: int) -> Iterator[tuple[int, int]]:
     """Pairs of members of different parts whose signatures agree in a share of `least`, the most similar first."""
     sig = np.frombuffer(b"".join(m["sig"] for m in members), np.uint8).reshape(len(members), -1)
     n = np.array([m["n"] for m in members], np.float64)
     similar = np.stack([(sig == s).mean(axis=1) for s in sig])
     # sizes alone rule a pair out
-    similar[np.minimum(n[:, None], n[None, :]) * 4 < 3 * np.maximum(n[:, None], n[None, :])] = -1
+    similar[100 * np.minimum(n[:, None], n[None, :]) < percent * np.maximum(n[:, None], n[None, :])] = -1
     a, b = np.nonzero(np.triu(similar >= least, 1) & (parts.part[:, None] != parts.part[None, :]))
     for k in np.lexsort((b, a, -similar[a, b])):
         yield int(a[k]), int(b[k])
 
 
-def _links_of_blocks(least: float, percent: int | None):
-    """A maximum spanning forest of the agreeing pairs of each block; with `percent`, of those that are links on whole sets."""
+def _links_of_blocks(least: float, percent: int, whole: bool = False):
+    """A maximum spanning forest of the agreeing pairs of each block; with `whole`, of those that are links on whole sets."""
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,10 +214,10 @@ def _links_of_blocks(least: float, percent: int | None):
                     continue
                 sets: dict[int, np.ndarray] = {}
                 left, right = [], []
-                for a, b in _agreeing(members, parts, least):
+                for a, b in _agreeing(members, parts, least, percent):
                     if parts.top(a) == parts.top(b):
                         continue
-                    if percent is not None:
+                    if whole:
                         for m in (a, b):
                             if m not in sets:
                                 sets[m] = np.frombuffer(members[m]["shingles"], np.uint64)
@@ -320,13 +320,13 @@ def similar_links(signed: DataFrame, docs: DataFrame, banding: Banding, percent:
     anchors = buckets.where(F.col("size") > BLOCK).select("bucket", every_share, F.col("least").alias("key"))
     spread = members.select("bucket", share_of, "key").unionAll(anchors).join(signs, "key")
     blocks = spread.groupBy("bucket", "share").agg(F.collect_list(member).alias("members"))
-    pairs = written(blocks.select("members").mapInArrow(_links_of_blocks(least, None), pair).distinct(), "pairs", rows, BLOCK_ROWS)
+    pairs = written(blocks.select("members").mapInArrow(_links_of_blocks(least, percent), pair).distinct(), "pairs", rows, BLOCK_ROWS)
     groups = components(pairs).withColumnRenamed("node", "key")
     # blocks of one bucket that hold different groups
     large = members.where(F.col("size") > BLOCK).select(F.col("bucket").alias("group"), "key").join(groups, "key", "left")
     large = written(large.withColumn("root", F.coalesce("root", "key")), "large-buckets", rows)
     if not large.isEmpty():
-        across = written(_block_pairs(large.join(signs, "key"), ["n", "sig"], rows).mapInArrow(_links_of_blocks(least, None), pair).distinct(), "pairs")
+        across = written(_block_pairs(large.join(signs, "key"), ["n", "sig"], rows).mapInArrow(_links_of_blocks(least, percent), pair).distinct(), "pairs")
         if not across.isEmpty():
             pairs = pairs.unionAll(across)
             groups = components(pairs).withColumnRenamed("node", "key")
@@ -340,7 +340,7 @@ def similar_links(signed: DataFrame, docs: DataFrame, banding: Banding, percent:
     if unsettled.isEmpty():
         return links
     held = parts.join(unsettled, "group").join(signs, "key").join(sets, "key")
-    more = _block_pairs(held, ["n", "sig", "shingles"], rows).mapInArrow(_links_of_blocks(least, percent), pair).distinct()
+    more = _block_pairs(held, ["n", "sig", "shingles"], rows).mapInArrow(_links_of_blocks(least, percent, whole=True), pair).distinct()
     return links.unionAll(written(more, "links"))
 
 

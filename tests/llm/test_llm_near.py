@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpus_pipeline import off_the_benchmark
 from eventlake.llm.components import components
-from eventlake.llm.minhash import TEXTS, similar_documents, without_near_duplicates
+from eventlake.llm.minhash import TEXTS, _agreeing, _Parts, similar_documents, without_near_duplicates
 from eventlake.llm.paragraphs import LINES, repeated_paragraphs, without_repeats
 from eventlake.llm.passages import PASSAGE, without_passages
 from eventlake.llm.queries import op1_paragraph_dedup
@@ -214,3 +214,10 @@ def test_the_query_and_the_pipeline_cut_passages(spark, tmp_path):
     assert got[0].text == rows[0][1] and got[1].text == left and got[1].removed == [] and len(got[1].passages) == 1
     docs = off_the_benchmark(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path))
     assert {r.doc_id: (r.text, r.n_chars) for r in docs.collect()} == {0: (rows[0][1], len(rows[0][1])), 1: (left, len(left))}
+
+
+def test_sizes_rule_out_by_the_asked_percent():
+    members = [{"sig": bytes(128), "n": n} for n in (65, 100)]
+    parts = _Parts([0, 1])
+    assert list(_agreeing(members, parts, 0.5, 60)) == [(0, 1)]
+    assert list(_agreeing(members, parts, 0.5, 75)) == []
