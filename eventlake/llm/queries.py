@@ -16,6 +16,8 @@ from eventlake.llm.passages import without_passages
 from eventlake.llm.sharding import shard_documents, shard_sql
 from eventlake.llm.tables import in_fold, table, written
 from eventlake.llm.topk import NEAREST_SQL, nearest
+from eventlake.llm.whitening import fit as fit_whitening
+from eventlake.llm.whitening import whiten
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -87,6 +89,12 @@ def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("kept", F.col("score") >= 0.5)
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the four leading whitened directions of the distinct ones."""
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whiten(embeddings, fit_whitening(embeddings))
+
+
 QUERIES = {
     "op1_paragraph_dedup": op1_paragraph_dedup,
     "op2_ppm_language_id": op2_ppm_language_id,
@@ -98,6 +106,7 @@ QUERIES = {
     "op8_branch_and_bound_top_k": op8_branch_and_bound_top_k,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_weak_label_quality": op10_weak_label_quality,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
 ORACLES: dict[str, str] = {
     "op4_rendezvous_sharding": shard_sql(SHARDS),
