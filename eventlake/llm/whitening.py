@@ -21,7 +21,7 @@ SCALE = 256
 COMPONENTS = 4
 #: Rows of a QR block; its memory is this by the vectors' length.
 BLOCK_ROWS = 4096
-#: Triangles that one task stacks in a step of the tree.
+#: Triangles that are stacked to one in a step of the tree.
 FAN_IN = 32
 
 EPS = float(np.finfo(float).eps)
@@ -298,26 +298,38 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, pa.schema([("dims", pa.int32()), ("place", pa.int32()), ("total", pa.decimal128(38, 0))]))
 
 
-def _triangles(batches: Iterator[pa.RecordBatch], sums: dict[int, tuple[int, list[int]]] | None) -> Iterator[pa.RecordBatch]:
-    """One triangle for the vectors of each length that a task sees: QR of its rows, block on block.
-
-    With `sums` the vectors are centred first, otherwise they are rows of other triangles.
-    """
+def _triangles(batches: Iterator[pa.RecordBatch], sums: dict[int, tuple[int, list[int]]]) -> Iterator[pa.RecordBatch]:
+    """A triangle for the vectors of each length that a task sees: QR of its centred rows, block on block. Its node is the task's number."""
     from pyspark import TaskContext
 
     node = TaskContext.get().partitionId()
-    kept: dict[int, np.ndarray] = {}
+    kept: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        for length, _, x in by_length(batch.column(0), np.int64):
+            n, total = sums[length]
+            for start in range(0, len(x), BLOCK_ROWS):
+                _stack(kept, (node, length), deviations(x[start : start + BLOCK_ROWS], n, total).astype(float) / n)
+    yield from _rows(kept)
+
+
+def _stacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One triangle for all triangles of a node."""
+    kept: dict[tuple[int, int], np.ndarray] = {}
     for batch in batches:
-        column = batch.column(batch.num_columns - 1)
-        for length, _, rows in by_length(column, np.int64 if sums else float):
-            for start in range(0, len(rows), BLOCK_ROWS):
-                block = rows[start : start + BLOCK_ROWS]
-                if sums:
-                    n, total = sums[length]
-                    block = deviations(block, n, total).astype(float) / n
-                kept[length] = np.linalg.qr(np.vstack([*([kept[length]] if length in kept else []), block]), mode="r")
-    for r in kept.values():
-        row = pa.ListArray.from_arrays(pa.array(np.arange(len(r) + 1, dtype=np.int32) * r.shape[1]), pa.array(r.ravel()))
+        nodes = batch.column(0).to_numpy()
+        for length, at, rows in by_length(batch.column(1), float):
+            for node in np.unique(nodes[at]).tolist():
+                _stack(kept, (node, length), rows[nodes[at] == node])
+    yield from _rows(kept)
+
+
+def _stack(kept: dict[tuple[int, int], np.ndarray], key: tuple[int, int], rows: np.ndarray) -> None:
+    kept[key] = np.linalg.qr(np.vstack([kept[key], rows]) if key in kept else rows, mode="r")
+
+
+def _rows(kept: dict[tuple[int, int], np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for (node, length), r in kept.items():
+        row = pa.ListArray.from_arrays(pa.array(np.arange(len(r) + 1, dtype=np.int32) * length), pa.array(r.ravel()))
         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(r), node, np.int32)), row], names=["node", "row"])
 
 
@@ -358,7 +370,8 @@ def fit(rows: DataFrame, vector: str = "embedding", components: int = COMPONENTS
     triangles = distinct.mapInArrow(lambda batches: _triangles(batches, sums), TRIANGLES)
     while tasks > 1:
         tasks = -(-tasks // FAN_IN)
-        triangles = triangles.repartition(tasks, "node").mapInArrow(lambda batches: _triangles(batches, None), TRIANGLES)
+        above = triangles.select(F.floor(F.col("node") / FAN_IN).cast("int").alias("node"), "row")
+        triangles = above.repartition(tasks, "node").mapInArrow(_stacked, TRIANGLES)
     models = {}
     for length, _, r in by_length(triangles.toArrow().column("row").combine_chunks(), float):
         n, total = sums[length]
