@@ -13,6 +13,7 @@ from eventlake.llm.minhash import similar_documents
 from eventlake.llm.packing import pack_tokens, resets
 from eventlake.llm.paragraphs import without_repeats
 from eventlake.llm.passages import without_passages
+from eventlake.llm.secrets import BASE_KINDS, count_of, find_secrets, joined
 from eventlake.llm.sharding import shard_documents, shard_sql
 from eventlake.llm.tables import in_fold, table, written
 from eventlake.llm.topk import NEAREST_SQL, nearest
@@ -95,6 +96,13 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(embeddings, fit_whitening(embeddings))
 
 
+def op13_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of all documents: counts and digest of the known shapes, and all spans."""
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    return found.select("doc_id", *[count_of(base, kind).alias(f"n_{kind}") for kind in BASE_KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_paragraph_dedup": op1_paragraph_dedup,
     "op2_ppm_language_id": op2_ppm_language_id,
@@ -107,6 +115,7 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_weak_label_quality": op10_weak_label_quality,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_entropy_secrets": op13_entropy_secrets,
 }
 ORACLES: dict[str, str] = {
     "op4_rendezvous_sharding": shard_sql(SHARDS),

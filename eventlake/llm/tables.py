@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession) -> None:
     """Batches of BATCH_ROWS rows between Spark and Python, unless the session has a number of its own.
 
     Spark's default of 10,000 whole texts can be more than a worker's memory.
@@ -39,7 +39,7 @@ def written(df: DataFrame, name: str, rows: int | None = None, rows_per_task: in
     upper bound where one is known, keeps small tables from becoming many files:
     a task for each `rows_per_task` rows, and never more than there were.
     """
-    _small_batches(df.sparkSession)
+    small_batches(df.sparkSession)
     path = work_path(df.sparkSession, name)
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // rows_per_task)))
