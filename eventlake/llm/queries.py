@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.llm import crf, ppm, quality
+from eventlake.llm.alignment import align_documents
 from eventlake.llm.bpe import encode_documents, token_digests
 from eventlake.llm.decontaminate import leaked_documents
 from eventlake.llm.minhash import similar_documents
@@ -22,6 +23,7 @@ from eventlake.llm.whitening import whiten
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+BYTE_LEVEL, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SHARDS = 24
 TOXIC_FROM = 0.3
 
@@ -90,6 +92,11 @@ def op10_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("kept", F.col("score") >= 0.5)
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens of two tokenizers, aligned by bytes, and how common their links are in the corpus."""
+    return align_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_LEVEL, PIECES)
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings on the four leading whitened directions of the distinct ones."""
     embeddings = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -114,6 +121,7 @@ QUERIES = {
     "op8_branch_and_bound_top_k": op8_branch_and_bound_top_k,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_weak_label_quality": op10_weak_label_quality,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_entropy_secrets": op13_entropy_secrets,
 }
