@@ -194,6 +194,14 @@ ORACLES: dict[str, str] = {
     "latest_model_scores": SCORES,
     "stream_ingest": f"SELECT {EVENT_COLUMNS} FROM events",
     "stream_ingest_malformed": f"SELECT {DIRTY} FROM events",
+    "rejected_messages": f"""
+        SELECT CASE event_id % 8 WHEN 1 THEN 'nan' WHEN 7 THEN 'number' ELSE 'null' END AS k_state,
+            CASE WHEN event_id % 8 = 7 THEN {K} END AS k,
+            CASE event_id % 8 WHEN 0 THEN 'not json' WHEN 3 THEN '' WHEN 4 THEN '[' || props || ']'
+                WHEN 5 THEN '{{"k": "five"}}' WHEN 6 THEN '  ' END AS text,
+            CASE event_id % 8 WHEN 0 THEN 'malformed' WHEN 3 THEN 'empty' WHEN 4 THEN 'malformed'
+                WHEN 5 THEN 'mistyped' WHEN 6 THEN 'empty' ELSE 'message' END AS kind
+        FROM events""",
     "stream_restart": f"SELECT {EVENT_COLUMNS} FROM events",
     "stream_reprocess": f"""
         SELECT {EVENT_COLUMNS}, CAST(version AS BIGINT) AS version

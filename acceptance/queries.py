@@ -37,7 +37,7 @@ from eventlake.session import work_path
 from eventlake.sinks.publish import publish, to_messages
 from eventlake.sinks.tables import append_table
 from eventlake.sources.tables import local_rows, read_csv, read_table
-from eventlake.streaming.ingest import ingest
+from eventlake.streaming.ingest import ingest, ingest_or_reject
 from eventlake.streaming.paths import StreamPaths
 from eventlake.streaming.run import run_all
 from eventlake.streaming.scoring import start_scoring
@@ -388,6 +388,32 @@ def stream_ingest_malformed(spark, sf_dir):
     )
 
 
+def rejected_messages(spark, sf_dir):
+    """PRJ2, STR1: messages and, with their text and kind, what is none, from one stream; together all that was sent"""
+    paths = _stream_paths(spark)
+    kind, props = F.col("event_id") % 8, F.col("props")
+    value = (
+        F.when(kind == 0, F.lit("not json"))
+        .when(kind == 1, F.lit('{"k": NaN}'))
+        .when(kind == 2, F.lit('{"j": 1}'))
+        .when(kind == 3, F.lit(""))
+        .when(kind == 4, F.concat(F.lit("["), props, F.lit("]")))
+        .when(kind == 5, F.lit('{"k": "five"}'))
+        .when(kind == 6, F.lit("  "))
+        .otherwise(props)
+    )
+    messages = published(spark, table(spark, sf_dir, "events").select(value.alias("value")))
+    tables = [paths.output("events"), paths.output("rejects")]
+    run_all([ingest_or_reject(stream(spark, messages), *tables, paths.checkpoint, PAYLOAD, trigger=ONCE)])
+    good, bad = (read_table(spark, path) for path in tables)
+    return good.select(
+        _state("k").alias("k_state"),
+        F.when(~F.isnan("k"), F.col("k")).alias("k"),
+        F.lit(None).cast("string").alias("text"),
+        F.lit("message").alias("kind"),
+    ).unionAll(bad.select(F.lit("null"), F.lit(None).cast("double"), "text", "kind"))
+
+
 def stream_restart(spark, sf_dir):
     """STR2: a second run on the same checkpoint adds nothing"""
     paths, messages = _stream_paths(spark), _event_messages(spark, sf_dir)
@@ -594,6 +620,7 @@ QUERIES: dict[str, Query] = {
         latest_model_scores,
         stream_ingest,
         stream_ingest_malformed,
+        rejected_messages,
         stream_restart,
         stream_reprocess,
         stream_score_predictions,

@@ -85,7 +85,7 @@ def compacted_to(spark: SparkSession, path: str) -> int:
 
 
 def compact(spark: SparkSession, path: str, format: str = "parquet", keep: int = 10, partitions: int | None = None) -> int:
-    """All batches but the last ``keep`` put into one directory, that of the newest of them; returns how many there were.
+    """All batches but the last ``keep`` (one at least) put into one directory, that of the newest of them; returns how many there were.
 
     For file tables written batch by batch; a Delta table has its own OPTIMIZE.
     Rows keep their columns except that ``batch_id`` becomes that of the
@@ -96,6 +96,8 @@ def compact(spark: SparkSession, path: str, format: str = "parquet", keep: int =
     it write nothing, so rows neither double nor disappear.
     """
     require_typed(format)
+    if keep < 1:
+        raise ValueError("the last batch may be tried again by its stream and must keep a directory of its own: keep >= 1")
     work = f"{path}/{COMPACTING}"
     for name in children(spark, work):
         if name.startswith("ready="):

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from eventlake.operators.decode import decode_json
+from eventlake.operators.decode import accepted, decode_json, decode_or_reject, rejects
+from eventlake.operators.physical import held
 from eventlake.schemas import EVENT
+from eventlake.sinks.tables import require_typed, write_batch
 from eventlake.streaming.paths import require_paired
 
 
@@ -59,6 +61,43 @@ def ingest(
     return append_stream(decode_json(messages, schema, value), path, checkpoint, **options)
 
 
+def ingest_or_reject(
+    messages: DataFrame,
+    path: str,
+    rejects_path: str,
+    checkpoint: str,
+    schema: StructType = EVENT,
+    value: str = "value",
+    format: str = "parquet",
+    trigger: dict | None = None,
+    name: str = "ingest",
+) -> StreamingQuery:
+    """As :func:`ingest`, with what is no message in a second table, text and kind [PRJ2, STR1].
+
+    Both are written from one parse of a micro-batch, held for the two writes;
+    blocks lost in between are parsed again to the same rows. Batches have a
+    ``batch_id`` and a retried one replaces itself in both tables, so accepted
+    and rejected rows together are the messages of the stream.
+    """
+    require_typed(format)
+    require_paired(messages.sparkSession, checkpoint, path, rejects_path)
+
+    def write_both(batch: DataFrame, batch_id: int) -> None:
+        with held(decode_or_reject(batch, schema, value)) as decoded:
+            write_batch(accepted(decoded), path, batch_id, format, f"{name}-accepted:{checkpoint}")
+            write_batch(rejects(decoded), rejects_path, batch_id, format, f"{name}-rejected:{checkpoint}")
+
+    writer = (
+        messages.writeStream.queryName(name)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write_both)
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def console(rows: DataFrame, trigger: dict | None = None, name: str | None = None, n: int = 20) -> StreamingQuery:
     """The first ``n`` rows of each batch, untruncated, on the driver's standard output, for debugging [SNK3].
 

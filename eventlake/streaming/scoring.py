@@ -12,7 +12,7 @@ from eventlake.operators.clean import drop_incomplete
 from eventlake.operators.decode import decode_json
 from eventlake.operators.scoring import critical_alerts, score
 from eventlake.schemas import FEATURES, scoring_schema
-from eventlake.sinks.tables import read_batch, require_typed, write_batch
+from eventlake.sinks.tables import compacted_to, read_batch, require_typed, write_batch
 from eventlake.streaming.ingest import console
 from eventlake.streaming.paths import require_paired
 
@@ -49,6 +49,8 @@ def fan_out(
 
     def write_both(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if format != "delta" and batch_id <= max(compacted_to(spark, path) for path in (predictions_path, alerts_path)):
+            return  # both tables have it, together with others
         write_batch(batch, predictions_path, batch_id, format, f"{name}-predictions:{checkpoint}")
         committed = read_batch(spark, predictions_path, batch_id, format, batch.schema)
         write_batch(critical_alerts(committed), alerts_path, batch_id, format, f"{name}-alerts:{checkpoint}")
