@@ -88,11 +88,17 @@ def metrics(label: str, prediction: str, digits: int) -> str:
         round(1 - sum({error} * {error}) / (var_pop({label}) * count(*)), {digits}) + 0.0 AS r2"""
 
 
-SCORES = f"""
-    WITH {least_squares()}, scored AS (SELECT lines.*, {FITTED} AS pred FROM lines, ols)
+
+def scores(where: str = "true") -> str:
+    """All line items scored by the least-squares model of those that ``where`` chooses."""
+    return f"""
+    WITH {least_squares(where)}, scored AS (SELECT lines.*, {FITTED} AS pred FROM lines, ols)
     SELECT {LINE_KEYS}, {LINE_FEATURES}, round(pred, 4) + 0.0 AS delivery_deviation_pred, {bands('pred')}
     FROM scored"""
 
+
+SCORES = scores()
+
 GAPPY = """(
     SELECT event_id,
         CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 = 0 THEN 'NaN'::DOUBLE ELSE value END AS value,
@@ -210,6 +216,17 @@ ORACLES: dict[str, str] = {
     "stream_score_alerts": f"SELECT * FROM ({SCORES}) WHERE severity = 'HIGH'",
     "stream_fan_out_agreement": f"""
         SELECT count(*) AS n_alerts, CAST(0 AS BIGINT) AS n_unmatched FROM ({SCORES}) WHERE severity = 'HIGH'""",
+    "model_change_scores": f"""
+        SELECT * FROM ({SCORES}) WHERE l_orderkey % 2 = 0
+        UNION ALL SELECT * FROM ({scores("l_returnflag = 'R'")}) WHERE l_orderkey % 2 <> 0""",
+    "batch_counts": f"""
+        SELECT n + orders.orders AS read, lacking + orders.orders AS incomplete, n - lacking AS scored, critical,
+            CAST(3 AS BIGINT) AS batches, true AS agree
+        FROM (
+            SELECT count(*) AS n, count(*) FILTER (l_partkey % 5 = 0) AS lacking,
+                count(*) FILTER (l_partkey % 5 <> 0 AND severity = 'HIGH') AS critical
+            FROM ({SCORES})
+        ), (SELECT count(*) AS orders FROM orders) AS orders""",
     "schema_evolution": """
         SELECT event_id, value, NULL::VARCHAR AS event_type FROM events
         UNION ALL SELECT event_id, value, event_type FROM events""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -36,9 +37,11 @@ from eventlake.schemas import struct
 from eventlake.session import work_path
 from eventlake.sinks.publish import publish, to_messages
 from eventlake.sinks.tables import append_table
+from eventlake.sources.events import file_source, read_events
 from eventlake.sources.tables import local_rows, read_csv, read_table
 from eventlake.streaming.ingest import ingest, ingest_or_reject
 from eventlake.streaming.paths import StreamPaths
+from eventlake.streaming.progress import BatchCounts
 from eventlake.streaming.run import run_all
 from eventlake.streaming.scoring import start_scoring
 
@@ -475,6 +478,58 @@ def stream_fan_out_agreement(spark, sf_dir):
     )
 
 
+def model_change_scores(spark, sf_dir):
+    """SRC8, STR4: a model published while the stream runs scores the batches that follow, and only those"""
+    paths, topic = _stream_paths(spark), work_path(spark, "messages")
+    lines = table(spark, sf_dir, "lineitem", *LINE_KEYS, *LINE_FEATURES)
+    rows = table(spark, sf_dir, "lineitem", *LINE_KEYS, *LINE_FEATURES, "l_returnflag")
+    returned = rows.where("l_returnflag = 'R'").select(*LINE_FEATURES, deviation().alias(DEVIATION))
+    of_returned = training.fit(returned, training.linear_regression(DEVIATION), LINE_FEATURES)
+    registry, start = ModelRegistry(spark, work_path(spark, "models")), datetime(2024, 1, 1)
+    registry.publish(least_squares(spark, sf_dir), "LinearRegression", 1.0, start)
+    outputs = [paths.output("predictions"), paths.output("alerts")]
+    published(spark, to_messages(lines.where("l_orderkey % 2 = 0")), topic)
+    (query,) = start_scoring(stream(spark, topic), registry, *outputs, paths.checkpoint, LINE_FEATURES, LINE_KEYS)
+    query.processAllAvailable()
+    registry.publish(of_returned, "LinearRegression", 1.0, start + timedelta(days=1))
+    published(spark, to_messages(lines.where("l_orderkey % 2 <> 0")), topic)
+    query.processAllAvailable()
+    query.stop()
+    return _scores(read_table(spark, outputs[0]))
+
+
+def batch_counts(spark, sf_dir):
+    """STR5: what each batch read, dropped, scored and found critical, counted as its rows went by"""
+    paths, topic = _stream_paths(spark), work_path(spark, "messages")
+    lines = table(spark, sf_dir, "lineitem", *LINE_KEYS, *LINE_FEATURES)
+    tax = F.when(F.col("l_partkey") % 5 != 0, F.col("l_tax"))
+    sent = to_messages(lines.withColumn("l_tax", tax))
+    sent = sent.unionAll(table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("value")))
+    published(spark, sent, topic)
+    reported: list[dict] = []
+    counts = BatchCounts(reported.append)
+    model = least_squares(spark, sf_dir)
+    outputs = [paths.output("predictions"), paths.output("alerts")]
+    followed = read_events(spark, file_source(topic, maxFilesPerTrigger="3"))
+    run_all(start_scoring(followed, model, *outputs, paths.checkpoint, LINE_FEATURES, LINE_KEYS, trigger=ONCE, counts=counts))
+    counts.wait()
+    spark.streams.removeListener(counts)
+    shape = struct(batch_id="long", read="long", incomplete="long", scored="long", critical="long")
+    rows = local_rows(spark, [tuple(each[name] for name in shape.names) for each in reported], shape)
+    stored = [
+        read_table(spark, path).groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(F.count(F.lit(1)).alias(name))
+        for path, name in zip(outputs, ("stored", "alerts"))
+    ]
+    # each batch's own counts against what it stored, then all batches together
+    agree = F.coalesce("stored", F.lit(0)) == F.col("scored"), F.coalesce("alerts", F.lit(0)) == F.col("critical")
+    met = rows.join(stored[0], "batch_id", "left").join(stored[1], "batch_id", "left")
+    return met.agg(
+        *[F.sum(name).alias(name) for name in shape.names[1:]],
+        F.count(F.lit(1)).alias("batches"),
+        F.bool_and(agree[0] & agree[1] & (F.col("read") == F.col("incomplete") + F.col("scored"))).alias("agree"),
+    )
+
+
 # Tables and SQL
 
 
@@ -626,6 +681,8 @@ QUERIES: dict[str, Query] = {
         stream_score_predictions,
         stream_score_alerts,
         stream_fan_out_agreement,
+        model_change_scores,
+        batch_counts,
         schema_evolution,
         stream_schema_evolution,
         registered_table,

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from argparse import ArgumentParser
 
 from eventlake.jobs.arguments import add_source, add_stream, read_source, trigger
 from eventlake.plans.registry import ModelRegistry
 from eventlake.session import session
+from eventlake.streaming.progress import BatchCounts
 from eventlake.streaming.run import run_all
 from eventlake.streaming.scoring import start_scoring
 
@@ -23,16 +25,22 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--predictions", required=True)
     parser.add_argument("--alerts", required=True)
     parser.add_argument("--debug", action="store_true", help="print the decoded events")
+    parser.add_argument("--follow", action="store_true", help="take the latest model anew for each batch")
+    parser.add_argument("--counts", action="store_true", help="print the counts of each batch")
     arguments = parser.parse_args(argv)
+    if arguments.follow and arguments.model:
+        parser.error("--follow takes the latest model, --model a stated one")
     spark = session("score")
+    registry = ModelRegistry(spark, arguments.models)
     run_all(
         start_scoring(
             read_source(spark, arguments),
-            ModelRegistry(spark, arguments.models).load(arguments.model),
+            registry if arguments.follow else registry.load(arguments.model),
             arguments.predictions,
             arguments.alerts,
             arguments.checkpoint,
             debug=arguments.debug,
+            counts=BatchCounts(lambda counts: print(json.dumps(counts), flush=True)) if arguments.counts else None,
             format=arguments.format,
             trigger=trigger(arguments, every=EVERY),
         )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -46,3 +49,41 @@ def rename(spark: SparkSession, path: str, to: str) -> None:
     files, hadoop_path = _resolved(spark, path)
     if not files.rename(hadoop_path, spark._jvm.org.apache.hadoop.fs.Path(to)):
         raise OSError(f"{path} could not be moved to {to}")
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """A file with a text, unless there is one of that name: whole or not at all, and by one of several writers only.
+
+    The file is written under a name of its own and moved. Local files, where a
+    move would replace another, are linked instead. On an object store, whose
+    moves are copies, it holds as far as the store refuses to overwrite.
+    """
+    files, target = _resolved(spark, path)
+    target = files.makeQualified(target)
+    own = spark._jvm.org.apache.hadoop.fs.Path(f"{target.getParent().toString()}/.{uuid.uuid4().hex}")
+    stream = files.create(own, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    try:
+        if target.toUri().getScheme() == "file":
+            local = [spark._jvm.java.nio.file.Paths.get(p.toUri()) for p in (target, own)]
+            spark._jvm.java.nio.file.Files.createLink(*local)
+        else:
+            rename = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(own.toUri(), files.getConf()).rename(own, target, rename)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        files.delete(own, False)
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; none if it does not exist."""
+    if not exists(spark, path):
+        return None
+    return spark.read.text(path, wholetext=True).first().value
