@@ -197,6 +197,15 @@ ORACLES: dict[str, str] = {
         SELECT 'LinearRegression' AS model_name,
             round(sqrt(avg((y - {FITTED}) * (y - {FITTED}))), 5) + 0.0 AS rmse, true AS path_named_by_run
         FROM lines, ols""",
+    "published_if_better": " UNION ALL ".join(
+        f"""SELECT '{name}' AS name, rmse, {published} AS published, '{current}' AS current FROM (
+            WITH {least_squares(where)} SELECT {metrics('y', FITTED, 5)} FROM lines, ols)"""
+        for name, where, published, current in (
+            ("R", "l_returnflag = 'R'", "true", "R"),
+            ("ANR", "true", "true", "ANR"),
+            ("A", "l_returnflag = 'A'", "false", "ANR"),
+        )
+    ),
     "latest_model_scores": SCORES,
     "stream_ingest": f"SELECT {EVENT_COLUMNS} FROM events",
     "stream_ingest_malformed": f"SELECT {DIRTY} FROM events",

@@ -292,7 +292,10 @@ def ols_leaderboard(spark, sf_dir):
 
 def model_leaderboard(spark, sf_dir):
     """ML2-ML8, AGG5, SRT1 with all candidates: the exact model of the planted signal comes first, all find it"""
-    result = training.train(training_rows(spark, sf_dir), LINE_FEATURES, DEVIATION, part=hash_part(LINE_KEYS))
+    cores = spark.sparkContext.defaultParallelism  # the table is one small file; without a number one task would fit it all
+    result = training.train(
+        training_rows(spark, sf_dir), LINE_FEATURES, DEVIATION, part=hash_part(LINE_KEYS), partitions=cores
+    )
     return result.leaderboard.select(
         "name", (F.col("name") == result.best_name).alias("is_best"), (F.col("r2") > 0.8).alias("finds_signal")
     )
@@ -339,6 +342,21 @@ def model_pointer(spark, sf_dir):
     return pointer.select("model_name", rounded("rmse", 5), named.alias("path_named_by_run"))
 
 
+def published_if_better(spark, sf_dir):
+    """SNK5, ML9: of three models in turn, the first and the better second are published, the worse third is not"""
+    rows = table(spark, sf_dir, "lineitem", *LINE_KEYS, *LINE_FEATURES, "l_returnflag")
+    rows = rows.select("*", deviation().alias(DEVIATION))
+    registry, outcomes = ModelRegistry(spark, work_path(spark, "models")), []
+    for flags in (["R"], ["A", "N", "R"], ["A"]):
+        chosen = rows.where(F.col("l_returnflag").isin(flags)).select(*LINE_FEATURES, DEVIATION)
+        model = training.fit(chosen, training.linear_regression(DEVIATION), LINE_FEATURES)
+        rmse = regression_metrics(model.transform(rows), DEVIATION).first().rmse
+        outcome = registry.publish_if_better(model, "".join(flags), rmse)
+        outcomes.append(("".join(flags), rmse, outcome.published, outcome.current.model_name))
+    shape = struct(name="string", rmse="double", published="boolean", current="string")
+    return local_rows(spark, outcomes, shape).select("name", rounded("rmse", 5), "published", "current")
+
+
 def latest_model_scores(spark, sf_dir):
     """SRC8, ML7, PRJ5, PRJ6"""
     model = _published(spark, sf_dir).load()
@@ -672,6 +690,7 @@ QUERIES: dict[str, Query] = {
         forest_stump_predictions,
         boosted_stump_predictions,
         model_pointer,
+        published_if_better,
         latest_model_scores,
         stream_ingest,
         stream_ingest_malformed,

@@ -1,11 +1,15 @@
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 import pytest
 from conftest import multiset
 
-from eventlake.plans.registry import ModelRegistry
+from eventlake.plans import registry as registry_module
+from eventlake.plans.registry import ModelRegistry, Publication
 from eventlake.plans.training import fit, linear_regression
 from eventlake.schemas import FEATURES, MODEL_POINTER
+from eventlake.sources.paths import children, create_once, read_text
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +62,57 @@ def test_a_pointer_is_readable_while_another_is_published(spark, model, path, mo
     registry.publish(model, "B", 3.0, datetime(2024, 1, 2, tzinfo=timezone.utc))
     assert files < set(registry.latest().inputFiles())
     assert before.first().model_path == first
+
+
+def test_only_better_models_are_published(spark, events, path):
+    registry, model = ModelRegistry(spark, path("models")), fit(events, linear_regression())
+    first = registry.publish_if_better(model, "A", 3.0)
+    assert first.published and registry.resolve() == first.model_path
+    for rmse in (3.0, 3.5, float("nan")):
+        assert registry.publish_if_better(model, "B", rmse) == Publication(False, None, first.current)
+    assert sum(name.startswith("B_") for name in children(spark, path("models"))) == 0
+    # a clock that is behind does not hide a better model
+    second = registry.publish_if_better(model, "C", 2.0, datetime(2001, 1, 1))
+    assert second.published and registry.resolve() == second.model_path
+    # after rows without a number, too
+    registry.publish(model, "D", 1.0, datetime(2099, 1, 1))
+    assert not registry.publish_if_better(model, "E", 1.5).published
+    assert registry.publish_if_better(model, "E", 0.5).published and registry.latest().first().model_name == "E"
+
+
+def test_two_publishers_at_once(spark, events, path, monkeypatch):
+    registry, model = ModelRegistry(spark, path("models")), fit(events, linear_regression())
+    registry.publish_if_better(model, "Old", 9.0)
+    for round_, rmses in enumerate(((5.0, 5.0), (3.0, 2.0))):
+        both = threading.Barrier(2)
+        create, waited = registry_module.create_once, set()
+
+        def together(*arguments, both=both, create=create, waited=waited):
+            if threading.get_ident() not in waited:  # both have compared with the old one before either publishes
+                waited.add(threading.get_ident())
+                both.wait(60)
+            return create(*arguments)
+
+        monkeypatch.setattr(registry_module, "create_once", together)
+        with ThreadPoolExecutor(2) as pool:
+            jobs = [pool.submit(registry.publish_if_better, model, f"M{round_}", rmse) for rmse in rmses]
+            done = [job.result() for job in jobs]
+        monkeypatch.undo()
+        best = registry.latest().first()
+        assert best.rmse == min(rmses)
+        if rmses[0] == rmses[1]:
+            assert sorted(d.published for d in done) == [False, True]
+            assert all(d.current.model_path == best.model_path for d in done)
+        else:
+            assert done[1].published
+        numbers = [n for n in children(spark, f"{path('models')}/LATEST") if n.startswith("number-")]
+        assert len(numbers) == len(set(numbers)) == registry.spark.read.json(registry.pointer_path).count()
+
+
+def test_a_file_is_created_once(spark, path):
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda k: create_once(spark, path("d/one"), f"text {k}"), range(8)))
+    assert sum(made) == 1
+    assert read_text(spark, path("d/one")) == f"text {made.index(True)}"
+    assert read_text(spark, path("d/none")) is None
+    assert [name for name in children(spark, path("d")) if not name.endswith(".crc")] == ["one"]

@@ -1,5 +1,6 @@
 """Streams give the rows of the batch, once, through restarts and failures."""
 
+from datetime import datetime
 from types import SimpleNamespace
 
 import pytest
@@ -8,8 +9,9 @@ from pyspark.sql import functions as F
 
 from eventlake.operators.decode import decode_json
 from eventlake.operators.scoring import critical_alerts, score
+from eventlake.plans.registry import ModelRegistry
 from eventlake.plans.training import fit, linear_regression
-from eventlake.schemas import EVENT, PREDICTION
+from eventlake.schemas import EVENT, LABEL, PREDICTION
 from eventlake.sinks import tables
 from eventlake.sinks.publish import publish, to_messages
 from eventlake.sources.events import file_source, read_events
@@ -17,6 +19,7 @@ from eventlake.sources.tables import read_table
 from eventlake.streaming import scoring as streaming_scoring
 from eventlake.streaming.ingest import console, ingest
 from eventlake.streaming.paths import StreamPaths
+from eventlake.streaming.progress import BatchCounts, scored_counts
 from eventlake.streaming.run import StreamFailure, run_all
 from eventlake.streaming.scoring import start_scoring
 
@@ -273,6 +276,18 @@ def test_compaction_keeps_every_row_once(spark, path):
     assert tables.compact(spark, path("t"), keep=1) == 0
 
 
+def test_the_last_batch_is_never_folded_in(spark, path):
+    """A stream that tries its last batch again finds only that batch's rows there."""
+    for batch in range(3):
+        tables.write_batch(spark.range(batch * 5, batch * 5 + 5).toDF("id"), path("t"), batch)
+    for keep in (0, -1):
+        with pytest.raises(ValueError, match="keep"):
+            tables.compact(spark, path("t"), keep=keep)
+    assert tables.compact(spark, path("t"), keep=1) == 2
+    tables.write_batch(spark.range(10, 15).toDF("id"), path("t"), 2)
+    assert sorted(r.id for r in tables.read_batch(spark, path("t"), 2).collect()) == list(range(10, 15))
+
+
 @pytest.mark.parametrize("step", ["remove", "rename"])
 def test_a_compaction_cut_short_is_finished_by_the_next(spark, path, monkeypatch, step):
     for batch in range(4):
@@ -291,3 +306,76 @@ def test_a_compaction_cut_short_is_finished_by_the_next(spark, path, monkeypatch
     monkeypatch.undo()
     tables.compact(spark, path("t"), keep=1)
     assert sorted(r.id for r in read_table(spark, path("t")).collect()) == list(range(40))
+
+
+@pytest.fixture
+def registry(spark, model, path):
+    registry = ModelRegistry(spark, path("models"))
+    registry.publish(model, "First", 1.0, datetime(2024, 1, 1))
+    return registry
+
+
+def test_a_retried_batch_keeps_its_model(spark, events, topic, path, model, registry, monkeypatch):
+    """The second write fails; a newer model is published; the retry scores by the model on record, the next batch by the new one."""
+    write, calls = streaming_scoring.write_batch, []
+
+    def fail_second(*arguments):
+        calls.append(arguments[1])
+        if len(calls) == 2:
+            raise OSError("disk")
+        write(*arguments)
+
+    def run():
+        messages = read_events(spark, file_source(topic))
+        run_all(start_scoring(messages, registry, path("pred"), path("alerts"), path("cp"), trigger=ONCE))
+
+    monkeypatch.setattr(streaming_scoring, "write_batch", fail_second)
+    with pytest.raises(StreamFailure, match="disk"):
+        run()
+    other = fit(events.withColumn(LABEL, F.col(LABEL) + 1000), linear_regression())
+    newer = registry.publish(other, "Second", 1.0, datetime(2024, 1, 2))
+    run()
+    clean = score(decode_json(read_table(spark, topic, "text"), EVENT), model)
+    assert read_table(spark, path("pred")).agg(F.max("delivery_deviation_pred")).first()[0] < 500
+    assert read_table(spark, path("pred")).count() == clean.count()
+    publish(to_messages(events.limit(10)), "text", topic)
+    run()
+    late = read_table(spark, path("pred")).where("batch_id = 1")
+    assert late.count() == 10 and late.agg(F.min("delivery_deviation_pred")).first()[0] > 500
+    assert streaming_scoring.model_of_batch(registry, path("cp"), 1) == newer
+    assert streaming_scoring.model_of_batch(registry, path("cp"), 0).endswith("First_20240101_000000")
+
+
+@pytest.mark.parametrize("follow", [False, True])
+def test_counts_of_batches(spark, topic, path, model, registry, follow):
+    reported = []
+    counts = BatchCounts(reported.append)
+    queries = start_scoring(
+        read_events(spark, file_source(topic, maxFilesPerTrigger="1")),
+        registry if follow else model,
+        *(path("pred"), path("alerts"), path("cp")),
+        trigger=ONCE,
+        counts=counts,
+        name="counted",
+        debug=True,
+    )
+    run_all(queries)
+    assert counts.wait()
+    spark.streams.removeListener(counts)
+    stored = {r.batch_id: r["count"] for r in read_table(spark, path("pred")).groupBy("batch_id").count().collect()}
+    alerts = {r.batch_id: r["count"] for r in read_table(spark, path("alerts")).groupBy("batch_id").count().collect()}
+    assert [c["batch_id"] for c in reported] == list(range(len(reported))) and {c["query"] for c in reported} == {"counted"}
+    assert sum(c["read"] for c in reported) == read_table(spark, topic, "text").count()
+    for c in reported:
+        assert c["scored"] == c["read"] - c["incomplete"] == stored.get(c["batch_id"], 0)
+        assert c["critical"] == alerts.get(c["batch_id"], 0)
+
+
+def test_counts_need_no_second_pass(spark, topic, model):
+    """Observed counts sit in the one plan from message to prediction."""
+    counts = BatchCounts()
+    messages = read_table(spark, topic, "text")
+    rows = score(streaming_scoring.decode_events(messages, counts=counts), model)
+    text = plan(counts.observe(rows, "scored", scored_counts()))
+    assert text.count("CollectMetrics") == 2 and "Exchange" not in text and "Python" not in text
+    assert text.count("FileScan") == 1
