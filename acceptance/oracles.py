@@ -121,6 +121,9 @@ ORACLES: dict[str, str] = {
     "parse_dirty_json": f"SELECT event_id, {DIRTY} FROM events",
     "publish_round_trip": f"SELECT {EVENT_COLUMNS} FROM events",
     "csv_scan": f"SELECT {EVENT_COLUMNS} FROM events",
+    "csv_mixed_headers": f"""
+        SELECT * REPLACE (CASE WHEN event_id % 3 <> 2 THEN event_type END AS event_type)
+        FROM (SELECT {EVENT_COLUMNS} FROM events)""",
     "drop_incomplete_all": f"SELECT * FROM {GAPPY} WHERE {HAS_VALUE} AND event_type IS NOT NULL",
     "drop_incomplete_subset": f"SELECT * FROM {GAPPY} WHERE {HAS_VALUE}",
     "cast_features": """
@@ -246,6 +249,8 @@ ORACLES: dict[str, str] = {
     "registered_table_limit": "SELECT event_id, event_type, value FROM events ORDER BY event_id LIMIT 10",
     "registered_predictions": f"SELECT severity, count(*) AS n FROM ({SCORES}) GROUP BY severity",
     "parameterised_sql": "SELECT event_id, value FROM events WHERE event_type = 'error' AND value >= 50",
+    "named_sql": "SELECT event_id, value AS shown FROM events WHERE event_type IN ('error', 'click')",
+    "rebalanced_append": "SELECT event_id, value, event_type FROM events",
     "sql_join": """
         SELECT o_orderpriority, CAST(count(*) AS BIGINT) AS n_lines, sum(l_quantity) AS quantity
         FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderpriority""",

@@ -38,7 +38,7 @@ from eventlake.session import work_path
 from eventlake.sinks.publish import publish, to_messages
 from eventlake.sinks.tables import append_table
 from eventlake.sources.events import file_source, read_events
-from eventlake.sources.tables import local_rows, read_csv, read_table
+from eventlake.sources.tables import local_rows, read_csv, read_csv_by_header, read_table
 from eventlake.streaming.ingest import ingest, ingest_or_reject
 from eventlake.streaming.paths import StreamPaths
 from eventlake.streaming.progress import BatchCounts
@@ -113,6 +113,17 @@ def csv_scan(spark, sf_dir):
     return read_csv(spark, path, EVENT_TEXT)
 
 
+def csv_mixed_headers(spark, sf_dir):
+    """SRC6: files of three headers in one directory, columns by each file's own; one lacks a column"""
+    path = work_path(spark, "csv-mixed")
+    events = _event_columns(table(spark, sf_dir, "events"))
+    orders = [events.columns, list(reversed(events.columns)), [c for c in events.columns if c != "event_type"]]
+    for part, columns in enumerate(orders):
+        rows = events.where(F.col("event_id") % 3 == part).select(*columns)
+        rows.write.mode("append").options(header=True, escape='"', compression="gzip" if part else "none").csv(path)
+    return read_csv_by_header(spark, path, EVENT_TEXT, missing_as_null=True)
+
+
 # Cleaning
 
 
@@ -612,6 +623,21 @@ def parameterised_sql(spark, sf_dir):
     return catalog.query(spark, text, kind="error", least=50.0, n=100_000_000)
 
 
+def named_sql(spark, sf_dir):
+    """CAT4: table and column by name, values as a list"""
+    schema = _registered(spark, sf_dir, "events")
+    text = "SELECT event_id, IDENTIFIER(:shown) AS shown FROM IDENTIFIER(:source) WHERE array_contains(:kinds, event_type)"
+    return catalog.query(spark, text, shown="value", source=f"{schema}.events", kinds=["error", "click"])
+
+
+def rebalanced_append(spark, sf_dir):
+    """PHY1, SNK1: a partitioned table whose files the engine sizes holds the same rows"""
+    path = work_path(spark, "rebalanced")
+    events = table(spark, sf_dir, "events").select("event_id", "value", "event_type")
+    append_table(events, path, partition_by=["event_type"], rebalance=True)
+    return read_table(spark, path)
+
+
 def sql_join(spark, sf_dir):
     """CAT3: both sides are counted per key before the join, so a key of many rows meets as one row"""
     schema = _registered(spark, sf_dir, "orders", "lineitem")
@@ -666,6 +692,7 @@ QUERIES: dict[str, Query] = {
         parse_dirty_json,
         publish_round_trip,
         csv_scan,
+        csv_mixed_headers,
         drop_incomplete_all,
         drop_incomplete_subset,
         cast_features,
@@ -708,6 +735,8 @@ QUERIES: dict[str, Query] = {
         registered_table_limit,
         registered_predictions,
         parameterised_sql,
+        named_sql,
+        rebalanced_append,
         sql_join,
         sql_group_by,
         sql_window,

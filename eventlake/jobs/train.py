@@ -20,6 +20,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--split-by", nargs="+", help="key columns of a repeatable split; by lot otherwise")
     parser.add_argument("--cache", action="store_true", help="hold the training part over the fits")
     parser.add_argument("--partitions", type=int, help="deal the training rows out over so many partitions")
+    parser.add_argument("--rebalance", action="store_true", help="let the engine size the training table's files")
     arguments = parser.parse_args(argv)
     spark = session("train")
     result = train(
@@ -28,6 +29,7 @@ def main(argv: list[str] | None = None) -> None:
         part=hash_part(arguments.split_by) if arguments.split_by else None,
         cache=arguments.cache,
         partitions=arguments.partitions,
+        rebalance=arguments.rebalance,
     )
     print(f"rows: {result.table.count()} at {result.table.path}")
     result.leaderboard.show(truncate=False)

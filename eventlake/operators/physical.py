@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -18,6 +18,18 @@ def spread(rows: DataFrame, partitions: int) -> DataFrame:
     return rows.repartition(partitions)
 
 
+def rebalanced(rows: DataFrame, by: Iterable[str] = ()) -> DataFrame:
+    """Rows in partitions of the size that the engine advises, for a write [PHY1]. Batch only.
+
+    Adaptive execution merges small partitions and splits large ones
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so a table gets few
+    files of a good size whatever the number of tasks. ``by``, the columns a
+    table is partitioned by, brings the rows of a directory together; a value
+    that holds much of the table is split over several tasks and files.
+    """
+    return rows.hint("rebalance", *by)
+
+
 @contextmanager
 def held(rows: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Rows cached for the block and released after it [PHY2]; blocks spill instead of being lost. Batch only."""

@@ -54,5 +54,11 @@ def register(spark: SparkSession, table: str, path: str, format: str = "parquet"
 
 
 def query(spark: SparkSession, text: str, **parameters) -> DataFrame:
-    """SQL over registered tables [CAT3, PRJ8, LIM1], values bound to ``:name`` markers [CAT4]."""
-    return spark.sql(text, args=parameters or None)
+    """SQL over registered tables [CAT3, PRJ8, LIM1], values bound to ``:name`` markers [CAT4].
+
+    A list is bound as an array (``array_contains(:names, column)``); it may be
+    empty. A string stands for a table or column as ``IDENTIFIER(:name)``; it can
+    name one but never add SQL.
+    """
+    lists = {name: F.array(*map(F.lit, value)) for name, value in parameters.items() if isinstance(value, list)}
+    return spark.sql(text, args={**parameters, **lists} or None)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from eventlake.operators.clean import drop_incomplete, to_double
 from eventlake.operators.metrics import metric_columns
-from eventlake.operators.physical import held, spread
+from eventlake.operators.physical import held, rebalanced, spread
 from eventlake.operators.split import PART, SEED, TEST, TRAIN, random_part
 from eventlake.schemas import FEATURES, LABEL, LEADERBOARD
 from eventlake.session import checkpoint_dir, work_path
@@ -110,17 +110,26 @@ def _open_files(spark: SparkSession, files: int) -> Iterator[None]:
         spark.conf.set(OPEN_FILES, before)
 
 
-def write_training_table(rows: DataFrame, path: str | None = None, partitions: int | None = None) -> TrainingTable:
+def write_training_table(
+    rows: DataFrame, path: str | None = None, partitions: int | None = None, rebalance: bool = False
+) -> TrainingTable:
     """Clean rows, marked with their part, written once with one directory per part [ML2].
 
     Every fit and the evaluation then scan only their part and its few columns.
     A lost executor re-reads files: it can neither redraw the lot of a row nor
     repeat the cleaning. With ``partitions`` the rows are spread first [PHY1],
-    after the lot is drawn; otherwise nothing is shuffled or sorted.
+    after the lot is drawn; with ``rebalance`` the engine sizes the files
+    instead, which suits large tables. Otherwise nothing is shuffled or sorted,
+    and a fit runs no wider than the files it then finds: a table of a few MB
+    is one task.
     """
+    if rebalance and partitions is not None:
+        raise ValueError("either a number of partitions or rebalance")
     spark = rows.sparkSession
     path = path or work_path(spark, "training")
     dealt = rows if partitions is None else spread(rows, partitions)
+    if rebalance:
+        dealt = rebalanced(rows, [PART])
     with _open_files(spark, len((TRAIN, TEST))):
         dealt.write.partitionBy(PART).parquet(path)
     table = spark.read.schema(rows.schema).parquet(path)
@@ -224,6 +233,7 @@ def train(
     cache: bool = False,
     parallelism: int | None = None,
     partitions: int | None = None,
+    rebalance: bool = False,
 ) -> Training:
     """Clean, split, fit, compare and choose [ML2-ML8, AGG5].
 
@@ -232,7 +242,7 @@ def train(
     """
     features = list(features)
     rows = model_columns(events, features, label, required, random_part() if part is None else part)
-    table = write_training_table(rows, path, partitions)
+    table = write_training_table(rows, path, partitions, rebalance)
     if cache:
         with held(table.train) as held_rows:
             models = fit_all(held_rows, features, label, candidates, parallelism)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from eventlake.operators.physical import rebalanced
 from eventlake.sources.paths import children, exists, remove, rename
 
 BATCH_ID = "batch_id"
@@ -18,10 +19,17 @@ COMPACTING = "_compacting"
 
 
 def append_table(
-    rows: DataFrame, path: str, format: str = "parquet", merge_schema: bool = False, partition_by: Iterable[str] = ()
+    rows: DataFrame,
+    path: str,
+    format: str = "parquet",
+    merge_schema: bool = False,
+    partition_by: Iterable[str] = (),
+    rebalance: bool = False,
 ) -> None:
     """Rows appended to a table, with new columns where ``merge_schema`` allows them [SNK2]. Batch only.
 
+    With ``rebalance`` the engine sizes the files [PHY1], for one shuffle of the rows.
+
     A plain file table takes any columns; there the option belongs to the reader.
     A directory that a stream writes is refused: readers go by the stream's own
     list of files, so rows added beside it would never be seen. Append to a
@@ -29,6 +37,9 @@ def append_table(
     """
     if format != "delta" and exists(rows.sparkSession, f"{path}/_spark_metadata"):
         raise ValueError(f"a stream writes {path}; rows appended there would not be seen, use a second table")
+    partition_by = list(partition_by)
+    if rebalance:
+        rows = rebalanced(rows, partition_by)
     writer = rows.write.format(format).mode("append").partitionBy(*partition_by)
     if merge_schema:
         writer = writer.option("mergeSchema", True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from multiprocessing.pool import ThreadPool
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -82,6 +83,24 @@ def create_once(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def first_lines(spark: SparkSession, paths: list[str], threads: int = 16) -> list[str]:
+    """The first line of each file, packed ones unpacked; nothing else of a file is asked for."""
+    java = spark._jvm
+    codecs = java.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def line(path: str) -> str:
+        files, hadoop_path = _resolved(spark, path)
+        stream, codec = files.open(hadoop_path), codecs.getCodec(hadoop_path)
+        try:
+            text = java.java.io.DataInputStream(codec.createInputStream(stream) if codec else stream).readLine()
+        finally:
+            stream.close()
+        return (text or "").encode("latin-1").decode("utf-8-sig")  # one character a byte
+
+    with ThreadPool(threads) as pool:
+        return pool.map(line, paths)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The text of a small file; none if it does not exist."""
     if not exists(spark, path):

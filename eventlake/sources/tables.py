@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType, StructField, StructType
 
+from eventlake.sources.paths import first_lines
+
 
 def read_table(
     spark: SparkSession,
@@ -25,12 +29,13 @@ def read_table(
     return table if columns is None else table.select(*columns)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], schema: StructType, **options) -> DataFrame:
     """CSV files with a header row and a stated schema, columns matched by name, so no inference pass [SRC6].
 
     Only the header line is read ahead. Columns that ``schema`` does not name are
     left out, their order is of no matter, and a missing one is an error. All
-    files have the first one's header; one with another is an error when read. A
+    files have the first one's header; one with another is an error when read
+    (:func:`read_csv_by_header` reads such directories). A
     quote inside quotes is doubled. Files are split between tasks, so a line
     break inside quotes needs ``multiLine=True``, which reads each file whole.
     """
@@ -43,6 +48,34 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, **options) -> D
     return spark.read.options(**settings, enforceSchema=False).schema(there).csv(path).select(*schema.names)
 
 
+def read_csv_by_header(spark: SparkSession, path: str, schema: StructType, missing_as_null: bool = False, **options) -> DataFrame:
+    """As :func:`read_csv`, of files whose headers differ in order or columns [SRC6].
+
+    Files are grouped by their own first line, each group is read by it, and the
+    groups are put together by name. Only first lines are read ahead, on the
+    driver, one small request a file. With ``missing_as_null`` a column that a
+    group lacks is null there; otherwise it is an error that names one of its
+    files. Empty files have no rows.
+    """
+    files = spark.read.text(path).inputFiles()
+    groups: dict[str, list[str]] = {}
+    for file, line in zip(files, first_lines(spark, files), strict=True):
+        if line.strip():
+            groups.setdefault(line.rstrip("\r"), []).append(file)
+    if not groups:
+        return spark.createDataFrame([], schema)
+    parts = []
+    for own in groups.values():
+        wanted = schema
+        if missing_as_null:
+            header = spark.read.options(**{"header": True, "escape": '"', **options}).csv(own[0]).columns
+            wanted = StructType([field for field in schema.fields if field.name in header])
+        rows = read_csv(spark, own, wanted, **options)
+        lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in wanted.names]
+        parts.append(rows.select("*", *lacking).select(*schema.names))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def local_rows(spark: SparkSession, rows: list[tuple], schema: StructType) -> DataFrame:
     """A handful of driver rows as a DataFrame, with a stated schema [SRC7].
 

@@ -49,7 +49,7 @@ def test_query_writes_a_whole_result_and_binds_types(spark, path, capsys, monkey
     assert read_table(spark, path("all")).count() == 100
     query.main([*table, "--sql", f"SELECT * FROM {name}", "--output", path("json"), "--output-format", "json"])
     assert spark.read.json(path("json")).count() == 100
-    query.main([*table, "--sql", f"SELECT * FROM {name} WHERE even = :e LIMIT :n", "--set", "n:int=30", "--set", "e:bool=true"])
+    query.main([*table, "--sql", f"SELECT * FROM {name} WHERE even = :e LIMIT :n", "--set", "n:int=30", "--set", "e:bool=true", "--count"])
     printed = capsys.readouterr().out
     assert "10 more rows" in printed
     query.main([*table, "--sql", f"SELECT * FROM {name} LIMIT :n", "--set", "n:int=30", "--rows", "30"])
@@ -82,3 +82,31 @@ def test_scoring_batches_are_spaced_unless_told(spark):
     parse = lambda *more: score.trigger(arguments.parse_args(["--checkpoint", "c", *more]), every=score.EVERY)
     assert parse() == {"processingTime": "1 minute"} and parse("--once") == {"availableNow": True}
     assert parse("--every", "5 minutes") == {"processingTime": "5 minutes"}
+
+
+def test_query_settings():
+    assert query.setting("a=b=c") == ("a", "b=c") and query.setting("n:int=5") == ("n", 5)
+    for wrong in ("n:date=1", 'n:int[]={"a": 1}', "n:date[]=[]", "n:int[]=[null]"):
+        with pytest.raises(ValueError):
+            query.setting(wrong)
+
+
+def test_names_and_lists_as_parameters(spark, events, path, capsys, monkeypatch):
+    monkeypatch.setattr("eventlake.jobs.query.session", lambda name: spark)
+    spark.createDataFrame([(k, f"v{k}", k / 2, k % 2 == 0) for k in range(30)], "k long, name string, half double, even boolean").write.parquet(path("t"))
+    common = ["--table", f"jobs.listed={path('t')}", "--set", "source=jobs.listed", "--set", "shown=name"]
+
+    def answer(where, *settings, rows="5"):
+        sql = f"SELECT IDENTIFIER(:shown) AS shown FROM IDENTIFIER(:source) WHERE {where} ORDER BY 1"
+        query.main([*common, *(x for s in settings for x in ("--set", s)), "--rows", rows, "--sql", sql])
+        return capsys.readouterr().out
+
+    assert "v7" in answer("array_contains(:names, name)", 'names:string[]=["v7", "it\'s"]')
+    assert "v3" in answer("array_contains(:ks, k) AND array_contains(:halves, half)", "ks:int[]=[3, 4]", "halves:float[]=[1.5, 2]")
+    assert "more rows" not in answer("array_contains(:none, name)", "none:string[]=[]")
+    out = answer("array_contains(:flags, even)", "flags:bool[]=[true]")
+    assert "more rows" in out and "10 more" not in out
+    query.main([*common, "--rows", "5", "--count", "--sql", "SELECT k FROM jobs.listed"])
+    assert "25 more rows" in capsys.readouterr().out
+    query.main([*common, "--rows", "30", "--sql", "SELECT k FROM jobs.listed"])
+    assert "more rows" not in capsys.readouterr().out

@@ -1,3 +1,6 @@
+import gzip
+from pathlib import Path
+
 import pytest
 from conftest import multiset, plan
 from pyspark.errors import AnalysisException
@@ -6,7 +9,8 @@ from eventlake.operators.clean import drop_incomplete
 from eventlake.schemas import EVENT, FEATURES, LABEL, PREDICTION, SCORE_EVENT, struct
 from eventlake.sinks.tables import append_table
 from eventlake.sources.events import file_source, kafka_source, read_events
-from eventlake.sources.tables import local_rows, read_csv, read_table
+from eventlake.sources.paths import first_lines
+from eventlake.sources.tables import local_rows, read_csv, read_csv_by_header, read_table
 
 
 def test_schemas():
@@ -97,3 +101,31 @@ def test_csv_columns_go_by_name(spark, path):
     assert read_csv(spark, path("c"), schema).schema == schema
     with pytest.raises(ValueError, match="no column z"):
         read_csv(spark, path("c"), struct(id="long", z="double"))
+
+
+def test_csv_files_with_headers_of_their_own(spark, path):
+    base = Path(path("csv"))
+    base.mkdir()
+    (base / "a.csv").write_text('k,name\n1,"x, y"\n2,é\n', encoding="utf-8-sig")
+    (base / "b.csv").write_text("name,extra,k\r\nz,9,3\r\n", newline="")
+    (base / "c.csv.gz").write_bytes(gzip.compress(b"k,name\n4,w\n"))
+    (base / "d.csv").write_text("")
+    schema = struct(name="string", k="long")
+    rows = read_csv_by_header(spark, str(base), schema)
+    assert sorted(rows.collect()) == [("w", 4), ("x, y", 1), ("z", 3), ("é", 2)]
+    (base / "e.csv").write_text("k\n5\n")
+    with pytest.raises(ValueError, match="e.csv.*name"):
+        read_csv_by_header(spark, str(base), schema)
+    rows = read_csv_by_header(spark, str(base), schema, missing_as_null=True)
+    assert (None, 5) in rows.collect() and rows.count() == 5
+    (base / "empty").mkdir()
+    (base / "empty" / "x.csv").write_text("")
+    assert read_csv_by_header(spark, str(base / "empty"), schema).collect() == []
+
+
+def test_header_lines_alone_are_read(spark, path):
+    """A file whose rest is no text at all has a header."""
+    base = Path(path("csv"))
+    base.mkdir()
+    (base / "a.csv").write_bytes(b"k,name\n" + bytes(range(128, 256)) * 100)
+    assert first_lines(spark, [str(base / "a.csv")] * 3) == ["k,name"] * 3
