@@ -228,6 +228,9 @@ ORACLES: dict[str, str] = {
     "stream_score_alerts": f"SELECT * FROM ({SCORES}) WHERE severity = 'HIGH'",
     "stream_fan_out_agreement": f"""
         SELECT count(*) AS n_alerts, CAST(0 AS BIGINT) AS n_unmatched FROM ({SCORES}) WHERE severity = 'HIGH'""",
+    "bounded_replay": f"""
+        SELECT * REPLACE (CASE WHEN event_id % 3 = 1 THEN value + 1000 ELSE value END AS value), event_id % 3 AS batch_id
+        FROM (SELECT {EVENT_COLUMNS} FROM events)""",
     "model_change_scores": f"""
         SELECT * FROM ({SCORES}) WHERE l_orderkey % 2 = 0
         UNION ALL SELECT * FROM ({scores("l_returnflag = 'R'")}) WHERE l_orderkey % 2 <> 0""",

@@ -27,7 +27,7 @@ from eventlake.functions.bands import RISK_SCORE, SEVERITY
 from eventlake.functions.stamps import model_path, run_id
 from eventlake.operators import scoring
 from eventlake.operators.clean import drop_incomplete, to_double
-from eventlake.operators.decode import decode_json
+from eventlake.operators.decode import accepted, decode_json, decode_or_reject, rejects
 from eventlake.operators.metrics import regression_metrics
 from eventlake.operators.physical import held, spread
 from eventlake.operators.split import hash_part, random_part, random_split
@@ -36,12 +36,13 @@ from eventlake.plans.registry import ModelRegistry
 from eventlake.schemas import struct
 from eventlake.session import work_path
 from eventlake.sinks.publish import publish, to_messages
-from eventlake.sinks.tables import append_table
+from eventlake.sinks.tables import append_table, replace_batches
 from eventlake.sources.events import file_source, read_events
 from eventlake.sources.tables import local_rows, read_csv, read_csv_by_header, read_table
 from eventlake.streaming.ingest import ingest, ingest_or_reject
 from eventlake.streaming.paths import StreamPaths
 from eventlake.streaming.progress import BatchCounts
+from eventlake.streaming.replay import files_of_batches, replay_files
 from eventlake.streaming.run import run_all
 from eventlake.streaming.scoring import start_scoring
 
@@ -507,6 +508,24 @@ def stream_fan_out_agreement(spark, sf_dir):
     )
 
 
+def bounded_replay(spark, sf_dir):
+    """STR6, STR2: of three batches the second is decoded again, by another rule, from a range of modification times"""
+    paths, topic = _stream_paths(spark), work_path(spark, "messages")
+    events = _event_columns(table(spark, sf_dir, "events"))
+    good, bad = paths.output("events"), paths.output("rejects")
+    moments = []
+    for part in range(3):
+        published(spark, to_messages(events.where(F.col("event_id") % 3 == part)), topic)
+        run_all([ingest_or_reject(stream(spark, topic), good, bad, paths.checkpoint, EVENT_TEXT, trigger=ONCE)])
+        files = files_of_batches(spark, paths.checkpoint).where(F.col("batch_id") == part)
+        moments.append(files.agg(F.min("modified").alias("first"), F.max("modified").alias("last")).first())
+    again = replay_files(spark, file_source(topic), paths.checkpoint, moments[1].first, moments[1].last)
+    decoded = decode_or_reject(again.messages, EVENT_TEXT).withColumn("value", F.col("value") + 1000)
+    replace_batches(accepted(decoded), good, again.batches)
+    replace_batches(rejects(decoded), bad, again.batches)
+    return read_table(spark, good).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
 def model_change_scores(spark, sf_dir):
     """SRC8, STR4: a model published while the stream runs scores the batches that follow, and only those"""
     paths, topic = _stream_paths(spark), work_path(spark, "messages")
@@ -727,6 +746,7 @@ QUERIES: dict[str, Query] = {
         stream_score_predictions,
         stream_score_alerts,
         stream_fan_out_agreement,
+        bounded_replay,
         model_change_scores,
         batch_counts,
         schema_evolution,

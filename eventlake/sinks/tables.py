@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventlake.operators.physical import rebalanced
-from eventlake.sources.paths import children, exists, remove, rename
+from eventlake.sources.paths import children, create_once, exists, read_text, remove, rename
 
 BATCH_ID = "batch_id"
 #: File formats that keep their columns' names and types, so that a batch reads back as it was written.
 TYPED = ("parquet", "orc", "avro")
 #: Directory, below a table, of batches that are being put together.
 COMPACTING = "_compacting"
+#: The same of batches that are being replaced.
+REPLACING = "_replacing"
 
 
 def append_table(
@@ -137,3 +139,45 @@ def _swap(spark: SparkSession, path: str, last: int) -> None:
         if batch <= last:
             remove(spark, f"{path}/{BATCH_ID}={batch}")
     rename(spark, f"{work}/ready={last}", f"{path}/{BATCH_ID}={last}")
+
+
+def replace_batches(rows: DataFrame, path: str, batches: Iterable[int], format: str = "parquet") -> None:
+    """Rows in place of those of some batches, as the newest of them [STR6].
+
+    For tables written batch by batch, while their stream is stopped. The new
+    directory is complete before anything is removed; until it is moved, readers
+    miss those rows. One that was cut short is finished by the next call. What
+    :func:`compact` has put together can only be replaced together.
+    """
+    require_typed(format)
+    spark, ids = rows.sparkSession, sorted(set(batches))
+    last = ids[-1]
+    if format == "delta":
+        chosen = f"{BATCH_ID} IN ({', '.join(map(str, ids))})"
+        new = rows.withColumn(BATCH_ID, F.lit(last).cast("bigint")).write.format(format)
+        new.mode("overwrite").option("replaceWhere", chosen).save(path)
+        return
+    if exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} has no batches of its own; take its next version to start from scratch")
+    work = f"{path}/{REPLACING}"
+    for name in children(spark, work):
+        if name.startswith("ready="):
+            _put(spark, path, int(name.partition("=")[2]))
+    folded = compacted_to(spark, path)
+    if ids[0] <= folded and not set(range(folded + 1)) <= set(ids):
+        raise ValueError(f"batches 0 to {folded} were put together and can only be replaced together")
+    remove(spark, f"{work}/new={last}")
+    remove(spark, f"{work}/ids={last}")
+    rows.write.format(format).save(f"{work}/new={last}")
+    create_once(spark, f"{work}/ids={last}", ",".join(map(str, ids)))
+    rename(spark, f"{work}/new={last}", f"{work}/ready={last}")
+    _put(spark, path, last)
+
+
+def _put(spark: SparkSession, path: str, last: int) -> None:
+    """The complete new directory in place of the batches on its list; may be repeated at any point."""
+    work = f"{path}/{REPLACING}"
+    for batch in read_text(spark, f"{work}/ids={last}").split(","):
+        remove(spark, f"{path}/{BATCH_ID}={batch}")
+    rename(spark, f"{work}/ready={last}", f"{path}/{BATCH_ID}={last}")
+    remove(spark, f"{work}/ids={last}")
