@@ -248,6 +248,14 @@ ORACLES: dict[str, str] = {
     "stream_schema_evolution": """
         SELECT event_id, value, NULL::VARCHAR AS event_type FROM events
         UNION ALL SELECT event_id, value, event_type FROM events""",
+    "widened_column": """
+        SELECT event_id, floor(value)::DOUBLE AS value, NULL::VARCHAR AS event_type FROM events
+        UNION ALL SELECT event_id, value, NULL FROM events
+        UNION ALL SELECT event_id, value, event_type FROM events""",
+    "finished_tables_join": """
+        SELECT n_name, count(*) AS n_lines, sum(l_quantity) AS quantity
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+        JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey < 5 GROUP BY n_name""",
     "registered_table": "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate) FROM orders",
     "registered_table_limit": "SELECT event_id, event_type, value FROM events ORDER BY event_id LIMIT 10",
     "registered_predictions": f"SELECT severity, count(*) AS n FROM ({SCORES}) GROUP BY severity",

@@ -38,7 +38,7 @@ from eventlake.session import work_path
 from eventlake.sinks.publish import publish, to_messages
 from eventlake.sinks.tables import append_table, replace_batches
 from eventlake.sources.events import file_source, read_events
-from eventlake.sources.tables import local_rows, read_csv, read_csv_by_header, read_table
+from eventlake.sources.tables import local_rows, read_csv, read_csv_by_header, read_table, read_widened
 from eventlake.streaming.ingest import ingest, ingest_or_reject
 from eventlake.streaming.paths import StreamPaths
 from eventlake.streaming.progress import BatchCounts
@@ -602,6 +602,16 @@ def stream_schema_evolution(spark, sf_dir):
     return read_table(spark, paths.output("events"), merge_schema=True)
 
 
+def widened_column(spark, sf_dir):
+    """SNK2, SRC5: a column that was a whole number first, then a double, then with a new one beside it"""
+    path = work_path(spark, "widened")
+    events = table(spark, sf_dir, "events")
+    append_table(events.select("event_id", F.floor("value").cast("int").alias("value")), path)
+    append_table(events.select("event_id", "value"), path)
+    append_table(events.select("event_type", "value", "event_id"), path)
+    return read_widened(spark, path)
+
+
 def _registered(spark, sf_dir, *names):
     """The tables under names of their own per data directory"""
     schema = f"eventlake_{hashlib.md5(sf_dir.encode()).hexdigest()[:8]}"
@@ -677,6 +687,23 @@ def sql_join(spark, sf_dir):
     )
 
 
+def finished_tables_join(spark, sf_dir):
+    """CAT2, CAT3: a join over tables with column statistics, its order left to the optimizer"""
+    schema = f"eventlake_finished_{hashlib.md5(sf_dir.encode()).hexdigest()[:8]}"
+    catalog.create_schema(spark, schema)
+    for name in ("lineitem", "orders", "customer", "nation"):
+        catalog.register_finished(spark, f"{schema}.{name}", f"{sf_dir}/{name}.parquet")
+    text = f"""
+        SELECT n_name, count(*) AS n_lines, sum(l_quantity) AS quantity
+        FROM {schema}.lineitem JOIN {schema}.orders ON l_orderkey = o_orderkey
+        JOIN {schema}.customer ON o_custkey = c_custkey JOIN {schema}.nation ON c_nationkey = n_nationkey
+        WHERE n_nationkey < 5 GROUP BY n_name"""
+    with catalog.by_cost(spark):
+        result = catalog.query(spark, text)
+        rows = result.collect()  # five at most
+    return local_rows(spark, [tuple(row) for row in rows], result.schema)
+
+
 def sql_group_by(spark, sf_dir):
     """CAT3"""
     schema = _registered(spark, sf_dir, "lineitem")
@@ -751,6 +778,7 @@ QUERIES: dict[str, Query] = {
         batch_counts,
         schema_evolution,
         stream_schema_evolution,
+        widened_column,
         registered_table,
         registered_table_limit,
         registered_predictions,
@@ -758,6 +786,7 @@ QUERIES: dict[str, Query] = {
         named_sql,
         rebalanced_append,
         sql_join,
+        finished_tables_join,
         sql_group_by,
         sql_window,
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +12,8 @@ from eventlake.sources.paths import qualified
 
 #: Property of a view that holds the directory it shows.
 PATH = "eventlake.path"
+#: The engine's switches for plans by statistics.
+COST = ("spark.sql.cbo.enabled", "spark.sql.cbo.joinReorder.enabled")
 
 
 def _quoted(name: str) -> str:
@@ -53,6 +58,42 @@ def register(spark: SparkSession, table: str, path: str, format: str = "parquet"
     )
 
 
+def register_finished(spark: SparkSession, table: str, path: str, format: str = "parquet", columns: Iterable[str] | None = None) -> None:
+    """A directory that nothing is added to any more, as an external table with statistics [CAT2].
+
+    They are of the table and of ``columns``, all by default: rows, bytes,
+    distinct values, nulls, least and greatest, from one scan now. The optimizer
+    orders joins by them inside :func:`by_cost`. Registering again takes them
+    anew; a view of that name, as :func:`register` makes for directories that
+    still grow, is an error, and so is another directory.
+    """
+    if spark.catalog.tableExists(table):
+        if spark.catalog.getTable(table).tableType == "VIEW":
+            raise ValueError(f"{table} is a view of a directory that may grow")
+        if qualified(spark, location(spark, table)) != qualified(spark, path):
+            raise ValueError(f"{table} is registered at {location(spark, table)}, not {path}")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=qualified(spark, path), source=format)
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+        spark.catalog.recoverPartitions(table)
+    chosen = "ALL COLUMNS" if columns is None else f"COLUMNS {', '.join(map(_quoted, columns))}"
+    spark.sql(f"ANALYZE TABLE {_quoted(table)} COMPUTE STATISTICS FOR {chosen}")
+
+
+@contextmanager
+def by_cost(spark: SparkSession) -> Iterator[None]:
+    """Queries run in the block have their joins ordered by what the tables' statistics say they cost [CAT3]."""
+    before = {name: spark.conf.get(name) for name in COST}
+    try:
+        for name in COST:
+            spark.conf.set(name, "true")
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def query(spark: SparkSession, text: str, **parameters) -> DataFrame:
     """SQL over registered tables [CAT3, PRJ8, LIM1], values bound to ``:name`` markers [CAT4].
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 from eventlake.sources.paths import first_lines
 
 
+#: What the files of one write share in their names.
+WRITE = re.compile(r"(?<=part-\d{5}-)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}")
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -29,6 +35,39 @@ def read_table(
     return table if columns is None else table.select(*columns)
 
 
+def read_widened(spark: SparkSession, path: str, format: str = "parquet", threads: int = 16) -> DataFrame:
+    """A file table whose columns changed their types between appends, or came and went [SNK2, SRC5].
+
+    Files are grouped by their own schema, each group is read by it, so filters
+    and column choices still reach its scan, and the groups are put together by
+    name: a column has the type that all of its types widen to (whole numbers to
+    larger ones, to decimals or to doubles, dates to timestamps, by the engine's
+    rules), and is null where a group lacks it. Text and anything else have no
+    common type; that is an error that names the column. One footer is read for
+    each write of the table, as one write gives all its files one schema.
+    """
+    base = {} if "*" in path else {"basePath": path}  # keeps partition columns
+    writes: dict[str, list[str]] = {}
+    for file in spark.read.format(format).load(path).inputFiles():
+        named = WRITE.search(file)
+        writes.setdefault(named[0] if named else file, []).append(file)
+    reader = spark.read.format(format).options(**base)
+    with ThreadPool(threads) as pool:
+        schemas = pool.map(lambda files: reader.load(files[0]).schema, writes.values())
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    for schema, files in zip(schemas, writes.values(), strict=True):
+        groups.setdefault(schema.json(), (schema, []))[1].extend(files)
+    kinds: dict[str, set[bool]] = {}
+    for schema, _ in groups.values():
+        for field in schema.fields:
+            kinds.setdefault(field.name, set()).add(isinstance(field.dataType, StringType))
+    mixed = [name for name, kind in kinds.items() if len(kind) > 1]
+    if mixed:
+        raise ValueError(f"{', '.join(mixed)} of {path}: text in some files and another type in others")
+    parts = [spark.read.format(format).options(**base).schema(schema).load(files) for schema, files in groups.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType, **options) -> DataFrame:
     """CSV files with a header row and a stated schema, columns matched by name, so no inference pass [SRC6].
 

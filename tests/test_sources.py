@@ -10,7 +10,7 @@ from eventlake.schemas import EVENT, FEATURES, LABEL, PREDICTION, SCORE_EVENT, s
 from eventlake.sinks.tables import append_table
 from eventlake.sources.events import file_source, kafka_source, read_events
 from eventlake.sources.paths import first_lines
-from eventlake.sources.tables import local_rows, read_csv, read_csv_by_header, read_table
+from eventlake.sources.tables import WRITE, local_rows, read_csv, read_csv_by_header, read_table, read_widened
 
 
 def test_schemas():
@@ -129,3 +129,23 @@ def test_header_lines_alone_are_read(spark, path):
     base.mkdir()
     (base / "a.csv").write_bytes(b"k,name\n" + bytes(range(128, 256)) * 100)
     assert first_lines(spark, [str(base / "a.csv")] * 3) == ["k,name"] * 3
+
+
+def test_types_that_widen(spark, path):
+    append_table(spark.range(3).selectExpr("id", "cast(id as int) AS x", "'a' AS p"), path("t"), partition_by=["p"])
+    append_table(spark.range(3, 5).selectExpr("cast(id as int) AS id", "id / 2 AS x", "true AS new", "'b' AS p"), path("t"), partition_by=["p"])
+    append_table(spark.range(5, 6).selectExpr("id", "cast(id as decimal(10,2)) AS x", "'a' AS p"), path("t"), partition_by=["p"])
+    rows = read_widened(spark, path("t"))
+    assert rows.schema["x"].dataType.simpleString() == "double" and rows.schema["id"].dataType.simpleString() == "bigint"
+    assert sorted((r.id, r.x, r.new, r.p) for r in rows.collect()) == [(0, 0.0, None, "a"), (1, 1.0, None, "a"), (2, 2.0, None, "a"), (3, 1.5, True, "b"), (4, 2.0, True, "b"), (5, 5.0, None, "a")]
+    chosen = plan(rows.where("id > 3").select("x"))
+    assert chosen.count("PushedFilters: [IsNotNull(id)") >= 2 and "new" not in chosen.split("ReadSchema")[1]
+    append_table(spark.range(1).selectExpr("id", "'text' AS x", "'a' AS p"), path("t"), partition_by=["p"])
+    with pytest.raises(ValueError, match="x of"):
+        read_widened(spark, path("t"))
+
+
+def test_one_footer_a_write(spark, path):
+    spark.range(0, 100, 1, 8).write.parquet(path("t"))
+    files = read_table(spark, path("t")).inputFiles()
+    assert len(files) == 8 and len({WRITE.search(file)[0] for file in files}) == 1
