@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from eventlake.llm.minhash import without_near_duplicates
 from eventlake.llm.paragraphs import without_repeats
 from eventlake.llm.passages import without_passages
 from eventlake.llm.queries import PATTERN, RANKS
-from eventlake.llm.tables import table, written
+from eventlake.llm.tables import drop_unused, scratch, table, written
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,15 +71,39 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_digests(docs, RANKS, PATTERN)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language", known_language),
-    ("near-duplicates", one_of_each_group),
-    ("paragraphs", paragraphs_once),
-    ("benchmark", off_the_benchmark),
-    ("tokens", token_ids),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Working tables of the stage before, which its result may still read.
+_left: list[str] = []
+
+
+def _tidy(stage: Stage) -> Stage:
+    """The stage, which first removes the working tables of the one before unless `docs` still reads them.
+
+    A stage's rows are written before the next stage begins, so what it made on
+    the way is done with. Results that are read later without having been
+    written are not kept alive.
+    """
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _left[:] = drop_unused(docs, _left)
+        with scratch() as made:
+            result = stage(spark, docs, sf_dir)
+        _left.extend(made)
+        return result
+
+    return run_stage
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language", _tidy(known_language)),
+    ("near-duplicates", _tidy(one_of_each_group)),
+    ("paragraphs", _tidy(paragraphs_once)),
+    ("benchmark", _tidy(off_the_benchmark)),
+    ("tokens", _tidy(token_ids)),
 ]
 
-#: Learnt models, minimum hashing and the tokenizer are beyond SQL; tests/llm/test_pipeline.py has a plain version.
+#: Learnt models, minimum hashing and the tokenizer are beyond SQL; tests/llm/test_llm_pipeline.py has a plain version.
 ORACLE_SQL = None
 
 
