@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventlake.session import work_path
+from eventlake.sources.paths import remove
 
 #: Bytes of text that NumPy code works on at a time; one longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
@@ -31,6 +33,30 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
 
 
+_made: list[str] | None = None
+
+
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """The paths of all tables that :func:`written` makes in the block, for whoever knows when they are done with."""
+    global _made
+    before, _made = _made, []
+    try:
+        yield _made
+    finally:
+        _made = before
+
+
+def drop_unused(docs: DataFrame, paths: list[str]) -> list[str]:
+    """Removes the tables at `paths`, but for those that `docs` still reads; these are returned."""
+    files = docs.inputFiles()
+    kept = [path for path in paths if any(path.rsplit("/", 1)[1] in file for file in files)]
+    for path in paths:
+        if path not in kept:
+            remove(docs.sparkSession, path)
+    return kept
+
+
 def written(df: DataFrame, name: str, rows: int | None = None, rows_per_task: int = 200_000) -> DataFrame:
     """The same rows, written to the shared folder and read back.
 
@@ -41,6 +67,8 @@ def written(df: DataFrame, name: str, rows: int | None = None, rows_per_task: in
     """
     small_batches(df.sparkSession)
     path = work_path(df.sparkSession, name)
+    if _made is not None:
+        _made.append(path)
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // rows_per_task)))
     df.write.option("compression", "zstd").parquet(path)

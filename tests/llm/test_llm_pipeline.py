@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as pipeline
 from eventlake.llm import bpe
 from eventlake.llm.tables import written
+from eventlake.sources.paths import exists
 from llm.plain import least_of_components, paragraphs_left, plain_leaks
 
 SMALL = "/root/testdata/sf0.001"
@@ -56,3 +57,20 @@ def test_stages_take_any_rows(spark, corpus, nothing):
     told = pipeline.known_language(spark, docs, SMALL)
     assert told.where("text is null or not text rlike '\\\\p{L}'").count() == 0
     assert pipeline.known_language(spark, docs.withColumn("lang", F.lit(None).cast("string")), SMALL).count() > 0
+
+
+def test_working_tables_go_when_they_are_done_with(spark):
+    """Those that a result not yet written reads are kept; the others go as the next stage begins."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    (_, near), (_, lines) = pipeline.STAGES[1:3]
+    pipeline._left.clear()
+    first = near(spark, docs, SMALL)
+    made = list(pipeline._left)
+    second = lines(spark, first, SMALL)  # chained without having been written
+    kept = [path for path in made if exists(spark, path)]
+    assert 0 < len(kept) < len(made)
+    after = written(second, "lines")
+    assert after.count() == first.count()
+    made = list(pipeline._left)
+    lines(spark, after, SMALL)
+    assert not any(exists(spark, path) for path in made) and after.count() > 0
