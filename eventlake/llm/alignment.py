@@ -97,12 +97,15 @@ class Tokenizers:
         spaced = f" {text}"
         if self.merged is None or LONG_SPACE.search(spaced):
             a = self.a.encode(spaced, add_special_tokens=False).ids
+            if b"".join(map(self.a_bytes.__getitem__, a)) != spaced.encode():
+                return None
+            a = np.array(a, np.int64)
         else:
-            a = self.merged.encode_ordinary(spaced)
+            a = self.merged.encode_to_numpy(spaced, disallowed_special=()).astype(np.int64)  # ranks hold all bytes, so nothing is lost
         b = self.b.encode(text)
-        if not b"".join(map(self.a_bytes.__getitem__, a)) == spaced.encode() == b"".join(map(self.b_bytes.__getitem__, b)):
+        if b"".join(map(self.b_bytes.__getitem__, b)) != spaced.encode():
             return None
-        return np.array(a, np.int64), np.array(b, np.int64)
+        return a, np.array(b, np.int64)
 
 
 def _in_order(byte_level: str) -> bool:
@@ -206,24 +209,26 @@ def _counted(byte_level: str, pieces: str, schema: StructType) -> Callable[[Iter
         own = tokenizers(byte_level, pieces)
         chunk = TaskContext.get().partitionId() << 32
         held: list[np.ndarray] = []
+        seen: dict[str | None, tuple[list[tuple], np.ndarray]] = {}
         size = rows = 0
         for batch in batches:
             made: list[tuple] = []
             for place, text in enumerate(batch.column(batch.num_columns - 1)):
-                ids = encoded(text.as_py(), own)
-                aligned = Alignment(own)
-                for piece, (a, b) in enumerate(ids):
-                    aligned.add(a, b, show=False)
-                    made.append((place, chunk, rows, piece, a.astype(own.id_type).tobytes(), b.astype(own.id_type).tobytes()))
-                if not ids:
-                    made.append((place, chunk, rows, 0, None, None))
-                held.append(aligned.keys)
+                whole = text.as_py()
+                if whole not in seen:  # equal texts of a chunk are worked out once
+                    ids, aligned = encoded(whole, own), Alignment(own)
+                    for a, b in ids:
+                        aligned.add(a, b, show=False)
+                    seen[whole] = [(a.astype(own.id_type).tobytes(), b.astype(own.id_type).tobytes()) for a, b in ids] or [(None, None)], aligned.keys
+                pieces_seen, keys = seen[whole]
+                made += [(place, chunk, rows, piece, *both) for piece, both in enumerate(pieces_seen)]
+                held.append(keys)
                 size += len(text.as_buffer()) if text.is_valid else 0
                 rows += 1
                 if size >= CHUNK_BYTES or rows >= CHUNK_ROWS:
                     yield _documents(batch, made, schema)
                     yield from _pairs(held, chunk, schema)
-                    made, held, size, rows, chunk = [], [], 0, 0, chunk + 1
+                    made, held, seen, size, rows, chunk = [], [], {}, 0, 0, chunk + 1
             yield _documents(batch, made, schema)
         yield from _pairs(held, chunk, schema)
 
@@ -330,13 +335,20 @@ def _scored(byte_level: str, pieces: str, schema: StructType, groups: bool) -> C
         number = docs.column("row").to_numpy()
         firsts = np.flatnonzero(np.concatenate((number[:1] == number[:1], number[1:] != number[:-1])))
         rows = []
+        seen: dict[tuple[bytes | None, bytes | None], tuple] = {}
         for first, end in zip(firsts.tolist(), [*firsts[1:].tolist(), len(number)], strict=True):
+            one = (ids[0][first].as_py(), ids[1][first].as_py()) if end == first + 1 else None
+            if one in seen:
+                rows.append(seen[one])
+                continue
             aligned, shown = Alignment(own), []
             for k in range(first, end) if ids[0][first].is_valid else ():
                 shown.append(aligned.add(*(np.frombuffer(each[k].as_buffer(), own.id_type).astype(np.int64) for each in ids), show=True))
             at = np.searchsorted(keys, aligned.keys)
             highest, total = int(aligned.times[best[at] == 1].sum()), int((aligned.times * counts[at]).sum())
             rows.append((*aligned.numbers.tolist(), highest, total, aligned.digest if shown else "", *([";".join(shown)] if groups else [])))
+            if one is not None:
+                seen[one] = rows[-1]
         shape = to_arrow_schema(schema)
         kept = [docs.column(k).take(pa.array(firsts)) for k in range(docs.num_columns - 5)]
         made = [pa.array(column, field.type) for column, field in zip(zip(*rows, strict=True), list(shape)[len(kept) :], strict=True)]
