@@ -13,6 +13,8 @@ from eventlake.llm.tables import written
 
 #: Vectors of a candidate block, queries of a query block, dimensions added at a time.
 BLOCK, QUERIES, STEP = 4096, 128, 16
+#: Products of norms from here on may not be counted in 64 bits; a little less than 2**63, as norms are rounded.
+LIMIT = 2.0**63 * (1 - 1e-6)
 
 
 def whole_numbers(vector: Column, scale: int = 256) -> Column:
@@ -28,16 +30,17 @@ def _vertical(vectors: list[list[int]]) -> bytes:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each block of vectors of equal length: ids and the values in vertical layout."""
+    """A row for each block of vectors of equal length: row numbers, ids and the values in vertical layout."""
     for batch in batches:
-        groups, ids, dims, columns = [], [], [], []
-        for group, rows in zip(batch.column("block").to_pylist(), batch.column("rows").to_pylist(), strict=True):
+        groups, rows, ids, dims, columns = [], [], [], [], []
+        for group, vectors in zip(batch.column("block").to_pylist(), batch.column("own").to_pylist(), strict=True):
             by_length: dict[int, list] = {}
-            for row in rows:
-                by_length.setdefault(len(row["v"]), []).append(row)
+            for vector in vectors:
+                by_length.setdefault(len(vector["v"]), []).append(vector)
             for length, own in by_length.items():
-                groups.append(group), dims.append(length), ids.append([r["id"] for r in own]), columns.append(_vertical([r["v"] for r in own]))
-        yield pa.record_batch([pa.array(groups, pa.int64()), pa.array(dims, pa.int32()), pa.array(ids, pa.list_(pa.int64())), pa.array(columns, pa.binary())], names=["block", "dims", "ids", "columns"])
+                groups.append(group), dims.append(length), rows.append([r["row"] for r in own]), ids.append([r["id"] for r in own]), columns.append(_vertical([r["v"] for r in own]))
+        lists = pa.list_(pa.int64())
+        yield pa.record_batch([pa.array(groups, pa.int64()), pa.array(dims, pa.int32()), pa.array(rows, lists), pa.array(ids, lists), pa.array(columns, pa.binary())], names=["block", "dims", "rows", "ids", "columns"])
 
 
 def branch_and_bound(queries: np.ndarray, columns: np.ndarray, k: int, banned: np.ndarray | None = None, ids: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -76,28 +79,40 @@ def branch_and_bound(queries: np.ndarray, columns: np.ndarray, k: int, banned: n
 
 
 def _search(k: int):
+    """The k best candidates of each query row in a pair of blocks; rows are known by their numbers, ids may repeat."""
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 dims = row["dims"]
+                rows, query_rows = np.array(row["rows"], np.int64), np.array(row["query_rows"], np.int64)
                 ids, query_ids = np.array(row["ids"], np.int64), np.array(row["query_ids"], np.int64)
                 columns = np.frombuffer(row["columns"], np.int64).reshape(dims, len(ids))
                 queries = np.frombuffer(row["query_columns"], np.int64).reshape(dims, len(query_ids)).T
-                place = {int(x): i for i, x in enumerate(ids)}
-                banned = np.array([place.get(int(x), -1) for x in query_ids])
+                if _longest(columns) * _longest(queries.T) >= LIMIT:
+                    raise ValueError("inner products of these vectors may lie beyond 63 bits: scale them down")
+                place = {int(x): i for i, x in enumerate(rows)}
+                banned = np.array([place.get(int(x), -1) for x in query_rows])
                 found = branch_and_bound(np.ascontiguousarray(queries), columns, k, banned, ids)
                 sizes = [len(f[0]) for f in found]
-                yield pa.record_batch([pa.array(np.repeat(query_ids, sizes)), pa.array(np.concatenate([ids[f[0]] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], names=["query_id", "vec_id", "score"])
+                best = np.concatenate([f[0] for f in found])
+                columns_out = [np.repeat(query_rows, sizes), np.repeat(query_ids, sizes), rows[best], ids[best], np.concatenate([f[1] for f in found])]
+                yield pa.record_batch([pa.array(c) for c in columns_out], names=["query_row", "query_id", "row", "vec_id", "score"])
 
     return search
 
 
+def _longest(columns: np.ndarray) -> float:
+    """The greatest norm of the vectors that stand in the columns."""
+    return float(np.sqrt((columns.astype(np.float64) ** 2).sum(axis=0)).max(initial=0.0))
+
+
 def _blocks(vectors: DataFrame, per_block: int, name: str) -> tuple[DataFrame, int]:
     """Packed blocks of about `per_block` vectors, and how many numbers they have."""
     vectors = written(vectors, name)
     blocks = max(1, -(-vectors.count() // per_block))
-    grouped = vectors.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("id", "v")).alias("rows"))
-    return written(grouped.mapInArrow(_pack, "block bigint, dims int, ids array<bigint>, columns binary"), f"{name}-blocks"), blocks
+    grouped = vectors.groupBy(F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("row", "id", "v")).alias("own"))
+    return written(grouped.mapInArrow(_pack, "block bigint, dims int, rows array<bigint>, ids array<bigint>, columns binary"), f"{name}-blocks"), blocks
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_id", vector_column: str = "embedding", scale: int = 256) -> DataFrame:
@@ -111,27 +126,29 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "
     Ties go to the smaller id. Vectors that are null or hold a null or
     non-finite component take no part, nor do rows with a null id; a vector is
     compared with those of its own length, empty ones with empty ones at score
-    0. Of rows with the same id one takes part, the one with the least vector. Other columns
-    are not read; an empty table or a single vector gives an empty result.
+    0. Rows with the same id all take part, as candidates of one another too, and
+    each that is a query has its own ranks. Scores are exact: where the norms of
+    two blocks allow one beyond 63 bits, the search ends with an error. Other
+    columns are not read; an empty table or a single vector gives an empty result.
     """
     sound = vectors.select(F.col(id_column).cast("bigint").alias("id"), whole_numbers(F.col(vector_column), scale).alias("v"), is_query.alias("query"))
-    sound = sound.where("id is not null and v is not null").groupBy("id").agg(F.min("v").alias("v"), F.max("query").alias("query"))
-    sound = written(sound, "vectors")
-    candidates, n = _blocks(sound.select("id", "v"), BLOCK, "candidates")
-    queries, _ = _blocks(sound.where("query").select("id", "v"), QUERIES, "queries")
+    # rows are numbered as they are written, so the numbers stay
+    sound = written(sound.where("id is not null and v is not null").withColumn("row", F.monotonically_increasing_id()), "vectors")
+    candidates, n = _blocks(sound.select("row", "id", "v"), BLOCK, "candidates")
+    queries, _ = _blocks(sound.where("query").select("row", "id", "v"), QUERIES, "queries")
     # each query block goes to every candidate block, none of which is ever gathered elsewhere
-    sent = queries.select("dims", F.col("ids").alias("query_ids"), F.col("columns").alias("query_columns"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("block"))
-    met = sent.join(candidates, ["block", "dims"]).select("dims", "ids", "columns", "query_ids", "query_columns")
-    found = met.mapInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    sent = queries.select("dims", F.col("rows").alias("query_rows"), F.col("ids").alias("query_ids"), F.col("columns").alias("query_columns"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("block"))
+    met = sent.join(candidates, ["block", "dims"]).select("dims", "rows", "ids", "columns", "query_rows", "query_ids", "query_columns")
+    found = met.mapInArrow(_search(k), "query_row bigint, query_id bigint, row bigint, vec_id bigint, score bigint")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-#: The same rows as DuckDB SQL, for ids that do not repeat.
+#: The same rows as DuckDB SQL.
 NEAREST_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS x FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS x FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CASE WHEN len(q.x) = 0 THEN 0 ELSE list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) END::bigint AS score
-    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0)
+s AS (SELECT q.row, q.vec_id AS query_id, c.vec_id, CASE WHEN len(q.x) = 0 THEN 0 ELSE list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) END::bigint AS score
+    FROM v q JOIN v c ON q.row <> c.row AND len(q.x) = len(c.x) WHERE q.vec_id % 50 = 0)
 SELECT query_id, rank, vec_id, score FROM (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::int AS rank FROM s) WHERE rank <= 5"""
+    SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id)::int AS rank FROM s) WHERE rank <= 5"""

@@ -69,24 +69,36 @@ def test_slots_of_many_copies(spark):
 def test_top_k_against_brute_force(spark):
     rng = np.random.default_rng(0)
     vectors = [(i, [float(x) for x in rng.normal(size=40)]) for i in range(300)]
-    vectors += [(300, vectors[5][1]), (301, vectors[5][1]), (302, None), (303, [float("nan")] * 40), (304, [float("inf")] + [0.0] * 39), (305, [None] + [0.0] * 39), (None, vectors[0][1]), (306, [1.0]), (350, [2.0]), (400, []), (450, []), (7, vectors[7][1])]
+    vectors += [(300, vectors[5][1]), (301, vectors[5][1]), (302, None), (303, [float("nan")] * 40), (304, [float("inf")] + [0.0] * 39), (305, [None] + [0.0] * 39), (None, vectors[0][1]), (306, [1.0]), (350, [2.0]), (400, []), (450, []), (7, vectors[7][1]), (100, vectors[100][1]), (100, vectors[9][1])]
     table = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumn("score", F.lit(1)).withColumn("query", F.lit("x"))
-    sound = {}
+    sound = []
     for i, v in vectors:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            sound[i] = [math.floor(256 * float(np.float32(x))) for x in v]
-    expected = set()
-    for q, x in sound.items():
+            sound.append((i, [math.floor(256 * float(np.float32(x))) for x in v]))
+    expected = Counter()
+    for own, (q, x) in enumerate(sound):
         if q % 50 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), c) for c, y in sound.items() if c != q and len(y) == len(x))
-            expected |= {(q, rank, c, -s) for rank, (s, c) in enumerate(scores[:5], 1)}
+            scores = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), c) for n, (c, y) in enumerate(sound) if n != own and len(y) == len(x))
+            expected += Counter((q, rank, c, -s) for rank, (s, c) in enumerate(scores[:5], 1))
     got = nearest(table, F.col("vec_id") % 50 == 0)
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
-    assert {tuple(r) for r in got.collect()} == expected
+    assert Counter(tuple(r) for r in got.collect()) == expected
     assert nearest(table.where("false"), F.col("vec_id") % 50 == 0).count() == 0
     assert nearest(table.where("vec_id = 0").limit(1), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_takes_rows_with_one_id_and_counts_exactly(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.9, 0.0])]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0)
+    assert [tuple(r) for r in got.orderBy("rank").collect()] == [(0, 1, 1, 58880), (0, 2, 1, 32768)]
+    high = [(0, [1e6, 1.0]), (1, [1e6, 3.0]), (2, [-1e6, 5.0])]
+    got = nearest(spark.createDataFrame(high, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0)
+    assert [tuple(r) for r in got.orderBy("rank").collect()] == [(0, 1, 1, 256000000**2 + 256 * 768), (0, 2, 2, -(256000000**2) + 256 * 1280)]
+    beyond = [(0, [1e9, 1e9]), (1, [1e9, 1e9]), (2, [-1e9, 0.0])]
+    with pytest.raises(Exception, match="63 bits"):
+        nearest(spark.createDataFrame(beyond, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+
+
 def test_bounds_drop_candidates_and_nothing_else():
     rng = np.random.default_rng(1)
     columns = rng.integers(-256, 256, (64, 2000))
