@@ -71,15 +71,21 @@ def _steps(score: np.ndarray, transition: np.ndarray) -> np.ndarray:
 
 
 def marginals(score: np.ndarray, counts: np.ndarray, transition: np.ndarray) -> np.ndarray:
-    """Probability of the toxic state for every token; rows of `counts` tokens follow one another.
+    """Probability of the toxic state for every token; rows of `counts` tokens follow one another."""
+    return pair_marginals(score, counts, transition).sum(axis=1)
+
+
+def pair_marginals(score: np.ndarray, counts: np.ndarray, transition: np.ndarray) -> np.ndarray:
+    """Probabilities (tokens x 2) that a token is toxic and the one before it clean, or toxic too.
 
     Exact for any length in bounded steps: rows are cut into blocks, each block's
     transfer matrix is multiplied out side by side with all others, the blocks'
-    ends are chained, and messages are then run inside all blocks at once.
+    ends are chained, and messages are then run inside all blocks at once. What
+    comes before a row's first token is clean.
     """
     rows = np.flatnonzero(counts)
     if not len(rows):
-        return np.zeros(0)
+        return np.zeros((0, 2))
     size = counts[rows]
     blocks = -(-size // BLOCK)
     first = np.cumsum(blocks) - blocks
@@ -106,18 +112,19 @@ def marginals(score: np.ndarray, counts: np.ndarray, transition: np.ndarray) ->
         behind[last] = then[live]
         then[live] = np.einsum("rij,rj->ri", product[last], then[live])
         then[live] /= then[live].sum(axis=1, keepdims=True)
-    forward = np.empty((n, BLOCK, 2))
+    forward = np.empty((n, BLOCK + 1, 2))
+    forward[:, 0] = ahead
     for t in range(BLOCK):
         ahead = np.einsum("ri,rij->rj", ahead, steps[:, t])
         ahead /= ahead.sum(axis=1, keepdims=True)
-        forward[:, t] = ahead
-    toxic = np.empty((n, BLOCK))
+        forward[:, t + 1] = ahead
+    toxic = np.empty((n, BLOCK, 2))
     for t in range(BLOCK - 1, -1, -1):
-        both = forward[:, t] * behind
-        toxic[:, t] = both[:, 1] / both.sum(axis=1)
+        both = forward[:, t, :, None] * steps[:, t] * behind[:, None, :]
+        toxic[:, t] = both[:, :, 1] / both.sum(axis=(1, 2))[:, None]
         behind = np.einsum("rij,rj->ri", steps[:, t], behind)
         behind /= behind.sum(axis=1, keepdims=True)
-    return toxic.ravel()[cell]
+    return toxic.reshape(-1, 2)[cell]
 
 
 def _sums(toxic: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -187,6 +194,28 @@ def _in_parts(weights: np.ndarray, features: np.ndarray, counts: np.ndarray, tra
     return out
 
 
+def _slopes(weights: np.ndarray, features: np.ndarray, counts: np.ndarray, transition: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slopes of the log-likelihood of the token labels `target` (0 or 1), by weight and by transition into the toxic state.
+
+    Observed less expected features, and observed less expected pairs of
+    neighbours; rows of `counts` tokens are sequences. Worked out in parts, as `_in_parts`.
+    """
+    slope, pairs = np.zeros(len(weights)), np.zeros(2)
+    at = np.concatenate(([0], np.cumsum(counts)))
+    for first, end in slices(at, PART_TOKENS):
+        a, b = at[first], at[end]
+        own = target[a:b].astype(np.float64)
+        before = np.concatenate(([0.0], own[:-1]))
+        begins = at[first:end][counts[first:end] > 0] - a
+        before[begins] = 0
+        expected = pair_marginals(_emission(weights, features[a:b]), counts[first:end], transition)
+        pairs += [((1 - before) * own).sum(), (before * own).sum()] - expected.sum(axis=0)
+        error = own - expected.sum(axis=1)
+        for k in range(KINDS):
+            slope += np.bincount(features[a:b, k], weights=error, minlength=len(weights))
+    return slope, np.array([[0.0, pairs[0]], [0.0, pairs[1]]])
+
+
 def _train(docs: list[np.ndarray], labels: np.ndarray, sizes: dict[int, int]) -> Model:
     total = KINDS << BITS
     if not (labels == 1).any():
@@ -210,22 +239,11 @@ def _train(docs: list[np.ndarray], labels: np.ndarray, sizes: dict[int, int]) ->
     pull, pull_t = np.full(total, 1e-6), np.full((2, 2), 1e-6)
     bias = np.log((target.mean() + 1e-6) / (1 - target.mean() + 1e-6))
     transition[:, 1] = bias
-    starts = np.cumsum(counts) - counts
-    after = np.ones(len(target), bool)
-    after[starts] = False
-    before = np.concatenate(([0.0], target[:-1])) * after
     for _ in range(ROUNDS):
-        guess = _in_parts(weights, features, counts, transition)
-        error = target - guess
-        slope = np.zeros(total)
-        for k in range(KINDS):
-            slope += np.bincount(features[:, k], weights=error, minlength=total)
+        slope, slope_t = _slopes(weights, features, counts, transition, target)
         slope -= 1e-2 * weights
         pull += slope**2
         weights += 0.5 * slope / np.sqrt(pull)
-        # neighbouring marginals taken as independent: exact where labels are certain, as they are given
-        earlier = np.concatenate(([0.0], guess[:-1])) * after
-        slope_t = np.array([[0.0, ((1 - before) * target - (1 - earlier) * guess).sum()], [0.0, (before * target - earlier * guess).sum()]])
         pull_t += slope_t**2
         transition += 0.2 * slope_t / np.sqrt(pull_t)
     weights = weights.astype(np.float32)
