@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.tables import slices, text_column, with_fields, written
@@ -25,7 +25,7 @@ from eventlake.llm.tables import slices, text_column, with_fields, written
 ORDER = 4
 #: Documents per language that the statistics are gathered from, on average; fewer if there are fewer.
 FIT_ROWS = 6_000
-#: Contexts of the tree at most, the most frequent first: the model's size is bounded by this.
+#: Contexts of the tree at most; every language has the same share of them for its own most frequent ones.
 CONTEXTS = 12_000
 #: The symbol before the first byte of a text; no UTF-8 text holds this byte.
 BEFORE = 0xFF
@@ -85,7 +85,8 @@ def gram_counts(rows: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     sizes = written(rows.groupBy("lang").agg(F.count("*").alias("rows")), "language-sizes")
     # the text's own hash decides, not its place or a random number, so a retried task takes the same rows
     chance = F.pmod(F.xxhash64(F.lit("fit"), "text"), F.lit(1_000_000)) / 1e6
-    taken = rows.join(F.broadcast(sizes.limit(1000)), "lang").where(chance < F.lit(float(fit_rows)) / F.col("rows"))
+    # no hint: the sizes are broadcast if their table is found to be small, else joined by shuffling
+    taken = rows.join(sizes, "lang").where(chance < F.lit(float(fit_rows)) / F.col("rows"))
     # a text that is copied many times counts once, so that the sample keeps its bound
     counted = taken.select("lang", "text").distinct().mapInArrow(_count, "lang string, gram bigint, n bigint")
     return written(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
@@ -94,9 +95,10 @@ def gram_counts(rows: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
 def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, contexts: int = CONTEXTS) -> Model:
     """The frozen model of `rows` (text, lang; none null).
 
-    The counts are made on the executors. The driver takes the most frequent
-    contexts and their followers only, which `contexts` bounds, and the number
-    of languages. Without rows the model has no language.
+    The counts are made on the executors. All languages are learnt, each with an
+    equal share of `contexts` for its own most frequent contexts (the shorter
+    first among equals, so a context comes with its shorter ones); the driver
+    takes those and their followers only. Without rows the model has no language.
     """
     grams = gram_counts(rows, fit_rows)
     languages = sorted(r[0] for r in grams.select("lang").distinct().collect())
@@ -111,7 +113,10 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, contexts: int = CONTEXTS) ->
         one = grams.select("lang", context, symbol, "n").groupBy("context", "lang", "symbol").agg(F.sum("n").alias("n"))
         followed = one if followed is None else followed.unionAll(one)
     followed = written(followed, "followers")
-    frequent = followed.groupBy("context").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "context").limit(contexts).select("context")
+    share = max(1, contexts // max(1, len(languages)))
+    of_language = Window.partitionBy("lang").orderBy(F.desc("n"), "context")
+    ranked = followed.groupBy("context", "lang").agg(F.sum("n").alias("n")).withColumn("place", F.row_number().over(of_language))
+    frequent = ranked.where(F.col("place") <= share).select("context").distinct()
     kept = followed.join(F.broadcast(written(frequent, "contexts")), "context").select("context", "lang", "symbol", "n").toArrow()
     columns = [kept.column(c).to_numpy() for c in ("context", "lang", "symbol", "n")]
     return _freeze(languages, columns[0], columns[1] - 1, columns[2], columns[3])

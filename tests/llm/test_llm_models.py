@@ -57,6 +57,26 @@ def test_code_lengths_are_ppm(spark):
             assert bits[row, k] == pytest.approx(plain_bits(TRAINING, text, lang, ppm.ORDER), rel=1e-4, abs=1e-3)
 
 
+def test_every_language_is_learnt(spark):
+    rows = [(f"l{i}", "ab" if i % 2 else "ba") for i in range(1200)] + [("most", "qr qr qr")] * 3
+    table = spark.createDataFrame(rows, "lang string, text string")
+    model = ppm.fit(table)
+    assert model.languages == sorted({r[0] for r in rows})
+    told = ppm.identify(table.where("lang = 'most'"), model, keep=["lang"]).collect()
+    assert {r.lang_pred for r in told} == {"most"}
+
+
+def test_small_languages_have_contexts_of_their_own(spark):
+    rng = random.Random(5)
+    rows = [("big", " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(40))) for _ in range(200)] + [("small", "xyzzy plugh")]
+    model = ppm.fit(spark.createDataFrame(rows, "lang string, text string"), contexts=24)
+    assert len(model.child) // model.kinds // 2 <= 24
+    # after x comes y: told by a context that the pooled counts would not have kept
+    raw = np.frombuffer(b"xyzzy", np.uint8)
+    known, longer = (ppm.code_lengths(model, raw[:n], np.array([0, n]))[0, model.languages.index("small")] for n in (1, 2))
+    assert longer - known < 1.5
+
+
 def test_language_edge_rows(spark, corpus, nothing):
     model = ppm.fit(spark.createDataFrame(TRAINING, "lang string, text string"))
     got = ppm.identify(corpus, model, keep=["doc_id", "key", "bucket"])
@@ -94,6 +114,38 @@ def plain_marginals(score, transition):
     return toxic / total
 
 
+def test_training_follows_the_likelihood(monkeypatch):
+    """The slope against finite differences of the log-likelihood, which is summed over all paths."""
+    rng = np.random.default_rng(7)
+    monkeypatch.setattr(crf, "PART_TOKENS", 6)
+    kinds, n = crf.KINDS, 13
+    features = np.array([[k * 3 + rng.integers(3) for k in range(kinds)] for _ in range(n)], np.int32)
+    counts, target = np.array([4, 0, 1, 6, 2]), rng.integers(0, 2, n).astype(np.float32)
+    weights, transition = rng.normal(size=kinds * 3), np.array([[0.0, -0.7], [0.0, 1.3]])
+
+    def likelihood(weights, transition):
+        emission, total, at = weights[features].sum(axis=1), 0.0, 0
+
+        def height(path, a):
+            return sum(emission[a + i] * y + transition[p, y] for i, (p, y) in enumerate(zip((0, *path[:-1]), path, strict=True)))
+
+        for c in counts:
+            paths = [height(path, at) for path in product((0, 1), repeat=int(c))] if c else [0.0]
+            total += (height(tuple(int(y) for y in target[at : at + c]), at) if c else 0.0) - math.log(sum(map(math.exp, paths)))
+            at += c
+        return total
+
+    slope, slope_t = crf._slopes(weights, features, counts, transition, target)
+    step = 1e-5
+    for k in range(len(weights)):
+        by = np.eye(len(weights))[k] * step
+        assert slope[k] == pytest.approx((likelihood(weights + by, transition) - likelihood(weights - by, transition)) / (2 * step), abs=1e-5)
+    for before in (0, 1):
+        by = np.zeros((2, 2))
+        by[before, 1] = step
+        assert slope_t[before, 1] == pytest.approx((likelihood(weights, transition + by) - likelihood(weights, transition - by)) / (2 * step), abs=1e-5)
+
+
 def test_marginals_by_forward_backward():
     rng = np.random.default_rng(1)
     transition = rng.normal(size=(2, 2))
