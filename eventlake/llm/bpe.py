@@ -49,7 +49,9 @@ def _id_lists(lists: list[list[int]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32()))
 
 
-def _encode(path: str, pattern: str, keys: list[str], rows_at_once: int = 256):
+def encode_batches(path: str, pattern: str, keys: list[str], rows_at_once: int = 256):
+    """Batches of texts as batches of `keys` and token_ids, each text in one piece; null is empty."""
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = _encoding(path, pattern)
         for batch in batches:
@@ -133,18 +135,28 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, id_column: str =
     repeated rows come out as often as they went in. Other columns are not read.
     An empty table gives an empty result.
     """
+    short, long = by_length(docs, id_column, text_column, chunk)
+    kind = short.schema["doc_id"].dataType.simpleString()
+    return short.mapInArrow(encode_batches(ranks, pattern, ["doc_id"]), f"doc_id {kind}, token_ids array<int>").unionAll(encode_long(long, ranks, pattern, chunk, overlap))
+
+
+def by_length(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", chunk: int = CHUNK) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text) of the rows whose text is one chunk or none, and of those with longer texts."""
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
     is_long = F.coalesce(F.length("text") > chunk, F.lit(False))
-    short = rows.where(~is_long).mapInArrow(_encode(ranks, pattern, ["doc_id"]), f"doc_id {kind}, token_ids array<int>")
-    keyed = rows.where(is_long).select("doc_id", text_key("text").alias("text_key"), "text")
+    return rows.where(~is_long), rows.where(is_long)
+
+
+def encode_long(rows: DataFrame, ranks: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """(doc_id, token_ids) of texts (doc_id, text; none null or empty) that are cut into overlapping chunks."""
+    keyed = rows.select("doc_id", text_key("text").alias("text_key"), "text")
     texts = keyed.groupBy("text_key").agg(F.first("text").alias("text"))
     pieces = pieces_of(texts, pattern, chunk, overlap)
-    encoded = pieces.mapInArrow(_encode(ranks, pattern, ["text_key", "no"]), "text_key binary, no bigint, token_ids array<int>")
+    encoded = pieces.mapInArrow(encode_batches(ranks, pattern, ["text_key", "no"]), "text_key binary, no bigint, token_ids array<int>")
     # the ids of one text come together, no more than its own row holds anyway
     ordered = F.sort_array(F.collect_list(F.struct("no", "token_ids")))
     whole = written(encoded.groupBy("text_key").agg(F.flatten(F.transform(ordered, lambda x: x["token_ids"])).alias("token_ids")), "ids")
-    return short.unionAll(keyed.select("doc_id", "text_key").join(whole, "text_key").select("doc_id", "token_ids"))
+    return keyed.select("doc_id", "text_key").join(whole, "text_key").select("doc_id", "token_ids")
 
 
 def _decode(ranks: str, keys: list[str]):

@@ -9,6 +9,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DataType
+
+from eventlake.llm.bpe import by_length, encode_batches, encode_long
+from eventlake.llm.tables import written
 
 #: Tokens of a packed row.
 LENGTH = 2048
@@ -141,10 +146,27 @@ def pack_tokens(tokens: DataFrame, length: int = LENGTH, group_tokens: int = GRO
     a table, so that a repeated task finds the same rows in the same order.
     """
     kind = tokens.schema["doc_id"].dataType
-    from pyspark.sql.pandas.types import to_arrow_type
+    return tokens.select("doc_id", "token_ids").mapInArrow(_pack(length, group_tokens, to_arrow_type(kind)), _shape(kind))
+
+
+def _shape(kind: DataType) -> str:
+    return f"pack_id bigint, n_tokens int, doc_ids array<{kind.simpleString()}>, parts array<int>, cu_seqlens array<int>, ids binary"
 
-    shape = f"pack_id bigint, n_tokens int, doc_ids array<{kind.simpleString()}>, parts array<int>, cu_seqlens array<int>, ids binary"
-    return tokens.select("doc_id", "token_ids").mapInArrow(_pack(length, group_tokens, to_arrow_type(kind)), shape)
+
+def pack_documents(docs: DataFrame, ranks: str, pattern: str, length: int = LENGTH, group_tokens: int = GROUP_TOKENS) -> DataFrame:
+    """As :func:`pack_tokens`, for the whole texts of `docs` (doc_id, text) in the ids of a rank file.
+
+    A text of one chunk is encoded and packed by the same task, and its ids are
+    not written in between; the ids of longer ones are stitched, written and then
+    packed. A task numbers its packs by its own place among the tasks of both.
+    `docs` should be a table, so that a repeated task finds the same rows in the
+    same order. Null and empty texts have no segment.
+    """
+    short, long = by_length(docs)
+    kind = short.schema["doc_id"].dataType
+    encode, pack = encode_batches(ranks, pattern, ["doc_id"]), _pack(length, group_tokens, to_arrow_type(kind))
+    packed = short.mapInArrow(lambda batches: pack(encode(batches)), _shape(kind))
+    return packed.unionAll(pack_tokens(written(encode_long(long, ranks, pattern), "tokens"), length, group_tokens))
 
 
 def position_ids(cu_seqlens: Column) -> Column:

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from eventlake.llm import crf, ppm, quality
 from eventlake.llm.alignment import align_documents
-from eventlake.llm.bpe import encode_documents, token_digests
+from eventlake.llm.bpe import token_digests
 from eventlake.llm.decontaminate import leaked_documents
 from eventlake.llm.minhash import similar_documents
-from eventlake.llm.packing import pack_tokens, resets
+from eventlake.llm.packing import pack_documents, resets
 from eventlake.llm.paragraphs import without_repeats
 from eventlake.llm.passages import without_passages
 from eventlake.llm.secrets import BASE_KINDS, count_of, find_secrets, joined
@@ -71,8 +71,7 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' token ids in packed rows of 2,048, with segment lengths and position resets."""
-    tokens = written(encode_documents(table(spark, sf_dir, "documents"), RANKS, PATTERN), "tokens")
-    return pack_tokens(tokens).withColumn("resets", resets(F.col("cu_seqlens")))
+    return pack_documents(table(spark, sf_dir, "documents"), RANKS, PATTERN).withColumn("resets", resets(F.col("cu_seqlens")))
 
 
 def op8_branch_and_bound_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

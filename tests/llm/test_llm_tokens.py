@@ -9,7 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from eventlake.llm import bpe
-from eventlake.llm.packing import Capacities, best_fit_decreasing, pack_tokens, position_ids, resets, write_packed
+from eventlake.llm.packing import Capacities, best_fit_decreasing, pack_documents, pack_tokens, position_ids, resets, write_packed
+from eventlake.llm.queries import QUERIES
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -70,9 +71,11 @@ def test_capacity_search():
     assert tree.take(4)[0] == 7 and tree.take(4)[0] == 7 and tree.take(4) == (10, 3) and tree.take(4) is None and tree.take(3) == (3, 0)
 
 
-def test_packing_loses_nothing(spark, corpus, path):
-    tokens = bpe.encode_documents(corpus.where("doc_id is not null").dropDuplicates(["doc_id"]), RANKS, PATTERN)
-    packed = pack_tokens(tokens, length=128, group_tokens=5000)
+@pytest.mark.parametrize("at_once", [False, True])
+def test_packing_loses_nothing(spark, corpus, path, at_once):
+    docs = corpus.where("doc_id is not null").dropDuplicates(["doc_id"])
+    tokens = bpe.encode_documents(docs, RANKS, PATTERN)
+    packed = pack_documents(docs, RANKS, PATTERN, 128, 5000) if at_once else pack_tokens(tokens, length=128, group_tokens=5000)
     write_packed(packed, path("packed"))
     found, seen = {}, set()
     back = spark.read.parquet(path("packed"))
@@ -92,7 +95,25 @@ def test_packing_loses_nothing(spark, corpus, path):
     assert not found
 
 
-def test_packing_nulls_and_nothing(spark):
+def test_the_packing_query_rebuilds_every_document(spark):
+    library = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=bpe._ranks(RANKS), special_tokens={})
+    rows = QUERIES["op7_best_fit_packing"](spark, "/root/testdata/sf0.001").collect()
+    assert len({r.pack_id for r in rows}) == len(rows)
+    found = {}
+    for r in rows:
+        assert r.n_tokens <= 2048 == len(r.ids) // 4 and r.resets == r.cu_seqlens[:-1]
+        ids = [int.from_bytes(r.ids[i : i + 4], "little", signed=True) for i in range(0, len(r.ids), 4)]
+        for doc, part, a, b in zip(r.doc_ids, r.parts, r.resets, r.cu_seqlens[1:], strict=True):
+            assert (doc, part) not in found
+            found[doc, part] = ids[a:b]
+    for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect():
+        ids = library.encode_ordinary(r.text or "")
+        assert [x for part in range(-(-len(ids) // 2048)) for x in found.pop((r.doc_id, part))] == ids
+    assert not found
+
+
+def test_packing_nulls_and_nothing(spark, nothing):
+    assert pack_documents(nothing, RANKS, PATTERN).count() == 0
     rows = spark.createDataFrame([(None, [1, 2]), (1, None), (1, [3]), (1, [3]), (2, [])], "doc_id long, token_ids array<int>").coalesce(1)
     (row,) = pack_tokens(rows, length=8).collect()
     assert row.n_tokens == 4 and sorted(map(repr, row.doc_ids)) == ["1", "1", "None"]
