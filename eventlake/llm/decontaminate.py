@@ -9,6 +9,7 @@ by side and compared token by token.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -180,6 +181,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item
     one in six; items of fewer than 8 tokens are not looked for. Null and empty
     texts, on either side, and an empty table give no rows.
     """
+    search = _search(docs, benchmark, text_column, item_text_column)
+    found = _confirmed(search, search.hits.join(search.seeds.select("seed", "item_key", "item_at"), "seed"))
+    best = F.max(F.struct("equal", "tokens", -F.col("start"), "start", "end")).alias("best")
+    return written(found.groupBy("text_key", "item_key").agg(best).select("text_key", "item_key", "best.start", "best.end", "best.tokens", "best.equal"), "leaks")
+
+
+@dataclass(frozen=True)
+class _Search:
+    """Written tables: items' seeds and tokens, the texts' stretches around hits, and the hits (text_key, region, seed, at)."""
+
+    seeds: DataFrame
+    items: DataFrame
+    regions: DataFrame
+    hits: DataFrame
+
+
+def _search(docs: DataFrame, benchmark: DataFrame, text_column: str, item_text_column: str) -> _Search:
     items = benchmark.select(text_key(item_text_column).alias("item_key"), F.col(item_text_column).alias("text")).where("text is not null").dropDuplicates(["item_key"])
     items = written(items, "items")
     seeds = written(items.mapInArrow(_item_seeds, "item_key binary, seed bigint, item_at bigint, one bigint, two bigint"), "item-seeds")
@@ -189,12 +207,34 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item
     # equal texts have equal regions
     regions = written(found.groupBy("text_key", "region").agg(*[F.first(c).alias(c) for c in ("tokens", "starts", "ends", "hits")]), "regions")
     hits = regions.select("text_key", "region", F.explode("hits").alias("hit")).select("text_key", "region", "hit.seed", "hit.at")
-    met = hits.join(seeds.select("seed", "item_key", "item_at"), "seed").select("text_key", "region", "item_key", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     tokens = items.mapInArrow(_item_tokens, "item_key binary, item binary")
-    pairs = written(met, "hits").join(regions.drop("hits"), ["text_key", "region"]).join(written(tokens, "item-tokens"), "item_key")
-    out = pairs.select("text_key", "item_key", "tokens", "starts", "ends", "item", "shift").mapInArrow(_verify, "text_key binary, item_key binary, start bigint, `end` bigint, tokens bigint, equal bigint")
-    best = F.max(F.struct("equal", "tokens", -F.col("start"), "start", "end")).alias("best")
-    return written(out.groupBy("text_key", "item_key").agg(best).select("text_key", "item_key", "best.start", "best.end", "best.tokens", "best.equal"), "leaks")
+    return _Search(seeds, written(tokens, "item-tokens"), regions, hits)
+
+
+def _confirmed(search: _Search, met: DataFrame) -> DataFrame:
+    """The overlaps among hits that have met an item's seed. met: text_key, region, at, item_key, item_at."""
+    shifts = met.select("text_key", "region", "item_key", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    pairs = written(shifts, "hits").join(search.regions.drop("hits"), ["text_key", "region"]).join(search.items, "item_key")
+    return pairs.select("text_key", "item_key", "tokens", "starts", "ends", "item", "shift").mapInArrow(_verify, "text_key binary, item_key binary, start bigint, `end` bigint, tokens bigint, equal bigint")
+
+
+def leaking_texts(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_text_column: str = "text") -> DataFrame:
+    """(text_key): the texts of `docs` that overlap any item, by the rule of :func:`leaks`, each once.
+
+    Each seed is first compared with the least of the items that hold it, which
+    settles texts that share a phrase of many items; only texts that this leaves
+    open meet all items of their seeds. So a phrase in every item does not make
+    a pair for each text and item.
+    """
+    search = _search(docs, benchmark, text_column, item_text_column)
+    least = search.seeds.groupBy("seed").agg(F.min(F.struct("item_key", "item_at")).alias("least"), F.count("*").alias("n"))
+    least = written(least, "seed-items")
+    first = search.hits.join(least.select("seed", "least.item_key", "least.item_at"), "seed")
+    settled = written(_confirmed(search, first).select("text_key").distinct(), "leaking")
+    # a seed of one item has been compared with all it has
+    more = search.seeds.join(least.where("n > 1"), "seed").where(F.struct("item_key", "item_at") != F.col("least"))
+    still = search.hits.join(settled, "text_key", "left_anti").join(more.select("seed", "item_key", "item_at"), "seed")
+    return settled.unionAll(_confirmed(search, still).select("text_key").distinct())
 
 
 def leaked_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -207,5 +247,5 @@ def leaked_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, whose text (column text) overlaps no item; null texts stay."""
-    bad = written(leaks(docs, benchmark).select(F.col("text_key").alias("__leaked")).distinct(), "leaked")
-    return docs.withColumn("__key", text_key("text")).join(bad, F.col("__key") == F.col("__leaked"), "left_anti").drop("__key")
+    bad = written(leaking_texts(docs, benchmark).select(F.col("text_key").alias("__leaked")), "leaked")
+    return docs.join(bad, text_key("text") == F.col("__leaked"), "left_anti")
