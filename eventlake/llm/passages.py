@@ -3,7 +3,9 @@
 Every run of `PASSAGE` words hands on the least hash of its shorter runs of
 `GRAM` words (winnowing), about one value for seven words. Equal runs hand on
 equal values, so a run whose value occurs once in the table has no other copy.
-The rest are compared by a 64-bit hash of the whole run.
+The rest are compared by two independent 64-bit hashes of the whole run. Runs
+of a very frequent value are dealt out by document, compared in pieces first, and
+only the first of each piece are compared with one another.
 """
 
 from __future__ import annotations
@@ -12,16 +14,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.tables import bit_filter, in_filter, slices, text_column, text_key, with_fields, written
-from eventlake.llm.words import window_hashes, word_hashes
+from eventlake.llm.tables import bit_filter, in_filter, slices, text_column, with_fields, written
+from eventlake.llm.words import mix, window_hashes, word_hashes
 
 #: Words of the shortest repeat that is cut.
 PASSAGE = 25
 #: Words of the runs whose least hash stands for a passage.
 GRAM = 13
+#: A print at more places than this is hot; runs with a hot print are dealt out into so many pieces.
+HOT, PIECES = 2_000, 64
+#: Added to the words' hashes for the second hash of a run.
+CHECK = np.uint64(0x6A09E667F3BCC909)
 
 
 def _least_grams(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -52,8 +58,11 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.record_batch([pa.array(grams[least[np.concatenate(([True], least[1:] != least[:-1]))]].view(np.int64))], names=["print"])
 
 
-def _runs(seen: np.ndarray):
-    """(carried, run, at): the runs whose print may occur twice, by their hash, and the number of their first word."""
+def _runs(seen: np.ndarray, hot: np.ndarray):
+    """(carried, run, check, at, piece): the runs whose print may occur twice, by two hashes, and the number of their first word.
+
+    piece is 0, or for a print that may be hot one of 1 to PIECES by the document.
+    """
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,39 +74,69 @@ def _runs(seen: np.ndarray):
                 if not len(starts):
                     continue
                 new = np.concatenate(([True], least[1:] != least[:-1]))
-                starts = starts[in_filter(seen, grams[least[new]].view(np.int64))[np.cumsum(new) - 1]]
+                prints, print_of = grams[least[new]].view(np.int64), np.cumsum(new) - 1
+                shared = in_filter(seen, prints)[print_of]
+                starts, is_hot = starts[shared], in_filter(hot, prints)[print_of[shared]]
                 if not len(starts):
                     continue
                 ends = np.cumsum(counts)
                 row = np.searchsorted(ends, starts, side="right")
                 run = window_hashes(words, PASSAGE)[starts].view(np.int64)
-                at = starts - (ends - counts)[row]
+                check = window_hashes(mix(words + CHECK), PASSAGE)[starts].view(np.int64)
+                at = (starts - (ends - counts)[row]).astype(np.int32)
                 rows = pa.array(row + first)
-                yield pa.record_batch([*[batch.column(c).take(rows) for c in carried], pa.array(run), pa.array(at)], names=[*carried, "run", "at"])
+                own = batch.column("own").take(rows)
+                piece = np.where(is_hot, 1 + (own.to_numpy().view(np.uint64) % np.uint64(PIECES)).astype(np.int32), 0).astype(np.int32)
+                yield pa.record_batch([*[batch.column(c).take(rows) for c in carried], pa.array(run), pa.array(check), pa.array(at), pa.array(piece)], names=[*carried, "run", "check", "at", "piece"])
 
     return runs
 
 
+def _own() -> Column:
+    """64 bits of a text, which tell apart the texts of one doc_id."""
+    return F.xxhash64(F.col("text").cast("binary"))
+
+
+def _with_first(runs: DataFrame, keys: list[str]) -> DataFrame:
+    """The runs with `same`, whether the first one of their `keys` lies in the same document, and `over`, whether they overlap it there.
+
+    Runs are shuffled once and pass by in order, whatever number of copies they have.
+    """
+    copies = Window.partitionBy(*keys).orderBy(F.col("doc_id").asc_nulls_last(), "own", "at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = runs.withColumn("first", F.first(F.struct("doc_id", "own", "at")).over(copies))
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("own") == F.col("first.own"))
+    return met.withColumn("over", same & (F.col("at") < F.col("first.at") + PASSAGE)).drop("first")
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, at of each run of PASSAGE words that an equal run comes before; at is the number of its first word.
+    """doc_id, own, at of each document with runs of PASSAGE words that an equal run comes before.
+
+    own is 64 bits of the text, at the numbers of the runs' first words, each once and in order.
 
-    A document that stands in several rows has its runs as often.
+    Runs come in the order of doc_id (null ids last), then of `own`, then of their
+    words. Rows with the same id and text are one document. A run that overlaps
+    its own first copy stays, so a word said again and again is not lost.
 
-    Runs come in the order of doc_id (null ids last), then of the text's own
-    key, then of their words. Rows with the same id and text are one document. A
-    run that overlaps its own first copy stays, so a word said again and again
-    is not lost.
+    A hot run has a first copy in each of PIECES pieces, dealt by document. What
+    is not that first copy, and does not overlap it, has an earlier copy and is
+    settled; the others, at most PASSAGE for each piece of a run, are compared
+    once more over all pieces.
     """
-    texts = docs.where("text is not null").select("doc_id", text_key("text").alias("text_key"), F.col("text").alias("__text"))
+    texts = docs.where("text is not null").select("doc_id", _own().alias("own"), F.col("text").alias("__text"))
     prints = texts.select("__text").mapInArrow(_prints, "print bigint")
-    shared = written(prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"), "shared-prints")
-    carried = ["doc_id", "text_key"]
-    runs = texts.mapInArrow(_runs(bit_filter(shared)), with_fields(texts, carried, "run bigint, at bigint"))
-    # runs are shuffled once and pass by in order, whatever number of copies they have
-    copies = Window.partitionBy("run").orderBy(F.col("doc_id").asc_nulls_last(), "text_key", "at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    met = runs.withColumn("first", F.first(F.struct("doc_id", "text_key", "at")).over(copies))
-    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
-    return met.where(~(same & (F.col("at") < F.col("first.at") + PASSAGE))).select("doc_id", "text_key", "at")
+    shared = written(prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1"), "shared-prints")
+    seen, hot = bit_filter(shared.select("print")), bit_filter(shared.where(F.col("n") > HOT).select("print"))
+    carried = ["doc_id", "own"]
+    runs = texts.mapInArrow(_runs(seen, hot), with_fields(texts, carried, "run bigint, check bigint, at int, piece int"))
+    met = _with_first(runs, ["run", "check", "piece"]).where("not over or piece > 0")
+    settled, left = F.when(~F.col("over"), F.col("at")), F.when(F.col("over"), F.struct("run", "check", "at"))
+    found = met.groupBy(*carried).agg(F.collect_set(settled).alias("at"), F.collect_set(left).alias("left"))
+    found = written(found, "repeated")
+    # the firsts of all pieces of the hot runs
+    firsts = _with_first(found.select(*carried, F.explode("left").alias("run")).select(*carried, "run.*"), ["run", "check"])
+    late = firsts.where("not over").groupBy(*carried).agg(F.collect_set("at").alias("at"))
+    both = found.select(*carried, "at").where(F.size("at") > 0).unionAll(late)
+    return both.groupBy(*carried).agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at"))
 
 
 def _cut(data: bytes, at: list[int]) -> tuple[bytes, list[dict]]:
@@ -143,11 +182,10 @@ def without_passages(docs: DataFrame, removed_column: str | None = None) -> Data
     is one repeat becomes empty. `docs` is read three times: it should be a
     written table. Empty tables stay empty.
     """
-    own = F.struct("doc_id", "text_key")
-    lists = repeated_passages(docs).groupBy(F.xxhash64(own).alias("__place"), own.alias("__own")).agg(F.sort_array(F.collect_set("at")).alias("__at"))
+    lists = repeated_passages(docs).select(F.col("doc_id").alias("__id"), F.col("own").alias("__own"), F.col("at").alias("__at"))
     lists = written(lists, "passages")
-    keyed = docs.withColumn("__own_row", F.struct(F.col("doc_id"), text_key("text").alias("text_key")))
-    joined = keyed.hint("merge").join(lists, F.xxhash64("__own_row").eqNullSafe(F.col("__place")) & F.col("__own_row").eqNullSafe(F.col("__own")), "left")
+    # repeated ids and null ones are told apart by their texts
+    joined = docs.hint("merge").join(lists, (_own() == F.col("__own")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left")
     rows = joined.select(*docs.columns, "__at")
     cut = rows.mapInArrow(_without([*docs.columns, "__cuts"]), with_fields(rows, docs.columns, "__cuts array<struct<start:bigint,end:bigint>>"))
     return cut.withColumnRenamed("__cuts", removed_column) if removed_column else cut.drop("__cuts")

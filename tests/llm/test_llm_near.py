@@ -5,9 +5,11 @@ import re
 from collections import defaultdict
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpus_pipeline import off_the_benchmark
+from eventlake.llm import passages
 from eventlake.llm.components import components
 from eventlake.llm.minhash import TEXTS, _agreeing, _Parts, similar_documents, without_near_duplicates
 from eventlake.llm.paragraphs import LINES, repeated_paragraphs, without_repeats
@@ -173,8 +175,10 @@ def plain_passages(docs):
     return out
 
 
-def test_passages_below_and_across_lines(spark):
+@pytest.mark.parametrize("hot", [passages.HOT, 1])
+def test_passages_below_and_across_lines(spark, monkeypatch, hot):
     """A passage in the middle of long lines, one wrapped at 8 words, and one in part only."""
+    monkeypatch.setattr(passages, "HOT", hot)
     long, wrapped = words(1, 60), words(2, 60)
     lines = "\n".join(" ".join(wrapped[i : i + 8]) for i in range(0, 60, 8))
     rows = [(i, " ".join(words(10 + i, 150) + long + words(50 + i, 150))) for i in range(3)]
@@ -197,7 +201,9 @@ def test_passages_below_and_across_lines(spark):
     assert without_passages(docs).schema == docs.schema
 
 
-def test_passages_match_brute_force(spark, nothing):
+@pytest.mark.parametrize("hot", [passages.HOT, 1])
+def test_passages_match_brute_force(spark, nothing, monkeypatch, hot):
+    monkeypatch.setattr(passages, "HOT", hot)  # at 1 every shared run goes by pieces
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text is not null")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     assert {r.doc_id: WORD.findall(r.text) for r in without_passages(docs).collect()} == plain_passages(rows)
