@@ -169,6 +169,22 @@ def test_leaks_against_brute_force(spark):
     assert decontaminate.leaked_documents(frame.where("false"), bench).count() == 0
 
 
+def test_a_phrase_of_all_items(spark):
+    """Texts with it are told by one item; those that only another item tells are still found."""
+    phrase = [f"p{i}" for i in range(11)]
+    items = [(i, " ".join([f"a{i}x{k}" for k in range(6)] + phrase + [f"b{i}x{k}" for k in range(6)])) for i in range(40)]
+    docs = [(d, " ".join([f"c{d}x{k}" for k in range(9)] + phrase + [f"d{d}x{k}" for k in range(9)])) for d in range(60)]
+    # too little of the phrase, but more of one item
+    docs += [(100 + i, " ".join([f"q{i}"] * 5 + items[i][1].split()[: 6 + i % 9] + [f"r{i}"] * 5)) for i in range(40)]
+    bench, frame = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    expected = {d for d, _ in plain_leaks(docs, items)}
+    assert len(expected) > 60 and len(expected) < 100
+    left = decontaminate.without_leaks(frame.withColumn("__key", F.lit(1)), bench)
+    assert left.columns == ["doc_id", "text", "__key"]
+    assert {r.doc_id for r in left.collect()} == {d for d, _ in docs} - expected
+    assert {r.doc_id for r in decontaminate.leaked_documents(frame, bench).collect()} == expected
+
+
 def test_filter_has_no_false_negatives(spark):
     values = spark.range(3000).select(F.xxhash64("id").alias("v"))
     seen = bit_filter(values)
@@ -180,10 +196,21 @@ def test_filter_has_no_false_negatives(spark):
 
 def test_every_query_has_whole_results(spark):
     n = spark.read.parquet(f"{SMALL}/documents.parquet").count()
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
     for name in ("op1_paragraph_dedup", "op2_ppm_language_id", "op3_crf_toxicity", "op4_rendezvous_sharding", "op6_minhash_near_dedup", "op9_byte_bpe", "op10_weak_label_quality"):
         rows = QUERIES[name](spark, SMALL).select("doc_id").collect()
         assert len(rows) == n == len({r.doc_id for r in rows}), name
+    ids = {r.doc_id for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id").collect()}
+    vectors = {r.vec_id for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id").collect()}
+    nearest_rows = QUERIES["op8_branch_and_bound_top_k"](spark, SMALL).collect()
+    assert {r.query_id for r in nearest_rows} == {v for v in vectors if v % 50 == 0} and {r.vec_id for r in nearest_rows} <= vectors
+
+
+def test_leak_query_against_brute_force(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    got = QUERIES["op5_spaced_seed_decontamination"](spark, SMALL).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == plain_leaks(docs, items) and len(got) > 0
 
 
 def test_entry_has_them():
