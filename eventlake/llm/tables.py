@@ -17,6 +17,7 @@ from eventlake.sources.paths import remove
 #: Bytes of text that NumPy code works on at a time; one longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
 BATCH_CONF, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+BYTES_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,12 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Batches of BATCH_ROWS rows between Spark and Python, unless the session has a number of its own.
+    """Batches of BATCH_ROWS rows and about BATCH_BYTES between Spark and Python, unless the session has numbers of its own.
 
-    Spark's default of 10,000 whole texts can be more than a worker's memory.
+    Spark's defaults, 10,000 rows and 64 MB, are held on both sides by every task.
     """
     if spark.conf.get(BATCH_CONF) == "10000":
         spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
+    if spark.conf.get(BYTES_CONF) in ("67108864b", "64MB"):
+        spark.conf.set(BYTES_CONF, f"{BATCH_BYTES}b")
 
 
 _made: list[str] | None = None
