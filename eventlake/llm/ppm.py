@@ -25,7 +25,7 @@ from eventlake.llm.tables import slices, text_column, with_fields, written
 ORDER = 4
 #: Documents per language that the statistics are gathered from, on average; fewer if there are fewer.
 FIT_ROWS = 6_000
-#: Contexts of the tree at most; every language has the same share of them for its own most frequent ones.
+#: Contexts of the tree at most, dealt out in turn: every language has an equal share at least for its own most frequent ones.
 CONTEXTS = 12_000
 #: The symbol before the first byte of a text; no UTF-8 text holds this byte.
 BEFORE = 0xFF
@@ -95,9 +95,9 @@ def gram_counts(rows: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
 def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, contexts: int = CONTEXTS) -> Model:
     """The frozen model of `rows` (text, lang; none null).
 
-    The counts are made on the executors. All languages are learnt, each with an
-    equal share of `contexts` for its own most frequent contexts (the shorter
-    first among equals, so a context comes with its shorter ones); the driver
+    The counts are made on the executors. All languages are learnt; each in turn
+    adds its next most frequent context (the shorter first among equals, so a
+    context comes with its shorter ones) until there are `contexts`. The driver
     takes those and their followers only. Without rows the model has no language.
     """
     grams = gram_counts(rows, fit_rows)
@@ -113,10 +113,10 @@ def fit(rows: DataFrame, fit_rows: int = FIT_ROWS, contexts: int = CONTEXTS) ->
         one = grams.select("lang", context, symbol, "n").groupBy("context", "lang", "symbol").agg(F.sum("n").alias("n"))
         followed = one if followed is None else followed.unionAll(one)
     followed = written(followed, "followers")
-    share = max(1, contexts // max(1, len(languages)))
     of_language = Window.partitionBy("lang").orderBy(F.desc("n"), "context")
     ranked = followed.groupBy("context", "lang").agg(F.sum("n").alias("n")).withColumn("place", F.row_number().over(of_language))
-    frequent = ranked.where(F.col("place") <= share).select("context").distinct()
+    # all languages' first contexts, then all their second ones: those that they share leave room for more
+    frequent = ranked.where(F.col("place") <= contexts).groupBy("context").agg(F.min("place").alias("place")).orderBy("place", "context").limit(contexts).select("context")
     kept = followed.join(F.broadcast(written(frequent, "contexts")), "context").select("context", "lang", "symbol", "n").toArrow()
     columns = [kept.column(c).to_numpy() for c in ("context", "lang", "symbol", "n")]
     return _freeze(languages, columns[0], columns[1] - 1, columns[2], columns[3])
