@@ -12,6 +12,7 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -36,6 +37,8 @@ FAN_IN = 16
 SHARD_CHUNKS = 4096
 #: Characters of a text that are aligned at a time.
 PIECE = 1 << 20
+#: Ids of words that a task remembers, of both kinds together; it begins anew beyond them.
+REMEMBERED = 4 << 20
 #: Links of a group up to which they are listed one by one.
 GROUP_LINKS = 4096
 
@@ -51,7 +54,7 @@ PRE_TOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 LONG_SPACE = re.compile(r"\s{1000,}")
 #: A space between two other characters. No token of either kind reaches over the place before it:
 #: the first kind's pre-tokens begin there, the second kind's pieces have their space in front.
-CUT = re.compile(r"(?<=\S) (?=\S)")
+CUT = re.compile(r" (?<=\S )(?=\S)")
 
 
 # Tokenizers
@@ -89,6 +92,7 @@ class Tokenizers:
         self.a_lengths[list(self.a_bytes)] = [len(raw) for raw in self.a_bytes.values()]
         self.b_lengths = np.array([len(raw) for raw in self.b_bytes], np.int64)
         self.id_type = np.uint16 if max(len(self.a_lengths), len(names)) <= 1 << 16 else np.uint32
+        self.words = Words(self)
         #: What ids look like before a comma, and before what ends their kind's part of a group.
         self.shown = [f"{k}{end}" for size, ends in ((len(self.a_lengths), ",|"), (len(names), ",;")) for k in range(size) for end in ends]
 
@@ -108,6 +112,60 @@ class Tokenizers:
         return a, np.array(b, np.int64)
 
 
+class Words:
+    """The ids of every word met so far: what lies between two cuts has the same ids wherever it stands."""
+
+    def __init__(self, own: Tokenizers) -> None:
+        self._own = own
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known: dict[str, int] = {}
+        self._ids, self._ends = (array("q"), array("q")), (array("q", [0]), array("q", [0]))
+
+    def numbers(self, text: str) -> np.ndarray | None:
+        """The numbers of a text's words, good until the next call; none if either kind's bytes are not the text after a space."""
+        if sum(map(len, self._ids)) > REMEMBERED:
+            self._forget()
+        words = CUT.split(text)
+        which = [*map(self._known.get, words)]
+        if None in which:
+            if not self._learn([w for w in dict.fromkeys(words) if w not in self._known]):
+                return None
+            which = [*map(self._known.__getitem__, words)]
+        return np.array(which, np.int64)
+
+    def _learn(self, new: list[str]) -> bool:
+        """Encodes new words as one text; those with white space at an end, where a cut would be elsewhere, alone."""
+        plain = [w for w in new if w and w.strip() == w]
+        for words in [plain, *([w] for w in new if not w or w.strip() != w)]:
+            if not words:
+                continue
+            both = self._own.encode(" ".join(words))
+            if both is None:
+                return False
+            # a word and the space before it
+            until = np.cumsum([len(w.encode()) + 1 for w in words])
+            for ids, ends, more, lengths in zip(self._ids, self._ends, both, (self._own.a_lengths, self._own.b_lengths), strict=True):
+                at = np.searchsorted(np.cumsum(lengths[more]), until, side="right") + len(ids)
+                ids.frombytes(more.tobytes())
+                ends.frombytes(at.astype(np.int64).tobytes())
+            self._known.update(zip(words, range(len(self._known), len(self._known) + len(words)), strict=True))
+        return True
+
+    def ids(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of both kinds of the words of these numbers, one after another."""
+        a, b = (_rows(ids, ends, which) for ids, ends in zip(self._ids, self._ends, strict=True))
+        return a, b
+
+
+def _rows(flat: array, ends: array, which: np.ndarray) -> np.ndarray:
+    """The rows of these numbers, row k lying from ends[k] to ends[k + 1]."""
+    end = np.frombuffer(ends, np.int64)
+    begin, size = end[which], end[which + 1] - end[which]
+    return np.frombuffer(flat, np.int64)[np.repeat(begin - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
+
+
 def _in_order(byte_level: str) -> bool:
     with open(byte_level, encoding="utf-8") as file:
         model = json.load(file)["model"]
@@ -194,10 +252,18 @@ def tokenizers(byte_level: str, pieces: str) -> Tokenizers:
 # Counts over the corpus
 
 
-def encoded(text: str | None, own: Tokenizers) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Ids of both kinds of each piece of a text; an empty list without tokens."""
-    pieces = [own.encode(piece) for piece in pieces_of(text)] if text else []
-    return [] if None in pieces else pieces
+def encoded(text: str | None, own: Tokenizers) -> list[tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]]:
+    """Ids of both kinds of each piece of a text, and of its distinct words; an empty list without tokens.
+
+    No group reaches over a cut, so the distinct words have all the links' pairs.
+    """
+    out = []
+    for piece in pieces_of(text) if text else ():
+        which = own.words.numbers(piece)
+        if which is None:
+            return []
+        out.append((own.words.ids(which), own.words.ids(np.unique(which))))
+    return out
 
 
 def _counted(byte_level: str, pieces: str, schema: StructType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -217,9 +283,9 @@ def _counted(byte_level: str, pieces: str, schema: StructType) -> Callable[[Iter
                 whole = text.as_py()
                 if whole not in seen:  # equal texts of a chunk are worked out once
                     ids, aligned = encoded(whole, own), Alignment(own)
-                    for a, b in ids:
-                        aligned.add(a, b, show=False)
-                    seen[whole] = [(a.astype(own.id_type).tobytes(), b.astype(own.id_type).tobytes()) for a, b in ids] or [(None, None)], aligned.keys
+                    for _, words in ids:
+                        aligned.add(*words, show=False)
+                    seen[whole] = [(a.astype(own.id_type).tobytes(), b.astype(own.id_type).tobytes()) for (a, b), _ in ids] or [(None, None)], aligned.keys
                 pieces_seen, keys = seen[whole]
                 made += [(place, chunk, rows, piece, *both) for piece, both in enumerate(pieces_seen)]
                 held.append(keys)

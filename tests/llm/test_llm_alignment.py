@@ -85,23 +85,28 @@ def rows_of(frame):
     return sorted((r.doc_id, *r[1:8]) for r in frame.collect())
 
 
-@pytest.mark.parametrize("piece", [1 << 20, 40])
-def test_odd_texts(spark, plain, odd_texts, monkeypatch, piece):
+@pytest.mark.parametrize("piece, remembered", [(1 << 20, alignment.REMEMBERED), (40, alignment.REMEMBERED), (40, 100)])
+def test_odd_texts(spark, plain, odd_texts, monkeypatch, piece, remembered):
     texts = odd_texts
     wanted = sorted((k, *row) for k, row in enumerate(expected(plain, texts)))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     # pieces are cut and links listed in the workers, which take these from the driver's closure only
     own = alignment.tokenizers(BYTE_LEVEL, PIECES)
     monkeypatch.setattr(alignment, "PIECE", piece)
+    monkeypatch.setattr(alignment, "REMEMBERED", remembered)
     monkeypatch.setattr(alignment, "GROUP_LINKS", 4096 if piece > 40 else 2)
     for text in texts:
         found, each = alignment.encoded(text, own), plain(text)
         assert bool(found) == (each is not None)
         if found:
             whole = alignment.Alignment(own)
-            shown = [whole.add(a, b, show=True) for a, b in found]
+            shown = [whole.add(*ids, show=True) for ids, _ in found]
             assert (tuple(whole.numbers.tolist()), ";".join(shown)) == each[:2]
             assert dict(zip([(k >> 32, k & 0xFFFFFFFF) for k in whole.keys.tolist()], whole.times.tolist(), strict=True)) == dict(each[2])
+            words = alignment.Alignment(own)
+            for _, ids in found:
+                words.add(*ids, show=False)
+            assert words.keys.tolist() == whole.keys.tolist()
             assert whole.digest == hashlib.sha256(each[1].encode()).hexdigest()
     if piece > 40:
         assert rows_of(align_documents(docs, BYTE_LEVEL, PIECES)) == wanted
