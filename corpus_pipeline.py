@@ -21,8 +21,10 @@ from eventlake.llm.tables import drop_unused, scratch, table, written
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the table's own labels teach.
 
-    Rejected are texts without a letter (null and empty ones too) and those
-    whose likeliest language has a posterior below one half. If no row has a
+    Rejected are texts without a letter (null and empty ones too), those whose
+    likeliest language has a posterior below one half, and those unlike all of
+    them: in the likeliest the code is longer than the plain bytes by more than
+    ppm.FOREIGN bits. Copies and repeated rows fare alike. If no row has a
     language, nothing can be recognised and only texts without a letter go.
     """
     model = ppm.fit(ppm.training_rows(docs, F.lit(True)))
@@ -30,13 +32,18 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         return docs.where(F.col("text").rlike(r"\p{L}"))
     # columns go by number meanwhile, as theirs may be named like the answers
     numbered = [f"column_{i}" for i in range(len(docs.columns))]
-    told = ppm.identify(docs.toDF(*numbered), model, numbered[docs.columns.index("text")], numbered)
-    sure = told.where((F.col("lang_pred") != "und") & (F.col("score") >= ppm.CERTAIN))
+    text = numbered[docs.columns.index("text")]
+    told = ppm.identify(docs.toDF(*numbered), model, text, numbered)
+    longer = (F.col("bits_per_byte") - 8) * F.octet_length(text)
+    sure = told.where((F.col("lang_pred") != "und") & (F.col("score") >= ppm.CERTAIN) & (longer <= ppm.FOREIGN))
     return sure.select(*numbered).toDF(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicate documents, the one with the least doc_id."""
+    """Of each group of near-duplicate documents, the one with the least doc_id; of rows that share it, one.
+
+    Null texts and texts without words are in no group and stay.
+    """
     return without_near_duplicates(docs)
 
 
@@ -60,7 +67,8 @@ def off_the_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents without a passage of a benchmark item, and of what they repeat word for word below or across lines only the first.
 
     The second comes after the first, so that items are looked for in whole
-    texts and no passage is kept only in a document that is taken out.
+    texts and no passage is kept only in a document that is taken out. Copies and
+    repeated rows leak alike; of equal passages the one in the least doc_id stays.
     """
     clean = written(without_leaks(docs, table(spark, sf_dir, "benchmark")), "no-leaks")
     return _counted(without_passages(clean))

@@ -31,6 +31,9 @@ CONTEXTS = 12_000
 BEFORE = 0xFF
 #: Scores below this are no certain language.
 CERTAIN = 0.5
+#: A text is in none of the languages if its code in the likeliest is this many bits longer than its bytes
+#: as they are. Numbers and keys in a short text come to some 110 bits, 20 letters of another script to more.
+FOREIGN = 256
 
 
 @dataclass(frozen=True)

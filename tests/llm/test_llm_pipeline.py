@@ -1,6 +1,7 @@
 """The pipeline's stages against a plain version of each on its own input."""
 
 import hashlib
+import random
 
 import tiktoken
 from pyspark.sql import functions as F
@@ -59,6 +60,25 @@ def test_stages_take_any_rows(spark, corpus, nothing):
     assert pipeline.known_language(spark, docs.withColumn("lang", F.lit(None).cast("string")), SMALL).count() > 0
 
 
+def test_other_languages_and_letters_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(2)
+    foreign = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+        "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+        " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(40)),
+    ]
+    first = docs.agg(F.max("doc_id")).first()[0] + 1
+    rows = [(first + k, text * times) for k, (text, times) in enumerate((t, n) for t in foreign for n in (1, 50))]
+    others = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id for r in pipeline.known_language(spark, docs.unionByName(others, allowMissingColumns=True), SMALL).select("doc_id").collect()}
+    assert not left & {d for d, _ in rows}
+    # of the given ones go only those too short to tell
+    gone = [r for r in docs.collect() if r.doc_id not in left]
+    assert all(len(r.text) < 20 for r in gone) and len(gone) < 0.002 * docs.count()
+
+
 def test_working_tables_go_when_they_are_done_with(spark):
     """Those that a result not yet written reads are kept; the others go as the next stage begins."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
