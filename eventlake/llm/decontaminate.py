@@ -39,7 +39,7 @@ def allowed(tokens: int) -> int:
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    hashes, counts, starts, ends = letter_tokens(data, offsets, (), 1)
+    hashes, counts, starts, ends = letter_tokens(data, offsets, (), 1, scripts=True)
     return np.ascontiguousarray(hashes[:, 0]), counts, starts, ends
 
 
@@ -176,7 +176,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item
 
     Keys are the texts' own (see `text_key`); start and end are character
     offsets of the text; equal of its `tokens` tokens are the item's. Tokens are
-    runs of letters and digits, lower-cased in A-Z. An overlap is a leak from 13
+    runs of letters and digits, lower-cased in A-Z, and single characters of
+    scripts without spaces. An overlap is a leak from 13
     aligned tokens with at most two substituted, or a whole shorter item with
     one in six; items of fewer than 8 tokens are not looked for. Null and empty
     texts, on either side, and an empty table give no rows.

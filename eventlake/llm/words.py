@@ -138,22 +138,60 @@ _TOKEN[48:58] = _TOKEN[65:91] = _TOKEN[97:123] = True
 _TOKEN[128:] = True
 
 
-def letter_tokens(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...], suffix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of runs of letters, one column each for the run, its first bytes and its last; as `word_hashes` otherwise."""
+#: Code points of scripts that are written without spaces (Thai and Lao, Myanmar, Khmer, kana, Han),
+#: and of punctuation and spaces beyond ASCII.
+SPACELESS = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF))
+MARKS = ((0x80, 0xA9), (0xAB, 0xB4), (0xB6, 0xB9), (0xBB, 0xBF), (0x2000, 0x206F), (0x3000, 0x303F), (0xFF00, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+
+
+def _among(points: np.ndarray, ranges: tuple[tuple[int, int], ...]) -> np.ndarray:
+    edges = np.array([x for first, last in ranges for x in (first, last + 1)])
+    return np.searchsorted(edges, points, side="right") % 2 == 1
+
+
+def beyond_ascii(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of UTF-8 bytes: which belong to MARKS; and first byte and end of each character of the SPACELESS scripts."""
+    mark = np.zeros(len(data), bool)
+    starts, ends = [], []
+    for least, most, size in ((0xC2, 0xC2, 2), (0xE0, 0xEF, 3), (0xF0, 0xF4, 4)):
+        at = np.flatnonzero((data >= least) & (data <= most))
+        point = data[at].astype(np.int64) & (0xFF >> size + 1)
+        for k in range(1, size):
+            point = point << 6 | data[at + k] & 0x3F
+        marks, alone = at[_among(point, MARKS)], at[_among(point, SPACELESS)]
+        for k in range(size):
+            mark[marks + k] = True
+        starts.append(alone)
+        ends.append(alone + size)
+    return mark, np.concatenate(starts), np.concatenate(ends)
+
+
+def letter_tokens(data: np.ndarray, offsets: np.ndarray, prefixes: tuple[int, ...], suffix: int, scripts: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of runs of letters, one column each for the run, its first bytes and its last; as `word_hashes` otherwise.
+
+    With `scripts`, MARKS part runs and a character of the SPACELESS scripts is a run of its own.
+    """
     width = 2 + len(prefixes)
     none = np.zeros(0, np.int64)
     word = _TOKEN[data]
+    parted = none
+    if scripts:
+        mark, first, end = beyond_ascii(data)
+        word = word & ~mark
+        parted = np.concatenate((first, end[end < len(data)]))
     before = np.empty_like(word)
     if len(word):
         before[0], before[1:] = False, word[:-1]
         inner = offsets[1:-1]
         before[inner[inner < len(data)]] = False
+        before[parted] = False
     starts = np.flatnonzero(word & ~before)
     if not len(starts):
         return np.zeros((0, width), np.uint64), np.zeros(len(offsets) - 1, np.int64), none, none
     after = np.empty_like(word)
     after[-1], after[:-1] = False, word[1:]
     after[inner[inner > 0] - 1] = False
+    after[parted[parted > 0] - 1] = False
     ends = np.flatnonzero(word & ~after) + 1
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[_LOWER[data]] * _power(_BASE, len(data)), out=sums[1:])

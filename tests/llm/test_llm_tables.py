@@ -3,6 +3,7 @@
 import hashlib
 import importlib
 import math
+import random
 import re
 import sys
 import zlib
@@ -19,6 +20,7 @@ from eventlake.llm.queries import ORACLES, QUERIES
 from eventlake.llm.sharding import rendezvous_shard, shard_documents, slots
 from eventlake.llm.tables import bit_filter, in_filter
 from eventlake.llm.topk import branch_and_bound, nearest
+from eventlake.llm.words import MARKS, SPACELESS, letter_tokens
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -117,7 +119,35 @@ def test_masks_miss_nothing():
 
 
 def tokens(text):
-    return re.findall("[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]+", lambda m: m.group().lower(), text or ""))
+    alone, marks = ("".join(f"{chr(a)}-{chr(b)}" for a, b in ranges) for ranges in (SPACELESS, MARKS))
+    return re.findall(f"[{alone}]|(?:(?![{alone}{marks}])[0-9a-z\x80-\U0010ffff])+", re.sub("[A-Z]+", lambda m: m.group().lower(), text or ""))
+
+
+def test_tokens_of_all_scripts():
+    rng = random.Random(6)
+    marks = ["a", "Bc", "é", "日", "本", "ไทย", "한국", "ж", "“", "”", "\u00a0", "、", "。", "!", "ｗ", "1", "º", "𠀀", "🙂", " ", ".", "\u2019", "ខ្មែរ", "မြန်", "カ", "\u3000"]
+    texts = ["".join(rng.choice(marks) for _ in range(rng.randrange(12))) for _ in range(400)] + ["", "日", "é日", "日é"]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    hashes, counts, starts, ends = letter_tokens(data, offsets, (), 1, scripts=True)
+    found = [re.sub("[A-Z]+", lambda m: m.group().lower(), bytes(data[a:b]).decode()) for a, b in zip(starts, ends, strict=True)]
+    assert found == [w for t in texts for w in tokens(t)] and counts.tolist() == [len(tokens(t)) for t in texts]
+    assert len({(w, int(h)) for w, h in zip(found, hashes[:, 0], strict=True)}) == len(set(found))
+
+
+def test_leaks_without_spaces(spark):
+    item = "人人生而自由在尊严和权利上一律平等他们赋有理性和良心"
+    thai = "มนุษย์ทั้งหลายเกิดมามีอิสระและเสมอภาคกัน"
+    changed = item[:5] + "吗" + item[6:]
+    docs = list(enumerate([f"前言后语。{item}。结束", f"“{changed}”", "人人都在学习中文和数学", thai, f"x {thai[:20]} y", item[:13], item[:9] + "\n", "“Quoted”\u00a0words, that’s all", None, ""]))
+    items = [(1, item), (2, f"{thai}"), (3, "quoted words that s all of one short item here")]
+    expected = plain_leaks(docs, items)
+    assert {(0, 1), (1, 1), (3, 2), (4, 2), (5, 1)} == expected
+    frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.leaked_documents(frame, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == expected
+    (first,) = [r for r in got if r.doc_id == 0]
+    assert docs[0][1][first.start : first.end] == item
 
 
 def plain_leaks(docs, items):
