@@ -1,0 +1,27 @@
+"""Rows dealt out by their number: what one task holds grows neither with the table nor with its row groups."""
+
+from functools import partial
+
+import pytest
+from conftest import multiset
+
+from eventlake.operators.physical import spread_by_rows, tasks_of
+from eventlake.plans import training
+
+
+def test_rows_are_dealt_out_by_their_number(spark):
+    rows = spark.range(0, 1001, 1, 1)
+    cores = spark.sparkContext.defaultParallelism
+    assert tasks_of(rows, 100) == 11 and tasks_of(rows.where("id < 0"), 100) == 1
+    assert spread_by_rows(rows, 1001).rdd.getNumPartitions() == 1
+    sizes = spread_by_rows(rows, 40).rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert len(sizes) == max(26, cores) and max(sizes) <= 50 and sum(sizes) == 1001
+
+
+@pytest.mark.parametrize("estimator", [training.random_forest, training.boosted_trees])
+def test_tree_learners_hold_rows_in_bounded_parts(spark, events, estimator, monkeypatch):
+    monkeypatch.setattr(training, "spread_by_rows", partial(spread_by_rows, rows_per_task=100), raising=False)
+    seen = []
+    monkeypatch.setattr(training.Pipeline, "fit", lambda self, rows: seen.append(rows))
+    training.fit(events.coalesce(1), estimator())
+    assert seen[0].rdd.getNumPartitions() == 20 and multiset(seen[0]) == multiset(events)
