@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.tables import written
+from eventlake.llm.tables import alone, written
 
 
 def _least(edges: DataFrame, rows: int) -> DataFrame:
@@ -43,6 +43,10 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     links. Every round is a table in the shared folder. Links with a null end
     and links of a node to itself count nothing; without links the result is empty.
     """
+    return alone(lambda: _components(links, name))
+
+
+def _components(links: DataFrame, name: str) -> DataFrame:
     rows = links.count()
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), name, rows)
     while not _settled(edges):

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.components import components
-from eventlake.llm.tables import bit_filter, in_filter, slices, text_column, text_key, with_fields, written
+from eventlake.llm.tables import alone, bit_filter, in_filter, slices, text_column, text_key, with_fields, written
 from eventlake.llm.words import common, distinct_sorted, line_offsets, mix, sequence_keys, shingle_hashes, word_hashes
 
 #: Members of a block, on average.
@@ -365,7 +365,7 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text_column: s
     """
     named = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     signed = signed_units(named, TEXTS, ["id"])
-    roots = component_of_keys(similar_links(signed, named, TEXTS, percent))
+    roots = alone(lambda: component_of_keys(similar_links(signed, named, TEXTS, percent)))
     classes = signed.groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.count("*").alias("rows"))
     classes = written(classes.join(roots, "key", "left"), "classes")
     lowest = written(classes.where("root is not null").groupBy("root").agg(F.min("id").alias("lowest")), "lowest")
@@ -386,7 +386,7 @@ def without_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """
     named = docs.select(F.col("doc_id").alias("id"), text_key("text").alias("text_key"), "text")
     signed = signed_units(named, TEXTS, ["id", "text_key"])
-    roots = component_of_keys(similar_links(signed, named, TEXTS, percent))
+    roots = alone(lambda: component_of_keys(similar_links(signed, named, TEXTS, percent)))
     place = F.struct(F.col("id").isNull().alias("bare"), "id", "text_key").alias("place")
     first = signed.select("key", place).groupBy("key").agg(F.min("place").alias("place")).join(roots, "key", "left")
     first = written(first.select("key", F.coalesce("root", "key").alias("root"), "place"), "first-of-key")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.minhash import Banding, component_of_keys, signed_units, similar_links
-from eventlake.llm.tables import text_key, written
+from eventlake.llm.tables import alone, text_key, written
 
 #: Bands of three minima: a pair at a similarity of 0.75 shares none with a probability of 0.0014, at 0.85 of 0.00001.
 #: Shorter paragraphs than ten words (headings, greetings, captions) may repeat.
@@ -27,7 +27,7 @@ def repeated_paragraphs(docs: DataFrame, percent: int = 75, banding: Banding = L
     """
     named = docs.select("doc_id", text_key("text").alias("text_key"), "text").where("text is not null")
     signed = signed_units(named, banding, ["doc_id", "text_key"])
-    roots = component_of_keys(similar_links(signed, named, banding, percent))
+    roots = alone(lambda: component_of_keys(similar_links(signed, named, banding, percent)))
     place = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "text_key", "no").alias("place")
     first = signed.select("key", place).groupBy("key").agg(F.min("place").alias("place"), F.count("*").alias("n"))
     # a paragraph that is alone, itself and its links, takes no further part
@@ -47,9 +47,13 @@ def without_repeats(docs: DataFrame, percent: int = 75, banding: Banding = LINES
     `removed_column`, a column of that name holds the numbers of the paragraphs
     removed. Empty tables stay empty.
     """
-    removed = repeated_paragraphs(docs, percent, banding)
-    own = F.struct("doc_id", "text_key")
-    lists = written(removed.groupBy(F.xxhash64(own).alias("__place"), own.alias("__own")).agg(F.sort_array(F.collect_set("no")).alias("__gone")), "removals")
+
+    def removals() -> DataFrame:
+        own, gone = F.struct("doc_id", "text_key"), F.sort_array(F.collect_set("no")).alias("__gone")
+        removed = repeated_paragraphs(docs, percent, banding)
+        return written(removed.groupBy(F.xxhash64(own).alias("__place"), own.alias("__own")).agg(gone), "removals")
+
+    lists = alone(removals)
     keyed = docs.withColumn("__own_row", F.struct(F.col("doc_id"), text_key("text").alias("text_key")))
     joined = keyed.hint("merge").join(lists, F.xxhash64("__own_row").eqNullSafe(F.col("__place")) & F.col("__own_row").eqNullSafe(F.col("__own")), "left")
     left = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(F.col("__gone"), i.cast("bigint")))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.tables import bit_filter, in_filter, slices, text_column, with_fields, written
+from eventlake.llm.tables import alone, bit_filter, in_filter, slices, text_column, with_fields, written
 from eventlake.llm.words import mix, window_hashes, word_hashes
 
 #: Words of the shortest repeat that is cut.
@@ -182,8 +182,8 @@ def without_passages(docs: DataFrame, removed_column: str | None = None) -> Data
     is one repeat becomes empty. `docs` is read three times: it should be a
     written table. Empty tables stay empty.
     """
-    lists = repeated_passages(docs).select(F.col("doc_id").alias("__id"), F.col("own").alias("__own"), F.col("at").alias("__at"))
-    lists = written(lists, "passages")
+    names = [F.col(name).alias(f"__{to}") for name, to in (("doc_id", "id"), ("own", "own"), ("at", "at"))]
+    lists = alone(lambda: written(repeated_passages(docs).select(*names), "passages"))
     # repeated ids and null ones are told apart by their texts
     joined = docs.hint("merge").join(lists, (_own() == F.col("__own")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left")
     rows = joined.select(*docs.columns, "__at")

@@ -16,7 +16,7 @@ from eventlake.llm.paragraphs import without_repeats
 from eventlake.llm.passages import without_passages
 from eventlake.llm.secrets import BASE_KINDS, count_of, find_secrets, joined
 from eventlake.llm.sharding import shard_documents, shard_sql
-from eventlake.llm.tables import in_fold, table, written
+from eventlake.llm.tables import alone, in_fold, table, written
 from eventlake.llm.topk import NEAREST_SQL, nearest
 from eventlake.llm.whitening import fit as fit_whitening
 from eventlake.llm.whitening import whiten
@@ -34,7 +34,8 @@ def op1_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed: numbers of the lines taken out; passages: bytes cut out of what they left.
     """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return without_passages(written(without_repeats(docs, removed_column="removed"), "lines-once"), "passages")
+    lines = alone(lambda: written(without_repeats(docs, removed_column="removed"), "lines-once"))
+    return without_passages(lines, "passages")
 
 
 def op2_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -60,6 +60,16 @@ def drop_unused(docs: DataFrame, paths: list[str]) -> list[str]:
     return kept
 
 
+def alone(make: Callable[[], DataFrame]) -> DataFrame:
+    """The written table that `make` returns; the working tables it was made from are removed."""
+    with scratch() as made:
+        result = make()
+    kept = drop_unused(result, made)
+    if _made is not None:
+        _made.extend(kept)
+    return result
+
+
 def written(df: DataFrame, name: str, rows: int | None = None, rows_per_task: int = 200_000) -> DataFrame:
     """The same rows, written to the shared folder and read back.
 
