@@ -532,7 +532,8 @@ def model_change_scores(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem", *LINE_KEYS, *LINE_FEATURES)
     rows = table(spark, sf_dir, "lineitem", *LINE_KEYS, *LINE_FEATURES, "l_returnflag")
     returned = rows.where("l_returnflag = 'R'").select(*LINE_FEATURES, deviation().alias(DEVIATION))
-    of_returned = training.fit(returned, training.linear_regression(DEVIATION), LINE_FEATURES)
+    with held(returned) as held_rows:  # fitting reads its input more than once
+        of_returned = training.fit(held_rows, training.linear_regression(DEVIATION), LINE_FEATURES)
     registry, start = ModelRegistry(spark, work_path(spark, "models")), datetime(2024, 1, 1)
     registry.publish(least_squares(spark, sf_dir), "LinearRegression", 1.0, start)
     outputs = [paths.output("predictions"), paths.output("alerts")]
