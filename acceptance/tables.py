@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.hashing import hash_bucket
 from eventlake.functions.once import fields_once
-from eventlake.operators.physical import held, spread
+from eventlake.operators.physical import held, spread, tasks_of
 from eventlake.plans.training import fit, linear_regression
 from eventlake.session import work_path
 from eventlake.sinks.publish import publish
@@ -28,9 +28,14 @@ MESSAGE_FILES = 8  # as a topic has partitions
 
 
 def published(spark: SparkSession, messages: DataFrame, path: str | None = None) -> str:
-    """A directory of text messages in several files, new or added to, for a stream to follow."""
+    """A directory of text messages in several files, new or added to, for a stream to follow.
+
+    Few messages are dealt out to files by a shuffle; many come in parts of
+    their own, which are written as they are.
+    """
     path = path or work_path(spark, "messages")
-    publish(spread(messages, MESSAGE_FILES), "text", path)
+    few = tasks_of(messages) <= MESSAGE_FILES
+    publish(spread(messages, MESSAGE_FILES) if few else messages, "text", path)
     return path
 
 
