@@ -23,13 +23,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.components import components
-from eventlake.llm.tables import alone, bit_filter, in_filter, slices, text_column, text_key, with_fields, written
-from eventlake.llm.words import common, distinct_sorted, line_offsets, mix, sequence_keys, shingle_hashes, word_hashes
+from eventlake.llm.tables import alone, bit_filter, in_filter, release, slices, text_column, text_key, with_fields, written
+from eventlake.llm.words import common, distinct_counts, distinct_sorted, line_offsets, mix, sequence_keys, shingle_hashes, word_hashes
 
 #: Members of a block, on average.
 BLOCK = 48
 #: Members whose blocks one task compares.
 BLOCK_ROWS = 5_000
+#: Pairs of members that are compared at a time.
+PAIRS = 1 << 16
 #: Bound of the number of minima.
 _MOST = 256
 
@@ -62,8 +64,9 @@ def minima(hashes: np.ndarray, counts: np.ndarray, number: int) -> np.ndarray:
     starts = np.cumsum(counts) - counts
     keys = hashes >> np.uint64(32)
     out = np.empty((len(counts), number), np.uint64)
+    values = np.empty_like(keys)
     for i in range(number):
-        values = keys * _A[i]
+        np.multiply(keys, _A[i], out=values)
         values += _B[i]
         out[:, i] = np.minimum.reduceat(values, starts)
     return out >> np.uint64(32)
@@ -94,7 +97,8 @@ class _Units:
     made: np.ndarray
 
 
-def _units(data: np.ndarray, offsets: np.ndarray, banding: Banding) -> _Units:
+def _units(data: np.ndarray, offsets: np.ndarray, banding: Banding, seen: np.ndarray | None = None) -> _Units:
+    """With `seen`, a `bit_filter` of first halves of keys, only the units whose key may be there; shingles are made for these alone."""
     if banding.lines:
         at, row, no = line_offsets(data, offsets)
     else:
@@ -104,8 +108,12 @@ def _units(data: np.ndarray, offsets: np.ndarray, banding: Banding) -> _Units:
     wanted = counts >= max(1, banding.least_words)
     if not wanted.all():
         words, counts, row, no = words[np.repeat(wanted, counts)], counts[wanted], row[wanted], no[wanted]
+    keys = sequence_keys(words, counts)
+    if seen is not None:
+        hit = in_filter(seen, np.ascontiguousarray(keys[:, 0]))
+        words, counts, row, no, keys = words[np.repeat(hit, counts)], counts[hit], row[hit], no[hit], keys[hit]
     hashes, made = shingle_hashes(words, counts)
-    return _Units(row, no, sequence_keys(words, counts), hashes, made)
+    return _Units(row, no, keys, hashes, made)
 
 
 def _signatures(banding: Banding):
@@ -118,14 +126,14 @@ def _signatures(banding: Banding):
                 if not len(units.row):
                     continue
                 least = minima(units.hashes, units.made, banding.minima)
-                ends = np.cumsum(units.made)
-                sizes = [len(distinct_sorted(units.hashes[e - m : e])) for e, m in zip(ends, units.made, strict=True)]
+                sizes = distinct_counts(units.hashes, units.made)
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(len(least) + 1, dtype=np.int32) * banding.bands), pa.array(_bands(least, banding).view(np.int64).ravel()))
                 rows = pa.array(units.row + first)
                 yield pa.record_batch(
                     [*[batch.column(c).take(rows) for c in carried], pa.array(units.no), _binary(units.keys), pa.array(sizes, pa.int64()), _binary(least.astype(np.uint8)), bands],
                     names=[*carried, "no", "key", "n", "sig", "bands"],
                 )
+        release()
 
     return signatures
 
@@ -149,6 +157,7 @@ def _colliding(seen: np.ndarray):
             hit = np.flatnonzero(in_filter(seen, flat))
             rows = hit // (len(flat) // batch.num_rows)
             yield pa.record_batch([pa.array(flat[hit]), batch.column("key").take(pa.array(rows))], names=["bucket", "key"])
+        release()
 
     return colliding
 
@@ -160,12 +169,12 @@ def _sets(banding: Banding, seen: np.ndarray):
         for batch in batches:
             data, offsets = text_column(batch.column("__text"))
             for first, end in slices(offsets):
-                units = _units(data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first], banding)
-                hit = np.flatnonzero(in_filter(seen, np.ascontiguousarray(units.keys[:, 0])))
-                if len(hit):
+                units = _units(data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first], banding, seen)
+                if len(units.row):
                     ends = np.cumsum(units.made)
-                    values = [distinct_sorted(units.hashes[ends[u] - units.made[u] : ends[u]]).tobytes() for u in hit]
-                    yield pa.record_batch([_binary(units.keys[hit]), pa.array(values, pa.binary())], names=["key", "shingles"])
+                    values = [distinct_sorted(units.hashes[e - m : e]).tobytes() for e, m in zip(ends, units.made, strict=True)]
+                    yield pa.record_batch([_binary(units.keys), pa.array(values, pa.binary())], names=["key", "shingles"])
+        release()
 
     return sets
 
@@ -201,8 +210,8 @@ def _agreeing(members: list[dict], parts: _Parts, least: float, percent: int) ->
         yield int(a[k]), int(b[k])
 
 
-def _links_of_blocks(least: float, percent: int, whole: bool = False):
-    """A maximum spanning forest of the agreeing pairs of each block; with `whole`, of those that are links on whole sets."""
+def _links_of_blocks(least: float, percent: int):
+    """A maximum spanning forest of the agreeing pairs of each block that are links on whole sets."""
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,22 +226,120 @@ def _links_of_blocks(least: float, percent: int, whole: bool = False):
                 for a, b in _agreeing(members, parts, least, percent):
                     if parts.top(a) == parts.top(b):
                         continue
-                    if whole:
-                        for m in (a, b):
-                            if m not in sets:
-                                sets[m] = np.frombuffer(members[m]["shingles"], np.uint64)
-                        both = common(sets[a], sets[b])
-                        if 100 * both < percent * (len(sets[a]) + len(sets[b]) - both):
-                            continue
+                    for m in (a, b):
+                        if m not in sets:
+                            sets[m] = np.frombuffer(members[m]["shingles"], np.uint64)
+                    both = common(sets[a], sets[b])
+                    if 100 * both < percent * (len(sets[a]) + len(sets[b]) - both):
+                        continue
                     parts.join(a, b)
                     x, y = sorted((members[a]["key"], members[b]["key"]))
                     left.append(x), right.append(y)
                 if left:
                     yield pa.record_batch([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+        release()
 
     return links
 
 
+def _fixed(column: pa.Array, width: int) -> np.ndarray:
+    """The values of a binary column without nulls, all of `width` bytes, as rows of a matrix."""
+    first = column.offset * width
+    return np.frombuffer(column.buffers()[2], np.uint8)[first : first + len(column) * width].reshape(-1, width)
+
+
+def _numbers(keys: np.ndarray) -> np.ndarray:
+    """A number for each row of 16 bytes, equal for equal rows and in their order."""
+    halves = keys.view(">u8").astype(np.uint64)
+    order = np.lexsort((halves[:, 1], halves[:, 0]))
+    halves = halves[order]
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.cumsum(np.concatenate(([False], (halves[1:] != halves[:-1]).any(axis=1))))
+    return out
+
+
+@dataclass(frozen=True)
+class _Members:
+    """The members of a batch of blocks, one block after another; one listed twice in a block (the bucket's least) counts once."""
+
+    keys: np.ndarray
+    number: np.ndarray
+    root: np.ndarray
+    n: np.ndarray
+    sig: np.ndarray
+    block: np.ndarray
+    sizes: np.ndarray
+
+
+def _members(lists: pa.Array) -> _Members:
+    flat, counts = lists.flatten(), np.diff(lists.offsets.to_numpy())
+    keys, sig = _fixed(flat.field("key"), 16), flat.field("sig")
+    number, root = _numbers(keys), _numbers(_fixed(flat.field("root"), 16))
+    block = np.repeat(np.arange(len(counts)), counts)
+    at = np.sort(np.unique(block * (len(keys) + 1) + number, return_index=True)[1])
+    n = flat.field("n").to_numpy(zero_copy_only=False)
+    sig = _fixed(sig, len(sig[0].as_buffer()))
+    # a root has a number of its own in each block
+    root = block * (len(keys) + 1) + root
+    return _Members(keys[at], number[at], root[at], n[at], sig[at], block[at], np.bincount(block[at], minlength=len(counts)))
+
+
+def _ranges(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of blocks that have about `PAIRS` pairs of members together, or of one block."""
+    pairs = np.concatenate(([0], np.cumsum(sizes * (sizes - 1) // 2)))
+    first = 0
+    while first < len(sizes):
+        end = max(first + 1, int(np.searchsorted(pairs, pairs[first] + PAIRS, side="right")) - 1)
+        yield first, end
+        first = end
+
+
+def _all_agreeing(members: _Members, first: int, end: int, least: float, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs as of `_agreeing`, of a range of blocks, block by block."""
+    starts = np.cumsum(members.sizes) - members.sizes
+    left, right = [], []
+    for size in np.unique(members.sizes[first:end]):
+        own = starts[first:end][members.sizes[first:end] == size][:, None]
+        a, b = np.triu_indices(size, 1)
+        left.append((own + a).ravel()), right.append((own + b).ravel())
+    a, b, n = np.concatenate(left), np.concatenate(right), members.n
+    may = (members.root[a] != members.root[b]) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
+    a, b = a[may], b[may]
+    similar = (members.sig[a] == members.sig[b]).sum(axis=1) / members.sig.shape[1]
+    a, b, similar = a[similar >= least], b[similar >= least], similar[similar >= least]
+    order = np.lexsort((b, a, -similar, members.block[a]))
+    return a[order], b[order]
+
+
+def _forests_of_blocks(least: float, percent: int):
+    """A maximum spanning forest of the agreeing pairs of each block; most blocks are small, so many are compared at a time."""
+
+    def forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            members = _members(batch.column("members"))
+            for first, end in _ranges(members.sizes):
+                a, b = _all_agreeing(members, first, end, least, percent)
+                # the one pair of a block needs no choice
+                chosen = np.bincount(members.block[a], minlength=end)[members.block[a]] == 1
+                others = np.flatnonzero(~chosen)
+                if len(others):
+                    start = int(members.sizes[:first].sum())
+                    parts = _Parts(members.root[start : start + int(members.sizes[first:end].sum())].tolist())
+                    for k, x, y in zip(others.tolist(), (a[others] - start).tolist(), (b[others] - start).tolist(), strict=True):
+                        if parts.top(x) != parts.top(y):
+                            parts.join(x, y)
+                            chosen[k] = True
+                a, b = a[chosen], b[chosen]
+                turned = members.number[a] > members.number[b]
+                if len(a):
+                    yield pa.record_batch([_binary(members.keys[np.where(turned, b, a)]), _binary(members.keys[np.where(turned, a, b)])], names=["a", "b"])
+        release()
+
+    return forests
+
+
 def _confirm(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,6 +349,7 @@ def _confirm(percent: int):
                 both = common(a, b)
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], names=["a", "b"])
+        release()
 
     return confirm
 
@@ -320,13 +428,13 @@ def similar_links(signed: DataFrame, docs: DataFrame, banding: Banding, percent:
     anchors = buckets.where(F.col("size") > BLOCK).select("bucket", every_share, F.col("least").alias("key"))
     spread = members.select("bucket", share_of, "key").unionAll(anchors).join(signs, "key")
     blocks = spread.groupBy("bucket", "share").agg(F.collect_list(member).alias("members"))
-    pairs = written(blocks.select("members").mapInArrow(_links_of_blocks(least, percent), pair).distinct(), "pairs", rows, BLOCK_ROWS)
+    pairs = written(blocks.select("members").mapInArrow(_forests_of_blocks(least, percent), pair).distinct(), "pairs", rows, BLOCK_ROWS)
     groups = components(pairs).withColumnRenamed("node", "key")
     # blocks of one bucket that hold different groups
     large = members.where(F.col("size") > BLOCK).select(F.col("bucket").alias("group"), "key").join(groups, "key", "left")
     large = written(large.withColumn("root", F.coalesce("root", "key")), "large-buckets", rows)
     if not large.isEmpty():
-        across = written(_block_pairs(large.join(signs, "key"), ["n", "sig"], rows).mapInArrow(_links_of_blocks(least, percent), pair).distinct(), "pairs")
+        across = written(_block_pairs(large.join(signs, "key"), ["n", "sig"], rows).mapInArrow(_forests_of_blocks(least, percent), pair).distinct(), "pairs")
         if not across.isEmpty():
             pairs = pairs.unionAll(across)
             groups = components(pairs).withColumnRenamed("node", "key")
@@ -340,7 +448,7 @@ def similar_links(signed: DataFrame, docs: DataFrame, banding: Banding, percent:
     if unsettled.isEmpty():
         return links
     held = parts.join(unsettled, "group").join(signs, "key").join(sets, "key")
-    more = _block_pairs(held, ["n", "sig", "shingles"], rows).mapInArrow(_links_of_blocks(least, percent, whole=True), pair).distinct()
+    more = _block_pairs(held, ["n", "sig", "shingles"], rows).mapInArrow(_links_of_blocks(least, percent), pair).distinct()
     return links.unionAll(written(more, "links"))
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.tables import alone, bit_filter, in_filter, slices, text_column, with_fields, written
+from eventlake.llm.tables import alone, bit_filter, in_filter, release, slices, text_column, with_fields, written
 from eventlake.llm.words import mix, window_hashes, word_hashes
 
 #: Words of the shortest repeat that is cut.
@@ -56,6 +56,7 @@ def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, least, grams = _least_grams(words, counts)
             if len(least):
                 yield pa.record_batch([pa.array(grams[least[np.concatenate(([True], least[1:] != least[:-1]))]].view(np.int64))], names=["print"])
+    release()
 
 
 def _runs(seen: np.ndarray, hot: np.ndarray):
@@ -88,6 +89,7 @@ def _runs(seen: np.ndarray, hot: np.ndarray):
                 own = batch.column("own").take(rows)
                 piece = np.where(is_hot, 1 + (own.to_numpy().view(np.uint64) % np.uint64(PIECES)).astype(np.int32), 0).astype(np.int32)
                 yield pa.record_batch([*[batch.column(c).take(rows) for c in carried], pa.array(run), pa.array(check), pa.array(at), pa.array(piece)], names=[*carried, "run", "check", "at", "piece"])
+        release()
 
     return runs
 
@@ -170,6 +172,7 @@ def _without(names: list[str]):
                     texts[row] = cut.decode()
             made = {"text": pa.array(texts, batch.schema.field("text").type), "__cuts": pa.array(cuts, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))}
             yield pa.record_batch([made[c] if c in made else batch.column(c) for c in names], names=names)
+        release()
 
     return without
 

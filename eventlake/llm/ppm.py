@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.tables import slices, text_column, with_fields, written
+from eventlake.llm.tables import release, slices, text_column, with_fields, written
 
 #: Longest context, in bytes.
 ORDER = 4
@@ -209,7 +209,7 @@ def _predict(model: Model, text: str, keep: list[str]):
                 own = batch.slice(first, end - first)
                 yield pa.record_batch([*[own.column(c) for c in keep], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(lengths, pa.float64())], names=[*keep, "lang_pred", "score", "bits_per_byte"])
         # what other operators' texts took is given back as well
-        pa.default_memory_pool().release_unused()
+        release()
 
     return predict
 

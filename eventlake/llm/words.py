@@ -121,6 +121,22 @@ def distinct_sorted(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
 
 
+def distinct_counts(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How many distinct values each row of `counts` values has."""
+    out = counts.astype(np.int64)
+    if not len(values):
+        return out
+    # one sort for all rows: the row above the values' high bits. Only rows that seem to repeat one are counted by whole values.
+    bits = np.uint64(max(1, len(counts).bit_length()))
+    row = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
+    marked = np.sort(row << (np.uint64(64) - bits) | values >> bits)
+    repeats = np.unique(marked[1:][marked[1:] == marked[:-1]] >> (np.uint64(64) - bits))
+    ends = np.cumsum(counts)
+    for r in repeats.astype(np.int64):
+        out[r] = len(distinct_sorted(values[ends[r] - counts[r] : ends[r]]))
+    return out
+
+
 def common(a: np.ndarray, b: np.ndarray) -> int:
     """How many values two sorted arrays of distinct values share."""
     if len(a) > len(b):
