@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from eventlake.llm import ppm
 from eventlake.llm.bpe import token_digests
-from eventlake.llm.decontaminate import without_leaks
+from eventlake.llm.decontaminate import leaking_texts, without_leaks
 from eventlake.llm.minhash import without_near_duplicates
 from eventlake.llm.paragraphs import without_repeats
 from eventlake.llm.passages import without_passages
 from eventlake.llm.queries import PATTERN, RANKS
-from eventlake.llm.tables import drop_unused, scratch, table, written
+from eventlake.llm.tables import alone, drop_unused, scratch, table, text_key, written
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,11 +48,21 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def paragraphs_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with repeated paragraphs only where they come first; n_chars follows the text.
+    """All documents, with repeated paragraphs and passages only where they come first; n_chars follows the text.
 
-    A document may become empty; it stays as a row.
+    Passages are looked for in what the lines taken out have left. There, documents
+    that hold a passage of a benchmark item come after all others, so that none
+    is kept only in a document that the next stage takes out. A document may
+    become empty; it stays as a row.
     """
-    return _counted(without_repeats(docs))
+
+    def marked() -> DataFrame:
+        lines = alone(lambda: written(without_repeats(docs), "lines-once"))
+        leaking = alone(lambda: written(leaking_texts(lines, table(spark, sf_dir, "benchmark")).select(F.col("text_key").alias("__leaked")), "leaking"))
+        found = lines.join(leaking, text_key("text") == F.col("__leaked"), "left")
+        return written(found.withColumn("__last", F.col("__leaked").isNotNull()).drop("__leaked"), "lines-marked")
+
+    return _counted(without_passages(alone(marked), last_column="__last").drop("__last"))
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -66,9 +76,10 @@ def _counted(docs: DataFrame) -> DataFrame:
 def off_the_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item, and of what they repeat word for word below or across lines only the first.
 
-    The second comes after the first, so that items are looked for in whole
-    texts and no passage is kept only in a document that is taken out. Copies and
-    repeated rows leak alike; of equal passages the one in the least doc_id stays.
+    The second comes after the first, so that no passage is kept only in a
+    document that is taken out; behind the paragraphs stage it finds only what
+    has become a repeat by cuts. Copies and repeated rows leak alike; of equal
+    passages the one in the least doc_id stays.
     """
     clean = written(without_leaks(docs, table(spark, sf_dir, "benchmark")), "no-leaks")
     return _counted(without_passages(clean))

@@ -99,46 +99,48 @@ def _own() -> Column:
     return F.xxhash64(F.col("text").cast("binary"))
 
 
-def _with_first(runs: DataFrame, keys: list[str]) -> DataFrame:
+def _with_first(runs: DataFrame, keys: list[str], last: list[str]) -> DataFrame:
     """The runs with `same`, whether the first one of their `keys` lies in the same document, and `over`, whether they overlap it there.
 
     Runs are shuffled once and pass by in order, whatever number of copies they have.
     """
-    copies = Window.partitionBy(*keys).orderBy(F.col("doc_id").asc_nulls_last(), "own", "at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    copies = Window.partitionBy(*keys).orderBy(*last, F.col("doc_id").asc_nulls_last(), "own", "at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     met = runs.withColumn("first", F.first(F.struct("doc_id", "own", "at")).over(copies))
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("own") == F.col("first.own"))
     return met.withColumn("over", same & (F.col("at") < F.col("first.at") + PASSAGE)).drop("first")
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
+def repeated_passages(docs: DataFrame, last_column: str | None = None) -> DataFrame:
     """doc_id, own, at of each document with runs of PASSAGE words that an equal run comes before.
 
     own is 64 bits of the text, at the numbers of the runs' first words, each once and in order.
 
     Runs come in the order of doc_id (null ids last), then of `own`, then of their
     words. Rows with the same id and text are one document. A run that overlaps
-    its own first copy stays, so a word said again and again is not lost.
+    its own first copy stays, so a word said again and again is not lost. Texts
+    for which boolean column `last_column` is true come after all others.
 
     A hot run has a first copy in each of PIECES pieces, dealt by document. What
     is not that first copy, and does not overlap it, has an earlier copy and is
     settled; the others, at most PASSAGE for each piece of a run, are compared
     once more over all pieces.
     """
-    texts = docs.where("text is not null").select("doc_id", _own().alias("own"), F.col("text").alias("__text"))
+    last = [last_column] if last_column else []
+    texts = docs.where("text is not null").select("doc_id", _own().alias("own"), *last, F.col("text").alias("__text"))
     prints = texts.select("__text").mapInArrow(_prints, "print bigint")
     shared = written(prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1"), "shared-prints")
     seen, hot = bit_filter(shared.select("print")), bit_filter(shared.where(F.col("n") > HOT).select("print"))
-    carried = ["doc_id", "own"]
+    carried = ["doc_id", "own", *last]
     runs = texts.mapInArrow(_runs(seen, hot), with_fields(texts, carried, "run bigint, check bigint, at int, piece int"))
-    met = _with_first(runs, ["run", "check", "piece"]).where("not over or piece > 0")
+    met = _with_first(runs, ["run", "check", "piece"], last).where("not over or piece > 0")
     settled, left = F.when(~F.col("over"), F.col("at")), F.when(F.col("over"), F.struct("run", "check", "at"))
     found = met.groupBy(*carried).agg(F.collect_set(settled).alias("at"), F.collect_set(left).alias("left"))
     found = written(found, "repeated")
     # the firsts of all pieces of the hot runs
-    firsts = _with_first(found.select(*carried, F.explode("left").alias("run")).select(*carried, "run.*"), ["run", "check"])
+    firsts = _with_first(found.select(*carried, F.explode("left").alias("run")).select(*carried, "run.*"), ["run", "check"], last)
     late = firsts.where("not over").groupBy(*carried).agg(F.collect_set("at").alias("at"))
     both = found.select(*carried, "at").where(F.size("at") > 0).unionAll(late)
-    return both.groupBy(*carried).agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at"))
+    return both.groupBy("doc_id", "own").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at"))
 
 
 def _cut(data: bytes, at: list[int]) -> tuple[bytes, list[dict]]:
@@ -177,16 +179,17 @@ def _without(names: list[str]):
     return without
 
 
-def without_passages(docs: DataFrame, removed_column: str | None = None) -> DataFrame:
+def without_passages(docs: DataFrame, removed_column: str | None = None, last_column: str | None = None) -> DataFrame:
     """Every row of `docs` and all its columns, repeated passages cut out of column text.
 
     With `removed_column`, a column of that name holds the first byte and the end
     of each cut in the text as it came in. A null text stays null; a text that
-    is one repeat becomes empty. `docs` is read three times: it should be a
-    written table. Empty tables stay empty.
+    is one repeat becomes empty. Of equal passages the one in a text for which
+    boolean column `last_column` is true stays only if no other text has it.
+    `docs` is read three times: it should be a written table. Empty tables stay empty.
     """
     names = [F.col(name).alias(f"__{to}") for name, to in (("doc_id", "id"), ("own", "own"), ("at", "at"))]
-    lists = alone(lambda: written(repeated_passages(docs).select(*names), "passages"))
+    lists = alone(lambda: written(repeated_passages(docs, last_column).select(*names), "passages"))
     # repeated ids and null ones are told apart by their texts
     joined = docs.hint("merge").join(lists, (_own() == F.col("__own")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left")
     rows = joined.select(*docs.columns, "__at")

@@ -10,7 +10,9 @@ import corpus_pipeline as pipeline
 from eventlake.llm import bpe
 from eventlake.llm.tables import written
 from eventlake.sources.paths import exists
+from llm.conftest import words
 from llm.plain import least_of_components, paragraphs_left, plain_leaks
+from llm.test_llm_near import WORD, plain_passages
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -94,3 +96,32 @@ def test_working_tables_go_when_they_are_done_with(spark):
     made = list(pipeline._left)
     lines(spark, after, SMALL)
     assert not any(exists(spark, path) for path in made) and after.count() > 0
+
+
+def test_the_paragraphs_stage_cuts_passages(spark, tmp_path):
+    """Inside long lines and across short ones; a document that leaks gives way, though it comes first."""
+    shared, item = words(3, 60), words(4, 60)
+    lines = "\n".join(" ".join(shared[i : i + 8]) for i in range(0, 60, 8))
+    rows = [(0, " ".join(words(70, 100) + item + words(71, 90) + shared + words(72, 100)))]
+    rows += [(1, " ".join(words(73, 200) + shared + words(74, 200))), (2, f"{' '.join(words(75, 40))}\n{lines}\nend of it"), (3, None)]
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, n_chars long")
+    spark.createDataFrame([(1, " ".join(item))], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    made = written(pipeline.paragraphs_once(spark, docs, str(tmp_path)), "made")
+    got = {r.doc_id: r for r in made.collect()}
+    assert made.columns == docs.columns and len(got) == 4 and got[3].text is None
+    assert got[0].text == " ".join(words(70, 100) + item + words(71, 90) + words(72, 100))
+    assert got[1].text == rows[1][1] and got[2].text == f"{' '.join(words(75, 40))}\nend of it"
+    assert all(r.n_chars == len(r.text or "") for r in got.values())
+    left = {r.doc_id: r.text for r in pipeline.off_the_benchmark(spark, made, str(tmp_path)).collect()}
+    assert left == {d: got[d].text for d in (1, 2, 3)}
+
+
+def test_paragraphs_stage_against_plain_passages(spark):
+    docs = written(spark.read.parquet(f"{SMALL}/documents.parquet").where("text is not null"), "docs")
+    lines = written(pipeline.without_repeats(docs), "lines")
+    texts = {r.doc_id: r.text for r in lines.collect()}
+    clean = {r.doc_id for r in pipeline.without_leaks(lines, spark.read.parquet(f"{SMALL}/benchmark.parquet")).collect()}
+    plain = plain_passages([((d not in clean, d), text) for d, text in texts.items()])
+    assert plain != {(d not in clean, d): WORD.findall(text) for d, text in texts.items()}
+    rows = pipeline.paragraphs_once(spark, docs, SMALL).collect()
+    assert {(r.doc_id not in clean, r.doc_id): WORD.findall(r.text) for r in rows} == plain
