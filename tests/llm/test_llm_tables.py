@@ -11,11 +11,12 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from acceptance.check import oracle_rows, spark_rows
-from eventlake.llm import decontaminate
+from eventlake.llm import decontaminate, passages
 from eventlake.llm.queries import ORACLES, QUERIES
 from eventlake.llm.sharding import rendezvous_shard, shard_documents, slots
 from eventlake.llm.tables import bit_filter, in_filter
@@ -224,6 +225,27 @@ def test_filter_has_no_false_negatives(spark):
     assert not in_filter(bit_filter(values.where("false")), own).any()
 
 
+@pytest.mark.parametrize("most_bits", [27, 19, 18, 17])
+def test_filter_lets_few_others_through(spark, most_bits):
+    """One in 400 for whatever number of values, until it may not grow; then more, but never all, and none is lost."""
+    values = spark.range(65_000).select(F.xxhash64("id").alias("v"))
+    seen = bit_filter(values, 15, most_bits)
+    assert seen.nbytes <= 1 << (most_bits - 3)
+    assert in_filter(seen, np.array([r.v for r in values.collect()], np.int64)).all()
+    others = np.random.default_rng(1).integers(-(1 << 62), 1 << 62, 400_000)
+    assert in_filter(seen, others).mean() < {27: 0.003, 19: 0.03, 18: 0.17, 17: 0.41}[most_bits]
+
+
+def test_runs_do_not_pass_by_chance(spark):
+    """Few of the runs whose prints occur once are handed on, though many other prints are shared."""
+    shared = bit_filter(spark.range(65_000).select(F.xxhash64("id").alias("print")))
+    hot = bit_filter(spark.range(0))
+    texts = [" ".join(f"w{t}x{k}" for k in range(300)) for t in range(400)]
+    batch = pa.record_batch([pa.array(range(400), pa.int64()), pa.array(texts)], names=["own", "__text"])
+    passed = sum(b.num_rows for b in passages._runs(shared, hot)(iter([batch])))
+    assert passed < 0.01 * 400 * (300 - passages.PASSAGE + 1)
+
+
 def test_every_query_has_whole_results(spark):
     n = spark.read.parquet(f"{SMALL}/documents.parquet").count()
     assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
