@@ -13,6 +13,8 @@ from eventlake.llm.tables import written
 
 #: Vectors of a candidate block, queries of a query block, dimensions added at a time.
 BLOCK, QUERIES, STEP = 4096, 128, 16
+#: Query blocks that a task holds while candidate blocks go by.
+GROUP = 64
 #: Products of norms from here on may not be counted in 64 bits; a little less than 2**63, as norms are rounded.
 LIMIT = 2.0**63 * (1 - 1e-6)
 
@@ -43,13 +45,14 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(groups, pa.int64()), pa.array(dims, pa.int32()), pa.array(rows, lists), pa.array(ids, lists), pa.array(columns, pa.binary())], names=["block", "dims", "rows", "ids", "columns"])
 
 
-def branch_and_bound(queries: np.ndarray, columns: np.ndarray, k: int, banned: np.ndarray | None = None, ids: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+def branch_and_bound(queries: np.ndarray, columns: np.ndarray, k: int, banned: np.ndarray | None = None, ids: np.ndarray | None = None, floors: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query (row) the places and scores of its k best columns of `columns` (dimensions x vectors), ties to the smaller id.
 
     After each block of dimensions a candidate's final score lies within the
     product of the masses (norms) that query and candidate have left. Candidates
     whose upper bound is below the k-th best lower bound are dropped, and the
-    survivors are packed together when they are few.
+    survivors are packed together when they are few. `floors`, a score for each
+    query, says below what a column is of no use; such ones may be missing.
     """
     n_dims, n = columns.shape
     ids = np.arange(n) if ids is None else ids
@@ -64,10 +67,12 @@ def branch_and_bound(queries: np.ndarray, columns: np.ndarray, k: int, banned: n
             block = held[s : s + STEP]
             score = score + query[s : s + STEP] @ (block if len(at) == block.shape[1] else block[:, at])
             mass = float(np.sqrt((query[s + STEP :].astype(np.float64) ** 2).sum()))
-            if len(alive) > k and i + 1 < len(starts):
+            if (len(alive) > k or floors is not None) and i + 1 < len(starts):
                 # a little more than the exact bound, as norms are rounded
                 slack = mass * left[i][alive] * (1 + 1e-9) + 1e-6
-                floor = np.partition(score - slack, len(alive) - k)[len(alive) - k]
+                floor = -np.inf if floors is None else floors[q]
+                if len(alive) > k:
+                    floor = max(floor, np.partition(score - slack, len(alive) - k)[len(alive) - k])
                 keep = score + slack >= floor
                 if not keep.all():
                     alive, score, at = alive[keep], score[keep], at[keep]
@@ -78,26 +83,52 @@ def branch_and_bound(queries: np.ndarray, columns: np.ndarray, k: int, banned: n
     return out
 
 
+class _Best:
+    """The k best candidates so far of each query of a block, as rows of (score, id, row number)."""
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, k: int):
+        self.rows, self.ids, self.k = rows, ids, k
+        self.found = [np.zeros((0, 3), np.int64) for _ in rows]
+
+    def floors(self) -> np.ndarray:
+        """The score that a further candidate of each query must reach, or a little less, as great ones are rounded."""
+        last = np.array([float(own[-1, 0]) if len(own) == self.k else -np.inf for own in self.found])
+        return last - 1e-9 * np.abs(last)
+
+    def add(self, found: list[tuple[np.ndarray, np.ndarray]], rows: np.ndarray, ids: np.ndarray) -> None:
+        for q, (places, scores) in enumerate(found):
+            if len(places):
+                both = np.concatenate([self.found[q], np.stack([scores, ids[places], rows[places]], axis=1)])
+                self.found[q] = both[np.lexsort((both[:, 2], both[:, 1], -both[:, 0]))[: self.k]]
+
+    def batch(self) -> pa.RecordBatch:
+        sizes, best = [len(own) for own in self.found], np.concatenate(self.found)
+        columns = [np.repeat(self.rows, sizes), np.repeat(self.ids, sizes), best[:, 2], best[:, 1], best[:, 0]]
+        return pa.record_batch([pa.array(c) for c in columns], names=["query_row", "query_id", "row", "vec_id", "score"])
+
+
 def _search(k: int):
-    """The k best candidates of each query row in a pair of blocks; rows are known by their numbers, ids may repeat."""
+    """The k best candidates of each query row in a task's pairs of blocks; rows are known by their numbers, ids may repeat."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[tuple[int, int], _Best] = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                dims = row["dims"]
-                rows, query_rows = np.array(row["rows"], np.int64), np.array(row["query_rows"], np.int64)
-                ids, query_ids = np.array(row["ids"], np.int64), np.array(row["query_ids"], np.int64)
-                columns = np.frombuffer(row["columns"], np.int64).reshape(dims, len(ids))
-                queries = np.frombuffer(row["query_columns"], np.int64).reshape(dims, len(query_ids)).T
+            for i in range(batch.num_rows):
+                row = {name: column[i] for name, column in zip(batch.schema.names, batch.columns, strict=True)}
+                dims, rows, ids = row["dims"].as_py(), row["rows"].values.to_numpy(), row["ids"].values.to_numpy()
+                own = (row["query_block"].as_py(), dims)
+                if own not in best:
+                    best[own] = _Best(row["query_rows"].values.to_numpy().copy(), row["query_ids"].values.to_numpy().copy(), k)
+                held = best[own]
+                columns = np.frombuffer(row["columns"].as_buffer(), np.int64).reshape(dims, len(ids))
+                queries = np.frombuffer(row["query_columns"].as_buffer(), np.int64).reshape(dims, len(held.ids)).T
                 if _longest(columns) * _longest(queries.T) >= LIMIT:
                     raise ValueError("inner products of these vectors may lie beyond 63 bits: scale them down")
                 place = {int(x): i for i, x in enumerate(rows)}
-                banned = np.array([place.get(int(x), -1) for x in query_rows])
-                found = branch_and_bound(np.ascontiguousarray(queries), columns, k, banned, ids)
-                sizes = [len(f[0]) for f in found]
-                best = np.concatenate([f[0] for f in found])
-                columns_out = [np.repeat(query_rows, sizes), np.repeat(query_ids, sizes), rows[best], ids[best], np.concatenate([f[1] for f in found])]
-                yield pa.record_batch([pa.array(c) for c in columns_out], names=["query_row", "query_id", "row", "vec_id", "score"])
+                banned = np.array([place.get(int(x), -1) for x in held.rows])
+                held.add(branch_and_bound(np.ascontiguousarray(queries), columns, k, banned, ids, held.floors()), rows, ids)
+        for held in best.values():
+            yield held.batch()
 
     return search
 
@@ -120,8 +151,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "
 
     Components become floor(scale * x). Query blocks meet every block of
     candidates: the stated query set against all rows, in blocks of bounded
-    size, each pair of blocks giving k rows a query at most. Candidates dealt by
-    their hash fill blocks alike whatever the ids are.
+    size. Each task reads a part of the candidate blocks and a group of query
+    blocks where they lie, so pairs of blocks are neither shuffled nor broadcast,
+    and gives k rows a query at most. Candidates dealt by their hash fill blocks
+    alike whatever the ids are.
 
     Ties go to the smaller id. Vectors that are null or hold a null or
     non-finite component take no part, nor do rows with a null id; a vector is
@@ -134,11 +167,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "
     sound = vectors.select(F.col(id_column).cast("bigint").alias("id"), whole_numbers(F.col(vector_column), scale).alias("v"), is_query.alias("query"))
     # rows are numbered as they are written, so the numbers stay
     sound = written(sound.where("id is not null and v is not null").withColumn("row", F.monotonically_increasing_id()), "vectors")
-    candidates, n = _blocks(sound.select("row", "id", "v"), BLOCK, "candidates")
-    queries, _ = _blocks(sound.where("query").select("row", "id", "v"), QUERIES, "queries")
-    # each query block goes to every candidate block, none of which is ever gathered elsewhere
-    sent = queries.select("dims", F.col("rows").alias("query_rows"), F.col("ids").alias("query_ids"), F.col("columns").alias("query_columns"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))).alias("block"))
-    met = sent.join(candidates, ["block", "dims"]).select("dims", "rows", "ids", "columns", "query_rows", "query_ids", "query_columns")
+    candidates, _ = _blocks(sound.select("row", "id", "v"), BLOCK, "candidates")
+    queries, n = _blocks(sound.where("query").select("row", "id", "v"), QUERIES, "queries")
+    asked = queries.select("dims", F.col("block").alias("query_block"), F.col("rows").alias("query_rows"), F.col("ids").alias("query_ids"), F.col("columns").alias("query_columns"))
+    # the hint keeps the planner from broadcasting blocks, or from sorting them all by their number of dimensions
+    grouped = asked.repartition(-(-n // GROUP), "query_block").hint("shuffle_replicate_nl")
+    met = candidates.join(grouped, "dims").select("dims", "rows", "ids", "columns", "query_block", "query_rows", "query_ids", "query_columns")
     found = met.mapInArrow(_search(k), "query_row bigint, query_id bigint, row bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -16,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from acceptance.check import oracle_rows, spark_rows
-from eventlake.llm import decontaminate, passages
+from eventlake.llm import decontaminate, passages, topk
 from eventlake.llm.queries import ORACLES, QUERIES
 from eventlake.llm.sharding import rendezvous_shard, shard_documents, slots
 from eventlake.llm.tables import bit_filter, in_filter
@@ -102,6 +102,33 @@ def test_top_k_takes_rows_with_one_id_and_counts_exactly(spark):
         nearest(spark.createDataFrame(beyond, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
 
 
+def test_top_k_over_many_blocks_sends_no_block_to_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    monkeypatch.setattr(topk, "GROUP", 2)
+    rng = np.random.default_rng(2)
+    x = rng.integers(-256, 256, (700, 40))
+    x[rng.integers(0, 700, 60)] = x[3]
+    table = spark.createDataFrame([(i, [v / 256 for v in row]) for i, row in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got = nearest(table, F.col("vec_id") % 50 == 0)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan
+    expected = set()
+    for q in range(0, 700, 50):
+        scores = x @ x[q]
+        best = [c for c in np.lexsort((np.arange(700), -scores)) if c != q][:5]
+        expected |= {(q, rank, c, scores[c]) for rank, c in enumerate(best, 1)}
+    assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
+    # a task hands on k rows a query, whatever the number of blocks that it has seen
+    made = topk._search(5)
+    def pair(block):
+        rows = np.arange(block * 50, block * 50 + 50)
+        values = {"dims": [40], "rows": [rows], "ids": [rows], "columns": [np.ascontiguousarray(x[rows].T).tobytes()]}
+        return pa.record_batch({**values, "query_block": [0], "query_rows": [[0, 50]], "query_ids": [[0, 50]], "query_columns": [np.ascontiguousarray(x[[0, 50]].T).tobytes()]})
+    out = pa.Table.from_batches(made(pair(block) for block in range(14))).to_pylist()
+    assert sorted((r["query_id"], r["vec_id"], r["score"]) for r in out) == sorted((q, c, s) for q, _, c, s in expected if q in (0, 50))
+
+
 def test_bounds_drop_candidates_and_nothing_else():
     rng = np.random.default_rng(1)
     columns = rng.integers(-256, 256, (64, 2000))
