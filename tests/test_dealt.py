@@ -1,9 +1,12 @@
 """Rows dealt out by their number: what one task holds grows neither with the table nor with its row groups."""
 
+import time
 from functools import partial
 
 import pytest
 from conftest import multiset
+from pyspark.ml import PipelineModel
+from pyspark.ml.regression import RandomForestRegressor
 
 from eventlake.operators.physical import spread_by_rows, tasks_of
 from eventlake.plans import training
@@ -25,3 +28,49 @@ def test_tree_learners_hold_rows_in_bounded_parts(spark, events, estimator, monk
     monkeypatch.setattr(training.Pipeline, "fit", lambda self, rows: seen.append(rows))
     training.fit(events.coalesce(1), estimator())
     assert seen[0].rdd.getNumPartitions() == 20 and multiset(seen[0]) == multiset(events)
+
+
+def test_a_forest_over_many_rows_is_fitted_a_few_trees_at_a_time(spark, events, tmp_path, monkeypatch):
+    whole = {"numTrees": 7, "maxDepth": 4, "bootstrap": False, "featureSubsetStrategy": "all"}
+    at_once = training.fit(events, training.random_forest(**whole))
+    monkeypatch.setattr(training, "MANY_ROWS", 500, raising=False)
+    monkeypatch.setattr(training, "TREES", 3, raising=False)
+    own_fit, held = RandomForestRegressor._fit, []
+    monkeypatch.setattr(RandomForestRegressor, "_fit", lambda self, rows: held.append((self.getNumTrees(), self.getCacheNodeIds(), self.getSeed())) or own_fit(self, rows))
+    model = training.fit(events, training.random_forest(**whole))
+    assert [trees for trees, _, _ in held] == [2, 2, 3] and not any(ids for _, ids, _ in held) and len({seed for _, _, seed in held}) == 3
+    forest = model.stages[-1]
+    assert forest.getNumTrees == 7 and forest.getOrDefault("seed") == training.SEED and forest.getOrDefault("maxDepth") == 4
+    # without draws every tree is the same one, in whatever run it is fitted
+    keys = ["timestamp", "prediction"]
+    assert multiset(model.transform(events).select(*keys)) == multiset(at_once.transform(events).select(*keys))
+    # with draws no two are, the forest is their mean, and it is saved and loaded as any other
+    model = training.fit(events, training.random_forest(numTrees=7))
+    assert len({tree.toDebugString.split("\n", 1)[1] for tree in model.stages[-1].trees}) == 7
+    rows = model.transform(events)
+    for row in rows.limit(20).collect():
+        assert row.prediction == pytest.approx(sum(tree.predict(row.features) for tree in model.stages[-1].trees) / 7)
+    model.write().save(f"{tmp_path}/model")
+    loaded = PipelineModel.load(f"{tmp_path}/model")
+    assert multiset(loaded.transform(events).select(*keys)) == multiset(rows.select(*keys))
+
+
+def test_fits_over_many_rows_run_in_turn(spark, events, monkeypatch):
+    monkeypatch.setattr(training, "MANY_ROWS", 500, raising=False)
+    running, most, own_fit = [], [], training.fit
+
+    def watched(*args):
+        running.append(args)
+        most.append(len(running))
+        time.sleep(0.5)
+        model = own_fit(*args)
+        running.pop()
+        return model
+
+    monkeypatch.setattr(training, "fit", watched)
+    few = {"a": training.linear_regression, "b": lambda label: training.random_forest(label, numTrees=2, maxDepth=2), "c": lambda label: training.boosted_trees(label, maxIter=2)}
+    models = training.fit_all(events, candidates=few)
+    assert list(models) == list(few) and max(most) == 1
+    most.clear()
+    training.fit_all(events, candidates=few, parallelism=3)
+    assert max(most) == 3
