@@ -74,3 +74,21 @@ def test_fits_over_many_rows_run_in_turn(spark, events, monkeypatch):
     most.clear()
     training.fit_all(events, candidates=few, parallelism=3)
     assert max(most) == 3
+
+
+def test_many_training_rows_are_scanned_a_file_a_task(spark, events, monkeypatch):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(training, "MANY_ROWS", 500, raising=False)
+    monkeypatch.setattr(training, "TASK_ROWS", 100, raising=False)
+    own_fit, sizes = RandomForestRegressor._fit, []
+
+    def watched(self, rows):
+        sizes.append(rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect())
+        assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+        return own_fit(self, rows)
+
+    monkeypatch.setattr(RandomForestRegressor, "_fit", watched)
+    few = {"RandomForest": lambda label: training.random_forest(label, numTrees=2, maxDepth=2)}
+    result = training.train(events.coalesce(1), candidates=few)
+    assert len(sizes) == 1 and max(sizes[0]) <= 100 and sum(sizes[0]) == result.table.train.count() > 1000
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
